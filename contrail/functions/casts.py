@@ -1,4 +1,9 @@
-"""Tolerant casts: unreadable text becomes NULL whether or not ANSI is on."""
+"""Tolerant casts: unreadable text becomes NULL whether or not ANSI is on.
+
+``kind`` is the type the column has now.  Knowing it keeps needless conversions
+out of the generated code, whose size decides whether the JVM compiles it: see
+``operators.cleaning``.
+"""
 
 from __future__ import annotations
 
@@ -6,11 +11,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def to_whole(column: Column) -> Column:
+def to_number(column: Column, kind: str = "string") -> Column:
+    """Numeric text to double; numbers stay as they are."""
+    return column.try_cast("double") if kind == "string" else column
+
+
+def to_whole(column: Column, kind: str = "string") -> Column:
     """Number or numeric text to int, cut towards zero: ``'14.9'`` gives 14."""
-    return column.try_cast("double").try_cast("int")
+    return column if kind == "int" else to_number(column, kind).try_cast("int")
 
 
-def to_flag(column: Column) -> Column:
+def to_flag(column: Column, kind: str = "string") -> Column:
     """``0`` / ``1`` in any numeric spelling (``1``, ``1.00``) to boolean."""
-    return column.try_cast("double") != F.lit(0.0)
+    return column if kind == "boolean" else to_number(column, kind) != 0

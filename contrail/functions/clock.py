@@ -5,21 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .casts import to_number, to_whole
 
-def clock_text(column: Column) -> Column:
+
+def clock_text(column: Column, kind: str = "string") -> Column:
     """930 becomes ``09:30``; 2400 is midnight; impossible times become NULL.
 
-    Works on the number itself, so no timestamp is parsed and no pattern is
-    matched per row.  A value of five or more digits keeps its leading four.
+    Hour and minute text are looked up by number in two small constant lists.
+    A number outside its list gives NULL, which makes the range check part of
+    the lookup: no text is parsed, matched or padded per row.  A value of five or
+    more digits keeps its leading four.
     """
-    number = column.try_cast("double")
-    whole = F.when(number == 2400, 0).otherwise(number.try_cast("int"))
-    hhmm = F.when(whole < 10000, whole).otherwise(
-        F.substring(whole.cast("string"), 1, 4).try_cast("int"))
-    hour = (hhmm / 100).cast("int")
-    minute = hhmm % 100
-    return F.when(
-        (hhmm >= 0) & (hhmm < 2400) & (minute < 60),
-        F.concat(F.lpad(hour.cast("string"), 2, "0"), F.lit(":"),
-                 F.lpad(minute.cast("string"), 2, "0")),
-    )
+    hhmm = _leading_digits(to_number(column, kind),
+                           "double" if kind == "string" else kind)
+    hours = F.array(*(F.lit(f"{hour:02d}:") for hour in range(24)))
+    minutes = F.array(*(F.lit(f"{minute:02d}") for minute in range(60)))
+    return F.concat(F.get(hours, (hhmm / 100).cast("int")), F.get(minutes, hhmm % 100))
+
+
+def _leading_digits(number: Column, kind: str) -> Column:
+    whole = to_whole(number, kind)
+    return (F.when(number == 2400, 0)
+            .when(number < 10000, whole)
+            .otherwise(F.substring(whole.cast("string"), 1, 4).try_cast("int")))

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 
 def day_from_parts(year: Column, month: Column, day: Column) -> Column:
-    """Three parts to a date; a missing or impossible part gives NULL.
+    """Three numbers to a date; a missing or impossible part gives NULL.
 
-    ``concat_ws`` alone would skip a NULL month and read 1987-NULL-5 as the
-    first of May, so the text is only built when all parts are there.
+    ``concat`` is NULL when any part is.  (``concat_ws`` would skip a NULL month
+    and read 1987-NULL-5 as the first of May.)
     """
-    complete = year.isNotNull() & month.isNotNull() & day.isNotNull()
-    return F.when(complete, F.concat_ws("-", year, month, day).try_cast("date"))
+    dash = F.lit("-")
+    return F.concat(year, dash, month, dash, day).try_cast("date")
 
 
 def calendar_attributes(day: Column) -> dict[str, Column]:

@@ -8,8 +8,8 @@ joins.
 from __future__ import annotations
 
 from .. import contracts as C
-from .samples import (AIRPORT_EXPRESSIONS, CANCELLATION_REASONS, FLIGHT_EXPRESSIONS,
-                      PLANE_EXPRESSIONS, as_select)
+from .samples import (AIRPORT_EXPRESSIONS, CANCELLATION_REASONS, FLIGHT_PARTS,
+                      FLIGHT_EXPRESSIONS, PLANE_EXPRESSIONS, as_select)
 
 _STRING = "varchar"
 
@@ -50,7 +50,8 @@ def _comma(items) -> str:
     return ",\n  ".join(items)
 
 
-RAW = f"select {_comma(as_select(FLIGHT_EXPRESSIONS, _STRING))} from lineitem"
+RAW = (f"select {_comma(as_select(FLIGHT_EXPRESSIONS, _STRING))} from (select *, "
+       f"{_comma(as_select(FLIGHT_PARTS, _STRING))} from lineitem)")
 SILVER = f"select {_comma(map(_silver_column, C.SILVER.names))} from raw"
 RAW_PLANE = f"select {_comma(as_select(PLANE_EXPRESSIONS, _STRING))} from part"
 PLANE = ("select * from raw_plane where coalesce("

@@ -11,15 +11,25 @@ from pyspark.sql import functions as F
 
 from .. import contracts as C
 
-_SCRUBBED = "l_returnflag = 'R' and l_linenumber = 7"
+# What the flight expressions share, computed once per row.
+FLIGHT_PARTS = {
+    "scrubbed": "l_returnflag = 'R' and l_linenumber = 7",
+    "rerouted": "l_returnflag = 'A' and l_linenumber = 6",
+    "caused": "l_linestatus = 'F'",
+    "amount": "cast(l_quantity as int)",
+    "part24": "l_partkey % 24",
+    "part300": "l_partkey % 300",
+    "supp24": "l_suppkey % 24",
+    "order60": "l_orderkey % 60",
+}
 
 
 def _unless_scrubbed(expression: str, kind: str = "double") -> str:
-    return f"cast(case when {_SCRUBBED} then null else {expression} end as {kind})"
+    return f"cast(case when scrubbed then null else {expression} end as {kind})"
 
 
 def _cause(expression: str) -> str:
-    return f"case when l_linestatus = 'F' then cast({expression} as STR) end"
+    return f"case when caused then cast({expression} as STR) end"
 
 
 FLIGHT_EXPRESSIONS = {
@@ -29,30 +39,29 @@ FLIGHT_EXPRESSIONS = {
     "DayOfWeek": "cast(l_orderkey % 7 + 1 as int)",
     "DepTime": _unless_scrubbed(
         "case when l_partkey % 97 = 0 then 2400 when l_partkey % 89 = 0 then 2575 "
-        "else (l_partkey % 24) * 100 + l_orderkey % 60 end"),
-    "CRSDepTime": "cast((l_partkey % 24) * 100 + l_suppkey % 60 as int)",
+        "else part24 * 100 + order60 end"),
+    "CRSDepTime": "cast(part24 * 100 + l_suppkey % 60 as int)",
     "ArrTime": _unless_scrubbed(
         "case when l_suppkey % 83 = 0 then 2400 "
-        "else (l_suppkey % 24) * 100 + l_orderkey % 60 end"),
-    "CRSArrTime": "cast((l_suppkey % 24) * 100 + l_partkey % 60 as int)",
+        "else supp24 * 100 + order60 end"),
+    "CRSArrTime": "cast(supp24 * 100 + l_partkey % 60 as int)",
     "UniqueCarrier": "concat('C', cast(l_suppkey % 20 as STR))",
     "FlightNum": "cast(l_orderkey % 9000 as int)",
     "TailNum": "concat('N', cast(l_partkey as STR))",
-    "ActualElapsedTime": _unless_scrubbed("l_partkey % 300 + 40"),
-    "CRSElapsedTime": "cast(l_partkey % 300 + 45 as int)",
-    "AirTime": _unless_scrubbed("l_partkey % 300 + 30", "STR"),
-    "ArrDelay": _unless_scrubbed("cast(l_quantity as int) + l_partkey % 11 - 25"),
-    "DepDelay": _unless_scrubbed("cast(l_quantity as int) - 20"),
+    "ActualElapsedTime": _unless_scrubbed("part300 + 40"),
+    "CRSElapsedTime": "cast(part300 + 45 as int)",
+    "AirTime": _unless_scrubbed("part300 + 30", "STR"),
+    "ArrDelay": _unless_scrubbed("amount + l_partkey % 11 - 25"),
+    "DepDelay": _unless_scrubbed("amount - 20"),
     "Origin": "concat('A', cast(l_suppkey % 25 as STR))",
     "Dest": "concat('A', cast(l_partkey % 25 as STR))",
     "Distance": "cast(l_suppkey * 13 % 2500 as double)",
     "TaxiIn": "cast(l_orderkey % 17 as STR)",
     "TaxiOut": "cast(l_orderkey % 29 as STR)",
-    "Cancelled": f"case when {_SCRUBBED} then 1 else 0 end",
+    "Cancelled": "cast(scrubbed as int)",
     "CancellationCode": (
-        f"case when {_SCRUBBED} then case cast(l_orderkey % 4 as int) "
-        "when 0 then 'A' when 1 then 'B' when 2 then 'C' else 'D' end end"),
-    "Diverted": "case when l_returnflag = 'A' and l_linenumber = 6 then 1 else 0 end",
+        "case when scrubbed then substr('ABCD', cast(l_orderkey % 4 as int) + 1, 1) end"),
+    "Diverted": "cast(rerouted as int)",
     "CarrierDelay": _cause("l_orderkey % 7"),
     "WeatherDelay": _cause("l_partkey % 5"),
     "NASDelay": _cause("l_suppkey % 6"),
@@ -102,8 +111,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def raw_flights(spark: SparkSession, folder: str) -> DataFrame:
     """The 29 flight columns with their documented types."""
-    return table(spark, folder, "lineitem").selectExpr(
-        *as_select(FLIGHT_EXPRESSIONS, "string"))
+    lines = table(spark, folder, "lineitem").selectExpr(
+        "*", *as_select(FLIGHT_PARTS, "string"))
+    return lines.selectExpr(*as_select(FLIGHT_EXPRESSIONS, "string"))
 
 
 def bronze_flights(spark: SparkSession, folder: str) -> DataFrame:
@@ -129,4 +139,11 @@ def raw_carriers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_cancellations(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(CANCELLATION_REASONS.items()), C.CODE_LIST)
+    """The reasons as an inline table.
+
+    Its size is known to the planner; that of a frame made from Python rows is
+    not, and joining one would shuffle the fact.
+    """
+    rows = ", ".join(f"('{code}', '{reason}')"
+                     for code, reason in CANCELLATION_REASONS.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS reasons(Code, Description)")

@@ -9,6 +9,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,15 +38,17 @@ def file_headers(spark: SparkSession, folder: str) -> DataFrame:
              .select(F.col("_metadata.file_path").alias("path"),
                      F.col("_metadata.file_block_start").alias("start"),
                      F.col("value").alias("header")))
-    return (lines.mapInArrow(_first_row, lines.schema)
-            .where(F.col("start") == 0).select("path", "header"))
 
+    # A local function travels to the executors by value: they need not have
+    # this package installed.
+    def first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
 
-def _first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
+    return (lines.mapInArrow(first_row, lines.schema)
+            .where(F.col("start") == 0).select("path", "header"))
 
 
 def split_header(line: str) -> tuple[str, ...]:
@@ -56,11 +59,13 @@ def split_header(line: str) -> tuple[str, ...]:
 def header_families(spark: SparkSession, folder: str) -> dict[tuple[str, ...], list[str]]:
     """Files below ``folder`` grouped by their header.
 
-    The driver holds file names only, as it does for any file scan.
+    What reaches the driver is one name per file, which the file index of any
+    scan of the folder holds there as well.
     """
     families: dict[tuple[str, ...], list[str]] = {}
-    for row in file_headers(spark, folder).toLocalIterator():
-        families.setdefault(split_header(row["header"]), []).append(row["path"])
+    for row in file_headers(spark, folder).collect():
+        # Spark reports paths URL-encoded and reads them plain.
+        families.setdefault(split_header(row["header"]), []).append(unquote(row["path"]))
     return families
 
 
