@@ -12,11 +12,11 @@ from ..operators.cleaning import drop_empty_planes, split_airports
 from ..operators.daily import daily_summary
 from ..session import DATABASE, ensure_database
 from ..sources.csv_files import scan_csv
+from ..sources.landing import sample_header, stream_flight_files
 from ..sources.tables import (comment_columns, read_table, register_table,
                               write_table)
 from ..streaming.control import finish
 from ..streaming.hops import start_bronze, start_landing, start_silver
-from ..sources.landing import header_families, stream_flight_files
 
 
 @dataclass(frozen=True)
@@ -49,29 +49,24 @@ def refresh_flights(spark: SparkSession, lake: Lake, sources: list[str],
                     timeout: float = 24 * 3600) -> None:
     """Bring new source files through to silver, each hop taking what is new.
 
-    Each folder of ``sources`` holds files of one header.  Run again after more
-    files have arrived: only those are read.
+    Each folder of ``sources`` holds files of one header; one that differs fails
+    the landing.  Run again after more files have arrived: only those are read.
+    ``files_per_batch`` bounds what each step of a hop takes on.
     """
-    streams = [stream_flight_files(spark, folder, _single_header(spark, folder),
+    streams = [stream_flight_files(spark, folder, sample_header(spark, folder),
                                    files_per_batch) for folder in sources]
     finish(start_landing(streams, lake.landed, lake.checkpoint("landing")), timeout)
     finish(start_bronze(spark, lake.landed, lake.folder("flight_bronze"),
-                        lake.checkpoint("bronze"), label, fmt=lake.fmt), timeout)
+                        lake.checkpoint("bronze"), label, files_per_batch,
+                        fmt=lake.fmt), timeout)
     finish(start_silver(spark, lake.folder("flight_bronze"),
                         lake.folder("flight_silver"), lake.checkpoint("silver"),
-                        fmt=lake.fmt), timeout)
+                        files_per_batch, fmt=lake.fmt), timeout)
     ensure_database(spark, lake.database)
     for name in ("flight_bronze", "flight_silver"):
         register_table(spark, lake.table(name), lake.folder(name), lake.fmt)
 
 
-def _single_header(spark: SparkSession, folder: str) -> tuple[str, ...]:
-    headers = list(header_families(spark, folder))
-    if len(headers) != 1:
-        raise ValueError(f"{folder} holds files of {len(headers)} headers, not one")
-    return headers[0]
-
-
 def build_gold(spark: SparkSession, lake: Lake) -> None:
     """Create or replace the daily summary and the calendar from silver."""
     silver = read_table(spark, lake.table("flight_silver"))

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from .. import contracts as C
 from ..functions import to_whole
-from .csv_files import scan_csv, stream_csv
+from .csv_files import list_csv, scan_csv, stream_csv
 
 LAND_KEYS = ("land_year", "land_month")
 
@@ -53,7 +53,7 @@ def file_headers(spark: SparkSession, folder: str) -> DataFrame:
 
 def split_header(line: str) -> tuple[str, ...]:
     """A CSV header line to its column names."""
-    return tuple(name.strip() for name in next(csv.reader([line.lstrip("\ufeff")])))
+    return tuple(name.strip() for name in next(csv.reader([line.lstrip("\ufeff")], skipinitialspace=True)))
 
 
 def header_families(spark: SparkSession, folder: str) -> dict[tuple[str, ...], list[str]]:
@@ -69,6 +69,14 @@ def header_families(spark: SparkSession, folder: str) -> dict[tuple[str, ...], l
     return families
 
 
+def sample_header(spark: SparkSession, folder: str) -> tuple[str, ...]:
+    """The header of one file below ``folder``, for files known to share it."""
+    path = list_csv(spark, folder).agg(F.min("path")).first()[0]
+    if path is None:
+        raise FileNotFoundError(f"no csv file below {folder}")
+    return split_header(file_headers(spark, path).first()["header"])
+
+
 def contract_positions(header: Sequence[str]) -> dict[str, int]:
     """Where each contract column stands in ``header``, old or new spelling.
 
@@ -130,15 +138,19 @@ def with_land_keys(flights: DataFrame) -> DataFrame:
     return flights.withColumns({LAND_KEYS[0]: year, LAND_KEYS[1]: year * 100 + month})
 
 
-def land(flights: DataFrame, target: str, mode: str = "errorifexists") -> None:
+def land(flights: DataFrame, target: str, mode: str = "errorifexists",
+         regroup: bool = True) -> None:
     """Write contract rows as monthly CSV folders below ``target``.
 
-    The rebalance groups a month's rows into few well-sized files and splits a
+    Regrouping gathers a month's rows into few well-sized files and splits a
     month too big for one task, so neither tiny files nor a hot month result.
+    It shuffles the rows: turn it off for sources whose files run month by
+    month, where each task meets few months anyway.
     """
     keyed = with_land_keys(flights.select(*C.FLIGHT_COLUMNS))
-    (keyed.hint("rebalance", *(F.col(key) for key in LAND_KEYS))
-     .write.mode(mode).partitionBy(*LAND_KEYS).option("header", True).csv(target))
+    if regroup:
+        keyed = keyed.hint("rebalance", *(F.col(key) for key in LAND_KEYS))
+    keyed.write.mode(mode).partitionBy(*LAND_KEYS).option("header", True).csv(target)
 
 
 def read_landed(spark: SparkSession, target: str) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_COMMENT_PROPERTY = "column_comment."
+
 
 def write_table(frame: DataFrame, path: str, partition_by: Sequence[str] = (),
                 mode: str = "errorifexists", fmt: str = "parquet") -> None:
@@ -32,14 +34,19 @@ def register_table(spark: SparkSession, name: str, path: str,
     The table is external: dropping the old entry leaves the data alone.
     """
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    location = path.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{location}'")
-    if fmt != "delta" and _is_partitioned(spark, name):
+    spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION {_literal(path)}")
+    if fmt != "delta" and _partition_columns(spark, name):
         spark.catalog.recoverPartitions(name)
 
 
-def _is_partitioned(spark: SparkSession, name: str) -> bool:
-    return any(column.isPartition for column in spark.catalog.listColumns(name))
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [column.name for column in spark.catalog.listColumns(name)
+            if column.isPartition]
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -49,23 +56,41 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType,
-                 fmt: str = "parquet") -> DataFrame:
+                 fmt: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
     """Tail a table folder: rows already there, then rows as they arrive.
 
     A folder written by a stream is followed through its commit log, so every
     committed row is seen exactly once.
     """
     reader = spark.readStream.format(fmt)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (reader if fmt == "delta" else reader.schema(schema)).load(path)
 
 
 def comment_columns(spark: SparkSession, table: str, comments: dict[str, str]) -> None:
-    """Store a comment on each named column of a registered table."""
+    """Store a comment on each named column of a registered table.
+
+    The catalog cannot alter a partition column, so the comment of one is kept
+    as a table property, where ``describe_table`` finds it.
+    """
+    partitions = set(_partition_columns(spark, table))
     for column, comment in comments.items():
-        text = comment.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {table} CHANGE COLUMN `{column}` COMMENT '{text}'")
+        if column in partitions:
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES "
+                      f"({_literal(_COMMENT_PROPERTY + column)} = {_literal(comment)})")
+        else:
+            spark.sql(f"ALTER TABLE {table} CHANGE COLUMN `{column}` "
+                      f"COMMENT {_literal(comment)}")
 
 
 def describe_table(spark: SparkSession, table: str, extended: bool = False) -> DataFrame:
     """(col_name, data_type, comment) of a registered table."""
-    return spark.sql(f"DESCRIBE TABLE {'EXTENDED ' if extended else ''}{table}")
+    described = spark.sql(f"DESCRIBE TABLE {'EXTENDED ' if extended else ''}{table}")
+    if not _partition_columns(spark, table):
+        return described
+    kept = spark.sql(f"SHOW TBLPROPERTIES {table}").select(
+        F.col("key"), F.col("value").alias("kept"))
+    name = F.concat(F.lit(_COMMENT_PROPERTY), F.col("col_name"))
+    return described.join(kept, F.col("key") == name, "left").select(
+        "col_name", "data_type", F.coalesce("kept", "comment").alias("comment"))

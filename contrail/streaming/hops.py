@@ -65,9 +65,9 @@ def start_bronze(spark: SparkSession, landed: str, bronze: str, checkpoint: str,
 
 
 def start_silver(spark: SparkSession, bronze: str, silver: str, checkpoint: str,
-                 until_caught_up: bool = True, name: str = SILVER_QUERY,
-                 fmt: str = "parquet") -> StreamingQuery:
+                 files_per_batch: int | None = None, until_caught_up: bool = True,
+                 name: str = SILVER_QUERY, fmt: str = "parquet") -> StreamingQuery:
     """Bronze table to the silver table, cleaned, partitioned by year."""
-    rows = clean_flights(stream_table(spark, bronze, C.BRONZE, fmt))
+    rows = clean_flights(stream_table(spark, bronze, C.BRONZE, fmt, files_per_batch))
     return stream_writer(rows, checkpoint, name, C.YEAR_PARTITION, fmt=fmt,
                          until_caught_up=until_caught_up).start(silver)
