@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,11 +110,16 @@ def lookup_null_compare(spark, folder):
         "plane": (raw_planes(spark, folder), planes(spark, folder)),
         "airport": (raw_airports(spark, folder), airports(spark, folder)),
         "carrier": (raw_carriers(spark, folder), raw_carriers(spark, folder)),
+        "cancellation": (raw_cancellations(spark), raw_cancellations(spark)),
     }
     reports = [TableSet(raw=before, silver=after).nulls()
                .select(F.lit(name).alias("lookup"), "*")
                for name, (before, after) in pairs.items()]
-    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+    return reduce(DataFrame.unionByName, reports)
+
+
+def _raw_and_silver(spark, folder) -> TableSet:
+    return TableSet(raw=raw_flights(spark, folder), silver=silver_flights(spark, folder))
 
 
 def reconcile_landing(spark, folder):
@@ -396,8 +402,7 @@ def queries() -> dict[str, Query]:
             silver_flights(s, d), "TailNum", 10, False, "num_rows"),
         "row_counts": lambda s, d: row_counts({t: table(s, d, t) for t in TABLES}),
         "null_profile": lambda s, d: null_counts(raw_flights(s, d), "raw"),
-        "null_compare": lambda s, d: TableSet(
-            raw=raw_flights(s, d), silver=silver_flights(s, d)).nulls(),
+        "null_compare": lambda s, d: _raw_and_silver(s, d).nulls(),
         "null_shares": lambda s, d: TableSet(
             silver=silver_flights(s, d)).nulls(shares=True),
         "lookup_null_compare": lookup_null_compare,
@@ -405,12 +410,13 @@ def queries() -> dict[str, Query]:
             daily_summary(silver_flights(s, d)), "gold"),
         "calendar_nulls": lambda s, d: null_counts(
             calendar_for(silver_flights(s, d)), "gold"),
-        "top_n_compare": lambda s, d: TableSet(
-            raw=raw_flights(s, d), silver=silver_flights(s, d)).frequent(
-                "CancellationCode", 10, shares=True),
-        "bottom_n_compare": lambda s, d: TableSet(
-            raw=raw_flights(s, d), silver=silver_flights(s, d)).frequent(
-                "Origin", 10, top=False),
+        "top_n_compare": lambda s, d: _raw_and_silver(s, d).frequent(
+            "CancellationCode", 10, shares=True),
+        "top_carriers": lambda s, d: _raw_and_silver(s, d).frequent("UniqueCarrier", 10),
+        "top_origins": lambda s, d: _raw_and_silver(s, d).frequent("Origin", 10),
+        "top_destinations": lambda s, d: _raw_and_silver(s, d).frequent("Dest", 10),
+        "bottom_n_compare": lambda s, d: _raw_and_silver(s, d).frequent(
+            "Origin", 10, top=False),
         "reconcile": reconcile_landing,
         "delay_reasons": lambda s, d: questions.delay_reasons(silver_flights(s, d)),
         "cancellation_reasons": lambda s, d: questions.cancellation_reasons(

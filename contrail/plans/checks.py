@@ -264,19 +264,27 @@ def oracle_sql() -> dict[str, str]:
             _mean("silver", "(select count(*) from silver)", 4),
             _nulls("silver", C.SILVER.names, "silver"))),
         "lookup_null_compare": _over(
-            "raw_plane plane raw_airport airport carrier", " union all ".join(
+            "raw_plane plane raw_airport airport carrier cancellation", " union all ".join(
                 f"select '{name}' as lookup, * from ({sql})" for name, sql in {
                     "plane": _null_compare("raw_plane", C.PLANE.names,
                                            "plane", C.PLANE.names),
                     "airport": _null_compare("raw_airport", C.CODE_LIST.names,
                                              "airport", C.AIRPORT.names),
                     "carrier": _null_compare("carrier", C.CODE_LIST.names,
-                                             "carrier", C.CODE_LIST.names)}.items())),
+                                             "carrier", C.CODE_LIST.names),
+                    "cancellation": _null_compare(
+                        "cancellation", C.CODE_LIST.names,
+                        "cancellation", C.CODE_LIST.names)}.items())),
         "gold_nulls": _over("raw silver gold", _nulls("gold", C.GOLD.names, "gold")),
         "calendar_nulls": _over(
             "raw silver calendar", _nulls("calendar", C.CALENDAR.names, "gold")),
         "top_n_compare": _over(
             "raw silver", _frequent_compare("CancellationCode", 10, "desc", True)),
+        "top_carriers": _over(
+            "raw silver", _frequent_compare("UniqueCarrier", 10, "desc", False)),
+        "top_origins": _over("raw silver", _frequent_compare("Origin", 10, "desc", False)),
+        "top_destinations": _over(
+            "raw silver", _frequent_compare("Dest", 10, "desc", False)),
         "bottom_n_compare": _over(
             "raw silver", _frequent_compare("Origin", 10, "asc", False)),
         "reconcile": "select n as landed_rows, n as stored_rows, cast(0 as bigint) as "

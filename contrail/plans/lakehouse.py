@@ -68,9 +68,13 @@ def refresh_flights(spark: SparkSession, lake: Lake, sources: list[str],
 
 
 def build_gold(spark: SparkSession, lake: Lake) -> None:
-    """Create or replace the daily summary and the calendar from silver."""
+    """Create or replace the daily summary and the calendar from silver.
+
+    The summary is stored in date order; it has one row per day, so the sort is
+    over thousands of rows however many flights there are.
+    """
     silver = read_table(spark, lake.table("flight_silver"))
-    store(spark, lake, "flight_gold", daily_summary(silver), "overwrite")
+    store(spark, lake, "flight_gold", daily_summary(silver).orderBy("date"), "overwrite")
     store(spark, lake, "l_date_gold", calendar_for(silver), "overwrite")
 
 

@@ -16,6 +16,9 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Table sizes are judged by their compressed files; broadcasts by what they
+    # take in memory.
+    "spark.sql.sources.fileCompressionFactor": "5.0",
     # The JVM never compiles a method beyond 8000 bytes; past that, separately
     # generated expressions beat one fused method.
     "spark.sql.codegen.hugeMethodLimit": "8000",

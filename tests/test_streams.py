@@ -1,4 +1,5 @@
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,6 +62,20 @@ def test_hops_take_only_what_is_new(spark, folder):
     assert len(pruned.inputFiles()) > 0
 
 
+def test_files_of_lost_tasks_stay_hidden(spark, folder):
+    """A file the commit log does not name is not part of the table."""
+    root = scratch_folder(spark, "orphan")
+    raw = raw_flights(spark, folder)
+    land(raw, f"{root}/landed")
+    run_hops(spark, root)
+    year = next(p for p in Path(f"{root}/silver").iterdir() if p.name.startswith("p_Year"))
+    whole = next(year.glob("*.parquet"))
+    (year / "part-99999-left-behind.parquet").write_bytes(whole.read_bytes())
+    spark.sql("CREATE DATABASE IF NOT EXISTS contrail_streams")
+    register_table(spark, "contrail_streams.hidden", f"{root}/silver")
+    assert read_table(spark, "contrail_streams.hidden").count() == raw.count()
+
+
 def test_steps_are_bounded(spark, tmp_path):
     for i in range(5):
         flight_file(tmp_path / "in" / f"{i}.csv", C.FLIGHT_COLUMNS,
