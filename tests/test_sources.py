@@ -195,3 +195,21 @@ def test_database_and_settings(spark):
 def test_scratch_folders_are_fresh_and_shared(spark):
     a, b = scratch_folder(spark, "x"), scratch_folder(spark, "x")
     assert a != b and a.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+class _Settings:
+    """Stands in for a session of which only the settings are asked."""
+
+    def __init__(self, **values):
+        self.conf = self
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key.replace(".", "_"), default)
+
+
+def test_scratch_folder_without_a_shared_folder(tmp_path, monkeypatch):
+    monkeypatch.setattr("tempfile.tempdir", str(tmp_path))
+    assert scratch_folder(_Settings(spark_master="local[2]"), "x").startswith(str(tmp_path))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(_Settings(spark_master="yarn"), "x")
