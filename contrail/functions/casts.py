@@ -8,7 +8,6 @@ out of the generated code, whose size decides whether the JVM compiles it: see
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 
 def to_number(column: Column, kind: str = "string") -> Column:

@@ -53,7 +53,8 @@ def file_headers(spark: SparkSession, folder: str) -> DataFrame:
 
 def split_header(line: str) -> tuple[str, ...]:
     """A CSV header line to its column names."""
-    return tuple(name.strip() for name in next(csv.reader([line.lstrip("\ufeff")], skipinitialspace=True)))
+    names = next(csv.reader([line.lstrip("\ufeff")], skipinitialspace=True))
+    return tuple(name.strip() for name in names)
 
 
 def header_families(spark: SparkSession, folder: str) -> dict[tuple[str, ...], list[str]]:
