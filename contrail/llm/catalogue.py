@@ -7,10 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import bpe, toxicity
 from .common import table
 
 
+#: The vocabulary file used by the queries.
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def vocabulary() -> str:
+    """Content of the public vocabulary file."""
+    import public_tokenizers
+
+    return bpe.read_vocabulary(public_tokenizers.path(VOCABULARY))
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids of every document and of the text they decode to."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(documents, vocabulary(), digests=True).drop("text")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -24,6 +41,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One callable (spark, sf_dir) -> DataFrame per operator."""
     return {
+        "op2_bpe": op2_bpe,
         "op7_toxicity": op7_toxicity,
     }
 
