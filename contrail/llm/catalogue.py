@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, toxicity
-from .common import table
+from . import bpe, decontaminate, minhash, passages, toxicity, warc
+from .common import saved, table
 
 
 #: The vocabulary file used by the queries.
@@ -22,12 +22,29 @@ def vocabulary() -> str:
     return bpe.read_vocabulary(public_tokenizers.path(VOCABULARY))
 
 
+def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that nearly repeat one of an earlier document."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids of every document and of the text they decode to."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode(documents, vocabulary(), digests=True).drop("text")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, and where."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"),
+                                      table(spark, sf_dir, "benchmark"))
+
+
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -38,14 +55,54 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records in which a damaged replica of the pages' archive differs, and where."""
+    pages = table(spark, sf_dir, "pages")
+    replicas = [saved(warc.leaves(warc.archive(p)), f"warc-{name}") for name, p in
+                (("one", pages), ("other", warc.damaged_replica(pages)))]
+    height = warc.height_for(*replicas)
+    one, other = (warc.tree(r, height, "warc-tree") for r in replicas)
+    damage = saved(warc.audit(one, other, height), "warc-damage")
+    return warc.located(damage, replicas[0])
+
+
+_OP8_SQL = """
+with replica as (
+  select page_id, coalesce(url, '') as url, coalesce(html, '') as one,
+         coalesce(case page_id % 1009 when 17 then null
+                    when 18 then left(html, greatest(length(html) - 1, 0))
+                    when 19 then '~' || substring(html, 2) else html end, '') as other,
+         page_id % 1009 = 17 as lost
+  from pages),
+sized as (
+  select *, 99 + strlen(url) + strlen(one) + length(strlen(one)::varchar) as n_bytes,
+         99 + strlen(url) + strlen(other) + length(strlen(other)::varchar) as other_size
+  from replica),
+placed as (
+  select *, page_id // 256 as file,
+         coalesce(sum(n_bytes) over (partition by page_id // 256 order by page_id
+           rows between unbounded preceding and 1 preceding), 0)::bigint as "offset"
+  from sized)
+select page_id as position, file, "offset", n_bytes::bigint as n_bytes,
+       (case when not lost then other_size end)::bigint as other_bytes,
+       case when lost then 'missing' when n_bytes <> other_size then 'length'
+            else 'content' end as damage
+from placed where lost or one <> other
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One callable (spark, sf_dir) -> DataFrame per operator."""
     return {
+        "op1_passages": op1_passages,
         "op2_bpe": op2_bpe,
+        "op3_decontaminate": op3_decontaminate,
+        "op4_minhash": op4_minhash,
         "op7_toxicity": op7_toxicity,
+        "op8_warc": op8_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The same queries as SQL, where SQL can express them."""
-    return {}
+    return {"op8_warc": _OP8_SQL}

@@ -39,6 +39,22 @@ def saved(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+#: Identifiers that may be broadcast: about 16 MB.
+BROADCAST_IDS = 1_000_000
+
+
+def pick(frame: DataFrame, ids: DataFrame, keep: bool = True) -> DataFrame:
+    """The rows of ``frame`` whose doc_id is among ``ids`` (or is not).
+
+    Up to a bound the identifiers are broadcast, so the texts are not shuffled;
+    beyond it the two are joined by shuffles.
+    """
+    ids = saved(ids.select("doc_id").distinct(), "ids")
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return frame.join(ids, "doc_id", "left_semi" if keep else "left_anti")
+
+
 def ship(spark: SparkSession) -> None:
     """Hand this package to the Python workers, once per application.
 
