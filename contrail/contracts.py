@@ -255,7 +255,7 @@ DICTIONARY = {
     "flight_gold": GOLD_COMMENTS,
     "l_date_gold": CALENDAR_COMMENTS,
     "l_airport_silver": AIRPORT_COMMENTS,
-    "l_cancelation_silver": CANCELLATION_COMMENTS,
+    "cancellation_silver": CANCELLATION_COMMENTS,
     "l_unique_carrier_silver": CARRIER_COMMENTS,
     "l_plane_silver": PLANE_COMMENTS,
 }

@@ -8,11 +8,16 @@ out of the generated code, whose size decides whether the JVM compiles it: see
 from __future__ import annotations
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+# Unlike double, decimal reads neither ``NaN`` nor a type suffix as in ``14d``.
+_TEXT_NUMBER = "decimal(20,6)"
 
 
 def to_number(column: Column, kind: str = "string") -> Column:
-    """Numeric text to double; numbers stay as they are."""
-    return column.try_cast("double") if kind == "string" else column
+    """Numeric text to decimal; numbers stay as they are."""
+    return column.try_cast(_TEXT_NUMBER) if kind == "string" else column
 
 
 def to_whole(column: Column, kind: str = "string") -> Column:
@@ -21,5 +26,12 @@ def to_whole(column: Column, kind: str = "string") -> Column:
 
 
 def to_flag(column: Column, kind: str = "string") -> Column:
-    """``0`` / ``1`` in any numeric spelling (``1``, ``1.00``) to boolean."""
-    return column if kind == "boolean" else to_number(column, kind) != 0
+    """``0`` / ``1`` in any numeric spelling (``1``, ``1.00``) or a boolean word to
+    boolean; a number that is not one (NaN) is NULL."""
+    if kind == "boolean":
+        return column
+    if kind == "string":
+        return F.coalesce(to_number(column, kind) != 0, column.try_cast("boolean"))
+    if kind in ("float", "double"):
+        return F.nanvl(column, F.lit(None).cast(kind)) != 0
+    return column != 0

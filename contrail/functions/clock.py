@@ -16,8 +16,10 @@ def clock_text(column: Column, kind: str = "string") -> Column:
     the lookup: no text is parsed, matched or padded per row.  A value of five or
     more digits keeps its leading four.
     """
-    hhmm = _leading_digits(to_number(column, kind),
-                           "double" if kind == "string" else kind)
+    number = to_number(column, kind)
+    if kind == "string":
+        number, kind = number.cast("double"), "double"
+    hhmm = _leading_digits(number, kind)
     hours = F.array(*(F.lit(f"{hour:02d}:") for hour in range(24)))
     minutes = F.array(*(F.lit(f"{minute:02d}") for minute in range(60)))
     return F.concat(F.get(hours, (hhmm / 100).cast("int")), F.get(minutes, hhmm % 100))

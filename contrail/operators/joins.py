@@ -27,6 +27,20 @@ def attach(fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_key:
     return fact.join(narrow, F.col(fact_key) == F.col("_key"), "left").drop("_key")
 
 
+def plain_text(column: Column, kind: str) -> Column:
+    """A value as text, a number or numeric text without trailing zeros."""
+    number = column.try_cast("decimal(30,6)")
+    trimmed = F.regexp_replace(number.cast("string"), r"\.?0+$", "")
+    # Only the zeros behind a point go.
+    text = F.when(number == F.floor(number), number.cast("decimal(30,0)").cast("string")
+                  ).otherwise(trimmed)
+    if kind == "string":
+        return F.coalesce(text, column)
+    if kind in ("date", "timestamp", "timestamp_ntz", "boolean", "binary"):
+        return column.cast("string")
+    return F.coalesce(text, column.cast("string"))
+
+
 def merge_on_key(frames: dict[str, DataFrame], key: str, value: str) -> DataFrame:
     """Full outer merge of any number of (key, value) frames on ``key``.
 
@@ -34,7 +48,16 @@ def merge_on_key(frames: dict[str, DataFrame], key: str, value: str) -> DataFram
     the merge is a union and one grouped aggregate: a single shuffle for any
     number of frames where chained outer joins need one per frame, and grouping
     puts NULL keys together the way ``<=>`` would.
+
+    Keys of different types are compared as text, numbers in their plainest
+    spelling: ``14.0`` and 14 are one key.  Spellings of one frame that then
+    coincide are added up.
     """
+    kinds = {dict(frame.dtypes)[key] for frame in frames.values()}
+    if len(kinds) > 1:
+        frames = {name: frame.select(
+            plain_text(F.col(key), dict(frame.dtypes)[key]).alias(key), value)
+            .groupBy(key).agg(F.sum(value).alias(value)) for name, frame in frames.items()}
     tagged = None
     for position, frame in enumerate(frames.values()):
         part = frame.select(F.col(key), F.lit(position).alias("_from"),

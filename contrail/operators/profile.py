@@ -84,11 +84,12 @@ class TableSet:
     >>> layers = TableSet(bronze=bronze).add("silver", silver)
     >>> layers.nulls()
     >>> layers.frequent("UniqueCarrier", n=10)
+
+    Nothing is kept between reports: each scans its tables once, as they are.
     """
 
     def __init__(self, **tables: DataFrame):
         self._tables: dict[str, DataFrame] = {}
-        self._reports: dict[tuple, DataFrame] = {}
         for name, frame in tables.items():
             self.add(name, frame)
 
@@ -96,12 +97,9 @@ class TableSet:
         return len(self._tables)
 
     def add(self, name: str, frame: DataFrame) -> "TableSet":
-        """Add a table, or replace the one of that name and its reports."""
+        """Add a table, or replace the one of that name."""
         if not isinstance(frame, DataFrame):
             raise TypeError(f"{name} is {type(frame).__name__}, not a Spark DataFrame")
-        stale = [key for key in self._reports if key[0] == name]
-        for key in stale:
-            self._reports.pop(key).unpersist()
         self._tables[name] = frame
         return self
 
@@ -114,9 +112,7 @@ class TableSet:
 
         A column that a table lacks is NULL for that table.
         """
-        reports = {
-            name: self._report((name, "nulls"), lambda: null_counts(frame, name))
-            for name, frame in self._tables.items()}
+        reports = {name: null_counts(frame, name) for name, frame in self._tables.items()}
         return self._side_by_side(reports, "column_name", shares)
 
     def frequent(self, column: str, n: int = 10, top: bool = True,
@@ -129,25 +125,10 @@ class TableSet:
                   if column in frame.columns}
         if not having:
             raise ValueError(f"no table has a column {column}")
-        reports = {
-            name: self._report((name, column, n, top),
-                               lambda: frequent_values(frame, column, n, top, name))
-            for name, frame in having.items()}
+        reports = {name: frequent_values(frame, column, n, top, name)
+                   for name, frame in having.items()}
         return self._side_by_side(reports, column, shares, ascending=not top)
 
-    def release(self) -> None:
-        """Drop the kept reports."""
-        for report in self._reports.values():
-            report.unpersist()
-        self._reports.clear()
-
-    def _report(self, key: tuple, build) -> DataFrame:
-        # A report is a handful of rows: keeping it saves the scan behind it,
-        # and a lost copy is simply computed again.
-        if key not in self._reports:
-            self._reports[key] = build().persist()
-        return self._reports[key]
-
     def _side_by_side(self, reports: dict[str, DataFrame], key: str, shares: bool,
                       ascending: bool = False) -> DataFrame:
         names = list(self._tables)
@@ -160,9 +141,7 @@ class TableSet:
         merged = with_differences(merged.select(key, *names), names)
         if shares:
             for name in names:
-                total = self._report(
-                    (name, "rows"),
-                    lambda: row_counts({name: self._tables[name]}))
+                total = row_counts({name: self._tables[name]})
                 merged = with_share(merged, name, total.select("num_rows").scalar())
         order = F.asc_nulls_last if ascending else F.desc_nulls_last
         return merged.orderBy(*(order(name) for name in names), F.asc(key))

@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,16 +25,18 @@ from ..operators.daily import daily_summary
 from ..operators.profile import (TableSet, frequent_values, group_counts,
                                  null_counts, require_reconciled, row_counts)
 from ..session import ensure_database, scratch_folder
-from ..sources.csv_files import list_csv, scan_csv, schema_of_sample, stream_csv
-from ..sources.landing import (land, landed_months, read_flight_files, read_landed,
-                               rows_per_file, stream_flight_files)
+from ..sources.csv_files import PLAIN_CSV, list_csv, scan_csv, schema_of_sample, stream_csv
+from ..sources.landing import (LAND_KEYS, land, landed_months, read_flight_files,
+                               read_landed, rows_per_file, stream_flight_files,
+                               stream_mixed_files, with_land_keys)
 from ..sources.tables import (comment_columns, describe_table, read_table,
                               register_table, write_table)
-from ..streaming.control import (finish, progress_table, stop_stream,
-                                 stream_status, wait_ready)
+from ..streaming.control import (finish, finish_step, progress_table, stop_all_streams,
+                                 stop_stream, stream_status, wait_ready)
 from ..streaming.hops import (start_bronze, start_landing, start_silver,
                               stream_writer)
 from . import questions
+from .lakehouse import Lake, read_codes, refresh_flights
 from .samples import (bronze_flights, raw_airports, raw_cancellations, raw_carriers,
                       raw_flights, raw_planes, table)
 
@@ -86,19 +88,29 @@ def hhmm_normalise(spark, folder):
     return normalise_clocks(raw, tuple(f"{c}_text" for c in C.CLOCK_COLUMNS))
 
 
+# What a number column may hold instead of one, chosen by order key.
+ODD_NUMBER = ("case l_orderkey % 8 when 0 then 'NaN' when 1 then 'true' "
+              "when 2 then cast(l_linenumber as STR) || 'd' when 3 then ' ' when 4 then 'F' "
+              "when 5 then '0.00' when 6 then cast(l_linenumber as STR) || '.9' else '' end")
+
+
 def safe_casts(spark, folder):
     text = {name: F.col(name).cast("string") for name in (
         "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag")}
+    text["odd"] = F.expr(ODD_NUMBER.replace("STR", "string"))
     return table(spark, folder, "lineitem").select(
         *(to_whole(column).alias(f"{name}_whole") for name, column in text.items()),
         *(to_flag(column).alias(f"{name}_flag") for name, column in text.items()))
 
 
 def lookup_passthrough(spark, folder):
-    """A code list from CSV to a stored table, unchanged."""
+    """A code list from CSV to a stored table, unchanged: ``007`` stays so."""
     root = scratch_folder(spark, "lookup")
-    raw_carriers(spark, folder).write.option("header", True).csv(f"{root}/csv")
-    write_table(scan_csv(spark, f"{root}/csv"), f"{root}/table")
+    codes = table(spark, folder, "supplier").select(
+        F.lpad((F.col("s_suppkey") % 20).cast("string"), 3, "0").alias("Code"),
+        F.col("s_name").alias("Description"))
+    codes.write.options(**PLAIN_CSV).csv(f"{root}/csv")
+    write_table(read_codes(spark, f"{root}/csv"), f"{root}/table")
     return spark.read.parquet(f"{root}/table")
 
 
@@ -131,17 +143,67 @@ def reconcile_landing(spark, folder):
     return require_reconciled(landed, spark.read.parquet(f"{root}-silver"))
 
 
+def top_n_compare_typed(spark, folder):
+    """Frequent values of a measure that is text in bronze and a number in silver."""
+    raw = raw_flights(spark, folder).withColumn("ArrDelay", F.col("ArrDelay").cast("string"))
+    return TableSet(bronze=raw, silver=silver_flights(spark, folder)).frequent("ArrDelay", 200)
+
+
+def profile_after_arrival(spark, folder):
+    """Null counts of landed files, before and after more of them arrived."""
+    root = scratch_folder(spark, "arrival")
+    flights = raw_flights(spark, folder)
+    reports = []
+    for step, lot in (("before", F.col("Month") <= 6), ("after", F.col("Month") > 6)):
+        land(flights.where(lot), root, mode="append")
+        report = TableSet(landed=read_landed(spark, root)).nulls()
+        path = scratch_folder(spark, "report")
+        write_table(report.select(F.lit(step).alias("step"), "*"), path)
+        reports.append(spark.read.parquet(path))
+    return reduce(DataFrame.unionByName, reports)
+
+
+def type_guard(spark, folder):
+    """A table set takes data frames and refuses what is not one, a table's name say."""
+    tables = TableSet()
+    taken = []
+    for name in ("nation", "region", "customer"):
+        for kind, value in (("frame", table(spark, folder, name)), ("name", name)):
+            try:
+                tables.add(f"{name}_{kind}", value)
+                taken.append((f"{name}_{kind}", True))
+            except TypeError:
+                taken.append((f"{name}_{kind}", False))
+    found = spark.createDataFrame(taken, "table_name string, accepted boolean")
+    return found.join(tables.rows(), "table_name", "left")
+
+
+def gold_order(spark, folder):
+    """How many days of the stored summary stand after a later one."""
+    root = scratch_folder(spark, "order")
+    write_table(daily_summary(silver_flights(spark, folder)).orderBy("date"), root)
+    place = F.monotonically_increasing_id()
+    # One row per day.  Files of a sorted write are numbered in order.
+    stored = spark.read.parquet(root).select(
+        "date", F.struct(F.col("_metadata.file_name"), place).alias("place"))
+    before = F.max("date").over(
+        Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
+    return stored.select("date", before.alias("before")).agg(
+        F.count(F.lit(1)).alias("num_days"),
+        F.count_if(F.col("before") > F.col("date")).alias("out_of_order"))
+
+
 # -- files and tables -------------------------------------------------------
 
 def csv_scan(spark, folder):
     root = scratch_folder(spark, "csv")
-    orders_by_day(spark, folder).write.option("header", True).csv(root)
+    orders_by_day(spark, folder).write.options(**PLAIN_CSV).csv(root)
     return scan_csv(spark, root, ORDERS_SCHEMA, check_header=True)
 
 
 def csv_inferred(spark, folder):
     root = scratch_folder(spark, "csv")
-    orders_by_day(spark, folder).write.option("header", True).csv(root)
+    orders_by_day(spark, folder).write.options(**PLAIN_CSV).csv(root)
     rows = scan_csv(spark, root)
     return rows.select("*", *(F.lit(kind).alias(f"{name}_type")
                               for name, kind in rows.dtypes))
@@ -152,7 +214,7 @@ def csv_recursive(spark, folder):
     root = scratch_folder(spark, "nested")
     (orders_by_day(spark, folder)
      .withColumns({"status": F.col("o_orderstatus"), "year": F.year("o_orderdate")})
-     .write.partitionBy("status", "year").option("header", True).csv(root))
+     .write.partitionBy("status", "year").options(**PLAIN_CSV).csv(root))
     listed = list_csv(spark, root).select(F.col("path").alias("listed_path"))
     rows = scan_csv(spark, root, ORDERS_SCHEMA, nested=True).select(
         "*", F.col("_metadata.file_path").alias("source_file"))
@@ -186,7 +248,27 @@ def table_roundtrip(spark, folder):
     register_table(spark, name, root)
     write_table(rows, root, ["o_orderstatus"], mode="overwrite")
     register_table(spark, name, root)
-    return read_table(spark, name)
+    write_table(read_table(spark, name), f"{root}-read")
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(f"{root}-read")
+
+
+def dictionary_after_refresh(spark, folder):
+    """Comments of a table after its rows, then also its columns, were replaced."""
+    root = scratch_folder(spark, "dictionary")
+    name = f"{ensure_database(spark)}.gold_{uuid.uuid4().hex[:8]}"
+    gold = daily_summary(silver_flights(spark, folder))
+    described = []
+    for step, frame in (("same", gold), ("replaced", gold), ("fewer", gold.drop("num_flights"))):
+        write_table(frame, f"{root}/{step}")
+        register_table(spark, name, f"{root}/{step}")
+        if step == "same":
+            comment_columns(spark, name, C.DICTIONARY["flight_gold"])
+        rows = read_table(spark, name).agg(F.count(F.lit(1)).alias("num_rows"))
+        described.append(describe_table(spark, name).select(
+            F.lit(step).alias("step"), "col_name", "comment").crossJoin(rows))
+    spark.sql(f"DROP TABLE {name}")
+    return reduce(DataFrame.unionByName, described)
 
 
 def table_dictionary(spark, folder):
@@ -198,7 +280,7 @@ def table_dictionary(spark, folder):
         "flight_gold": daily_summary(silver),
         "l_date_gold": calendar_for(silver),
         "l_airport_silver": airports(spark, folder),
-        "l_cancelation_silver": raw_cancellations(spark),
+        "cancellation_silver": raw_cancellations(spark),
         "l_unique_carrier_silver": raw_carriers(spark, folder),
         "l_plane_silver": planes(spark, folder),
     }
@@ -212,6 +294,7 @@ def table_dictionary(spark, folder):
         comment_columns(spark, stored, C.DICTIONARY[name])
         rows = describe_table(spark, stored).select(
             F.lit(name).alias("table_name"), "col_name", "data_type", "comment")
+        spark.sql(f"DROP TABLE {stored}")
         described = rows if described is None else described.unionByName(rows)
     return described
 
@@ -227,11 +310,11 @@ def write_source_files(spark: SparkSession, folder: str, root: str) -> None:
     flights = raw_flights(spark, folder)
     to_modern = {name: modern for modern, name in C.MODERN_HEADER.items()}
     recent = F.col("Year") >= 1996
-    (flights.where(~recent).write.option("header", True).csv(f"{root}/classic"))
+    (flights.where(~recent).write.options(**PLAIN_CSV).csv(f"{root}/classic"))
     (flights.where(recent).select(
         *(F.col(name).alias(to_modern[name]) for name in reversed(C.FLIGHT_COLUMNS)),
         F.lit("").alias("EXTRA"))
-     .write.option("header", True).csv(f"{root}/modern"))
+     .write.options(**PLAIN_CSV).csv(f"{root}/modern"))
 
 
 def modern_header() -> tuple[str, ...]:
@@ -276,6 +359,104 @@ def land_stream(spark, folder):
     return read_landed(spark, f"{root}-landed")
 
 
+def _write_lot(flights: DataFrame, root: str) -> None:
+    """Files of both headers into one folder."""
+    to_modern = {name: modern for modern, name in C.MODERN_HEADER.items()}
+    for rows in (flights.where("Year < 1996"), flights.where("Year >= 1996").select(
+            *(F.col(name).alias(to_modern[name]) for name in reversed(C.FLIGHT_COLUMNS)),
+            F.lit("").alias("EXTRA"))):
+        rows.write.mode("append").options(**PLAIN_CSV).csv(root)
+
+
+def land_stream_mixed(spark, folder):
+    """One folder of both headers, filled in two lots, landed by a resumed stream."""
+    root = scratch_folder(spark, "mixed")
+    flights = raw_flights(spark, folder)
+    for lot in (F.col("Month") <= 6, F.col("Month") > 6):
+        _write_lot(flights.where(lot), f"{root}/source")
+        finish(start_landing([stream_mixed_files(spark, f"{root}/source", 3)],
+                             f"{root}/landed", f"{root}/checkpoint"))
+    return read_landed(spark, f"{root}/landed")
+
+
+def land_bounded(spark, folder):
+    """A landing of at most two files, then one of the rest."""
+    root = scratch_folder(spark, "bounded")
+    flights = raw_flights(spark, folder).repartition(6)
+    _write_lot(flights, f"{root}/source")
+    counted = []
+    for bound in (2, None):
+        source = stream_mixed_files(spark, f"{root}/source", bound)
+        query = start_landing([source], f"{root}/landed", f"{root}/checkpoint",
+                              one_step=bound is not None)
+        (finish_step if bound else finish)(query)
+        rows = read_landed(spark, f"{root}/landed").count()
+        counted.append(rows)
+    total = F.count(F.lit(1))
+    return read_landed(spark, f"{root}/landed").agg(
+        total.alias("num_rows"),
+        (F.lit(counted[0]) > 0).alias("first_run_landed"),
+        (F.lit(counted[0]) < total).alias("first_run_left_some"))
+
+
+def land_atomic(spark, folder):
+    """Readers of a streamed folder see published files alone, not a stray one."""
+    root = scratch_folder(spark, "atomic")
+    flights = raw_flights(spark, folder)
+    _write_lot(flights, f"{root}/source")
+    finish(start_landing([stream_mixed_files(spark, f"{root}/source")],
+                         f"{root}/landed", f"{root}/checkpoint"))
+    # As a task that died halfway leaves it.
+    (with_land_keys(flights.where("Month = 1")).write.mode("append").partitionBy(*LAND_KEYS)
+     .options(**PLAIN_CSV).csv(f"{root}/landed"))
+    return landed_months(read_landed(spark, f"{root}/landed"))
+
+
+def land_ledger(spark, folder):
+    """The whole refresh with its ledger: rows by header family, then of each layer."""
+    root = scratch_folder(spark, "ledger")
+    lake = Lake(f"{root}/lake", f"ledger_{uuid.uuid4().hex[:8]}")
+    write_source_files(spark, folder, f"{root}/source")
+    counts = refresh_flights(spark, lake, [f"{root}/source"], SOURCE_LABEL)
+    family = F.regexp_extract("source_file", "/(classic|modern)/", 1)
+    ledger = read_table(spark, lake.table("landing_ledger")).groupBy(
+        family.alias("place")).agg(F.sum("num_rows").alias("num_rows"))
+    layers = counts.select(F.inline(F.array(*(
+        F.struct(F.lit(name).alias("place"), F.col(f"{name}_rows").alias("num_rows"))
+        for name in ("source", "landed", "bronze", "silver")))))
+    spark.sql(f"DROP DATABASE {lake.database} CASCADE")
+    return ledger.unionByName(layers)
+
+
+def csv_fidelity(spark, folder):
+    """Texts with outer spaces, quotes and backslashes, written, landed and read back."""
+    root = scratch_folder(spark, "fidelity")
+    texts = table(spark, folder, "part").selectExpr("p_partkey", *ODD_TEXTS_AS)
+    texts.write.options(**PLAIN_CSV).csv(f"{root}/plain")
+    carried = texts.select(*(
+        (F.col("spaced") if name == "TailNum" else F.col("quoted") if name == "Origin"
+         else F.col("slashed") if name == "Dest" else F.lit(1999) if name == "Year"
+         else F.col("p_partkey") if name == "FlightNum" else F.lit("1")).alias(name)
+        for name in C.FLIGHT_COLUMNS))
+    carried.write.options(**PLAIN_CSV).csv(f"{root}/source")
+    land(read_flight_files(spark, f"{root}/source"), f"{root}/landed")
+    landed = read_landed(spark, f"{root}/landed").select(
+        F.col("FlightNum").cast("bigint").alias("p_partkey"), F.col("TailNum").alias("spaced"),
+        F.col("Origin").alias("quoted"), F.col("Dest").alias("slashed"))
+    schema = T.StructType([T.StructField("p_partkey", T.LongType()), *(
+        T.StructField(name, T.StringType()) for name in ("spaced", "quoted", "slashed"))])
+    return (scan_csv(spark, f"{root}/plain", schema, check_header=True)
+            .withColumn("way", F.lit("plain"))
+            .unionByName(landed.withColumn("way", F.lit("landed"))))
+
+
+# Backslashes by number, as engines differ in how they write them.
+ODD_TEXTS_AS = ("concat('  ', p_name, ' ') as spaced",
+                """concat('say "', p_brand, '"', case when p_size % 2 = 0 then ', "' else '' end)
+                as quoted""",
+                "concat(p_type, chr(92), '\"', chr(92)) as slashed")
+
+
 # -- streams ----------------------------------------------------------------
 
 def _stream_name(label: str) -> str:
@@ -336,7 +517,7 @@ def stream_incremental(spark, folder):
     name = _stream_name("events")
     for lot in (early, ~early):
         (events.where(lot).withColumn("folder_day", F.col("day"))
-         .write.mode("append").partitionBy("folder_day").option("header", True)
+         .write.mode("append").partitionBy("folder_day").options(**PLAIN_CSV)
          .csv(f"{root}/source"))
         _event_stream(spark, root, name, files_per_batch=7)
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{root}/table")
@@ -351,13 +532,29 @@ def stream_progress(spark, folder):
         F.sum("rows_in").alias("rows_in"))
 
 
+def stream_stop_all(spark, folder):
+    """Two running queries, stopped together; a second stop finds none."""
+    root = scratch_folder(spark, "stop")
+    _daily_events(spark, folder).write.options(**PLAIN_CSV).csv(f"{root}/source")
+    running = [stream_writer(stream_csv(spark, f"{root}/source", EVENTS_SCHEMA),
+                             f"{root}/checkpoint-{n}", _stream_name(n), until_caught_up=False)
+               .start(f"{root}/{n}") for n in ("one", "two")]
+    for query in running:
+        query.processAllAvailable()
+    stopped, again = stop_all_streams(spark), stop_all_streams(spark)
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{root}/one").agg(
+        F.count(F.lit(1)).alias("num_rows"), F.lit(stopped).alias("stopped"),
+        F.lit(again).alias("stopped_again"),
+        F.lit(any(query.isActive for query in running)).alias("any_active"))
+
+
 def stream_control(spark, folder):
     """Start two running queries, see both ready, stop one by name, then all.
 
     Returns what each step said next to the rows that went through.
     """
     root = scratch_folder(spark, "control")
-    _daily_events(spark, folder).write.option("header", True).csv(f"{root}/source")
+    _daily_events(spark, folder).write.options(**PLAIN_CSV).csv(f"{root}/source")
     names = [_stream_name("first"), _stream_name("second")]
     running = []
     for name in names:
@@ -432,6 +629,17 @@ def queries() -> dict[str, Query]:
             silver_flights(s, d), airports(s, d)),
         "weather_link": lambda s, d: questions.weather_link(silver_flights(s, d)),
         "star_join": star_join,
+        "top_n_compare_typed": top_n_compare_typed,
+        "profile_after_arrival": profile_after_arrival,
+        "type_guard": type_guard,
+        "gold_order": gold_order,
+        "dictionary_after_refresh": dictionary_after_refresh,
+        "csv_fidelity": csv_fidelity,
+        "land_stream_mixed": land_stream_mixed,
+        "land_bounded": land_bounded,
+        "land_atomic": land_atomic,
+        "land_ledger": land_ledger,
+        "stream_stop_all": stream_stop_all,
         "csv_scan": csv_scan,
         "csv_inferred": csv_inferred,
         "csv_recursive": csv_recursive,
@@ -458,7 +666,11 @@ STAR_COLUMNS = (
 
 def star_join(spark, folder):
     silver = silver_flights(spark, folder)
+    # A stored lookup has a known size, so the planner broadcasts it from the start
+    # instead of shuffling the fact on its few airports.
+    stored = scratch_folder(spark, "airports")
+    write_table(airports(spark, folder), stored)
     joined = questions.star_join(
-        silver, calendar_for(silver), airports(spark, folder), planes(spark, folder),
+        silver, calendar_for(silver), spark.read.parquet(stored), planes(spark, folder),
         raw_carriers(spark, folder), raw_cancellations(spark))
     return joined.select(*STAR_COLUMNS)

@@ -8,6 +8,7 @@ joins.
 from __future__ import annotations
 
 from .. import contracts as C
+from .catalogue import ODD_NUMBER, ODD_TEXTS_AS
 from .samples import (AIRPORT_EXPRESSIONS, CANCELLATION_REASONS, FLIGHT_PARTS,
                       FLIGHT_EXPRESSIONS, PLANE_EXPRESSIONS, as_select)
 
@@ -217,7 +218,7 @@ _BRONZE_TEXT = _comma(
 def _dictionary() -> str:
     schemas = {
         "flight_silver": C.SILVER, "flight_gold": C.GOLD, "l_date_gold": C.CALENDAR,
-        "l_airport_silver": C.AIRPORT, "l_cancelation_silver": C.CODE_LIST,
+        "l_airport_silver": C.AIRPORT, "cancellation_silver": C.CODE_LIST,
         "l_unique_carrier_silver": C.CODE_LIST, "l_plane_silver": C.PLANE}
     rows = ", ".join(
         "('{}', '{}', '{}', '{}')".format(
@@ -228,6 +229,49 @@ def _dictionary() -> str:
             "as v(table_name, col_name, data_type, comment)")
 
 
+def _over_odd(body: str) -> str:
+    """The cast query with its odd column: numbers by a pattern, words by a list."""
+    number = "regexp_matches(odd, '^-?[0-9]+([.][0-9]+)?$')"
+    whole = f"case when {number} then cast(trunc(cast(odd as double)) as integer) end"
+    flag = (f"case when {number} then cast(odd as double) <> 0 when lower(odd) in "
+            "('t', 'true', 'y', 'yes') then true when lower(odd) in ('f', 'false', 'n', 'no') "
+            "then false end")
+    return (f"with odd as (select *, {ODD_NUMBER.replace('STR', 'varchar')} as odd "
+            f"from lineitem) " + body.replace("{whole}", whole).replace("{flag}", flag))
+
+
+def _typed_compare() -> str:
+    """Each side's 200 most frequent delays, matched as numbers."""
+    def side(name: str) -> str:
+        order = ("cast(cast(ArrDelay as double) as varchar)" if name == "bronze" else "ArrDelay")
+        return (f"select cast(ArrDelay as integer) as d, {order} as shown, count(*) as {name} "
+                f"from {'raw' if name == 'bronze' else 'silver'} group by all "
+                f"order by {name} desc, shown asc nulls first limit 200")
+    return f"""select cast(coalesce(a.d, b.d) as varchar) as ArrDelay, bronze, silver,
+  bronze - silver as var_bronze_silver
+from ({side('bronze')}) a full join ({side('silver')}) b on a.d is not distinct from b.d"""
+
+
+def _arrival() -> str:
+    return " union all ".join(
+        f"select '{step}' as step, * from ({_nulls(rows, C.FLIGHT_COLUMNS, 'landed')})"
+        for step, rows in (("before", "(select * from raw where Month <= 6)"),
+                           ("after", "raw")))
+
+
+def _after_refresh() -> str:
+    comments = [(name, text.replace("'", "''"))
+                for name, text in C.DICTIONARY["flight_gold"].items()]
+    rows = ", ".join(f"('{step}', '{name}', '{text}')" for step in ("same", "replaced", "fewer")
+                     for name, text in comments
+                     if not (step == "fewer" and name == "num_flights"))
+    return (f"select v.*, (select count(*) from gold) as num_rows "
+            f"from (values {rows}) as v(step, col_name, comment)")
+
+
+_FIDELITY = "select p_partkey, " + ", ".join(ODD_TEXTS_AS) + " from part"
+
+
 def oracle_sql() -> dict[str, str]:
     """Query name -> SQL."""
     return {
@@ -238,14 +282,16 @@ def oracle_sql() -> dict[str, str]:
         "hhmm_normalise": _over(
             "raw", "select " + ", ".join(C.CLOCK_COLUMNS) + ", " + ", ".join(
                 f"{_clock(c)} as {c}_text" for c in C.CLOCK_COLUMNS) + " from raw"),
-        "safe_casts": "select " + ", ".join(
+        "safe_casts": _over_odd("select " + ", ".join(
             f"{_whole(f'cast({c} as varchar)')} as {c}_whole, "
             f"try_cast(cast({c} as varchar) as double) <> 0 as {c}_flag"
-            for c in ("l_orderkey", "l_quantity", "l_extendedprice", "l_discount",
-                      "l_returnflag")) + " from lineitem",
+            for c in ("l_orderkey", "l_quantity", "l_extendedprice", "l_discount"))
+            + f", {_whole('l_returnflag')} as l_returnflag_whole, case when l_returnflag = 'N' "
+            "then false end as l_returnflag_flag, {whole} as odd_whole, {flag} as odd_flag from odd"),
         "lookup_split": _over("raw_airport airport", "select * from airport"),
         "lookup_dropna": _over("raw_plane plane", "select * from plane"),
-        "lookup_passthrough": _over("carrier", "select * from carrier"),
+        "lookup_passthrough": "select lpad(cast(s_suppkey % 20 as varchar), 3, '0') as Code, "
+                              "s_name as Description from supplier",
         "daily_gold": _over("raw silver gold", "select * from gold"),
         "date_range": _over(
             "raw silver", "select min(date) as min_date, max(date) as max_date from silver"),
@@ -323,6 +369,29 @@ def oracle_sql() -> dict[str, str]:
             "left join airport o on Origin = o.airport_code "
             "left join airport d on Dest = d.airport_code "
             "left join plane p on s.TailNum = p.tailnum"),
+        "top_n_compare_typed": _over("raw silver", _typed_compare()),
+        "profile_after_arrival": _over("raw", _arrival()),
+        "type_guard": " union all ".join(
+            f"select '{t}_frame' as table_name, true as accepted, count(*) as num_rows from {t} "
+            f"union all select '{t}_name', false, null" for t in ("nation", "region", "customer")),
+        "gold_order": _over("raw silver gold", "select count(*) as num_days, "
+                            "cast(0 as bigint) as out_of_order from gold"),
+        "dictionary_after_refresh": _over("raw silver gold", _after_refresh()),
+        "csv_fidelity": f"select *, 'plain' as way from ({_FIDELITY}) union all "
+                        f"select *, 'landed' as way from ({_FIDELITY})",
+        "land_stream_mixed": _over("raw", f"select {_LANDED_TEXT} from raw"),
+        "land_bounded": "select count(*) as num_rows, true as first_run_landed, "
+                        "true as first_run_left_some from lineitem",
+        "land_atomic": _over(
+            "raw", "select Year as land_year, Year * 100 + Month as land_month, "
+                   "count(*) as num_rows from raw group by all"),
+        "land_ledger": _over(
+            "raw", "select case when Year >= 1996 then 'modern' else 'classic' end as place, "
+                   "count(*) as num_rows from raw group by 1 union all "
+                   "select place, n from (select count(*) as n from raw), (values ('source'), "
+                   "('landed'), ('bronze'), ('silver')) as v(place)"),
+        "stream_stop_all": "select count(*) as num_rows, true as stopped, "
+                           "false as stopped_again, false as any_active from events",
         "csv_scan": _ORDERS,
         "csv_inferred": "select cast(o_orderkey as integer) as o_orderkey, "
                         "cast(o_custkey as integer) as o_custkey, "

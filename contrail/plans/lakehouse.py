@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import contracts as C
 from ..operators.calendar import calendar_for
 from ..operators.cleaning import drop_empty_planes, split_airports
+from ..functions import to_whole
 from ..operators.daily import daily_summary
+from ..operators.profile import row_counts
 from ..session import DATABASE, ensure_database
 from ..sources.csv_files import scan_csv
-from ..sources.landing import sample_header, stream_flight_files
+from ..sources.landing import (count_rows, headers_below, read_landed,
+                               stream_mixed_files)
 from ..sources.tables import (comment_columns, read_table, register_table,
                               write_table)
-from ..streaming.control import finish
+from ..streaming.control import finish, finish_step
 from ..streaming.hops import start_bronze, start_landing, start_silver
 
 
@@ -46,16 +52,30 @@ class Lake:
 
 def refresh_flights(spark: SparkSession, lake: Lake, sources: list[str],
                     label: str, files_per_batch: int | None = None,
-                    timeout: float = 24 * 3600) -> None:
+                    timeout: float = 24 * 3600, max_files: int | None = None,
+                    archive: str | None = None) -> DataFrame:
     """Bring new source files through to silver, each hop taking what is new.
 
-    Each folder of ``sources`` holds files of one header; one that differs fails
-    the landing.  Run again after more files have arrived: only those are read.
-    ``files_per_batch`` bounds what each step of a hop takes on.
+    Folders of ``sources`` may mix headers: each file is read by its own.  Run
+    again after more files have arrived: only those are read.
+    ``files_per_batch`` bounds what each step of a hop takes on.  ``max_files``
+    bounds the run: at most so many new files of each source folder are landed,
+    the rest is left for later runs.  ``archive`` names a folder to which landed
+    source files are moved.
+
+    The rows of each new source file are added to the table ``landing_ledger``;
+    then the layers are counted and must agree.  Returns that count, one row:
+    source_rows, landed_rows, bronze_rows, silver_rows, rows_left.
     """
-    streams = [stream_flight_files(spark, folder, sample_header(spark, folder),
-                                   files_per_batch) for folder in sources]
-    finish(start_landing(streams, lake.landed, lake.checkpoint("landing")), timeout)
+    record_source_files(spark, lake, sources)
+    streams = [stream_mixed_files(spark, folder, max_files or files_per_batch, archive)
+               for folder in sources]
+    landing = start_landing(streams, lake.landed, lake.checkpoint("landing"),
+                            one_step=max_files is not None)
+    if max_files is None:
+        finish(landing, timeout)
+    else:
+        finish_step(landing, timeout)
     finish(start_bronze(spark, lake.landed, lake.folder("flight_bronze"),
                         lake.checkpoint("bronze"), label, files_per_batch,
                         fmt=lake.fmt), timeout)
@@ -65,6 +85,52 @@ def refresh_flights(spark: SparkSession, lake: Lake, sources: list[str],
     ensure_database(spark, lake.database)
     for name in ("flight_bronze", "flight_silver"):
         register_table(spark, lake.table(name), lake.folder(name), lake.fmt)
+    return account(spark, lake, complete=max_files is None)
+
+
+def record_source_files(spark: SparkSession, lake: Lake, sources: list[str]) -> None:
+    """Add the source files that ``landing_ledger`` does not have, with their rows.
+
+    Only new files are read.  Their names go through the driver, as those of any
+    files to be read do.
+    """
+    path = lake.folder("landing_ledger")
+    known = None
+    if spark.catalog.tableExists(lake.table("landing_ledger")):
+        known = read_table(spark, lake.table("landing_ledger")).select("source_file")
+    for folder in sources:
+        files = headers_below(spark, folder).found.select(F.col("path").alias("source_file"))
+        if known is not None:
+            files = files.join(known, "source_file", "left_anti")
+        names = [row[0] for row in files.collect()]
+        if names:
+            counts = count_rows(spark, names).withColumn("recorded", F.current_timestamp())
+            write_table(counts, path, mode="append", fmt=lake.fmt)
+    ensure_database(spark, lake.database)
+    register_table(spark, lake.table("landing_ledger"), path, lake.fmt)
+
+
+def account(spark: SparkSession, lake: Lake, complete: bool = True) -> DataFrame:
+    """Rows at the source, landed, in bronze and in silver; fails when they differ.
+
+    Of an unfinished landing (``complete=False``) the source may hold more.
+    """
+    tables = {
+        "landed_rows": row_counts({"t": read_landed(spark, lake.landed)}),
+        "bronze_rows": row_counts({"t": spark.read.format(lake.fmt).load(
+            lake.folder("flight_bronze"))}),
+        "silver_rows": row_counts({"t": spark.read.format(lake.fmt).load(
+            lake.folder("flight_silver"))})}
+    found = read_table(spark, lake.table("landing_ledger")).agg(
+        F.coalesce(F.sum("num_rows"), F.lit(0)).alias("source_rows"))
+    for name, counted in tables.items():
+        found = found.withColumn(name, counted.select("num_rows").scalar())
+    found = found.withColumn("rows_left", F.col("source_rows") - F.col("landed_rows"))
+    row = found.first()
+    stored = {row["landed_rows"], row["bronze_rows"], row["silver_rows"]}
+    if len(stored) > 1 or row["rows_left"] < 0 or (complete and row["rows_left"]):
+        raise ValueError(f"row counts differ: {row.asDict()}")
+    return spark.createDataFrame([row], found.schema)
 
 
 def build_gold(spark: SparkSession, lake: Lake) -> None:
@@ -80,23 +146,55 @@ def build_gold(spark: SparkSession, lake: Lake) -> None:
 
 def load_lookups(spark: SparkSession, lake: Lake, airport: str, plane: str,
                  cancellation: str, carrier: str, mode: str = "errorifexists") -> None:
-    """Load the four lookup files; a lookup already stored is an error."""
+    """Load the four lookup files; a lookup already stored is an error.
+
+    The files are read by contract: codes stay text (``01`` is not 1), and a file
+    with another header fails.
+    """
     ensure_database(spark, lake.database)
     frames = {
-        "l_airport_silver": split_airports(scan_csv(spark, airport)),
-        "l_plane_silver": drop_empty_planes(scan_csv(spark, plane)),
-        "l_cancelation_silver": scan_csv(spark, cancellation),
-        "l_unique_carrier_silver": scan_csv(spark, carrier),
+        "l_airport_silver": split_airports(read_codes(spark, airport)),
+        "l_plane_silver": drop_empty_planes(read_planes(spark, plane)),
+        "cancellation_silver": read_codes(spark, cancellation),
+        "l_unique_carrier_silver": read_codes(spark, carrier),
     }
     for name, frame in frames.items():
         store(spark, lake, name, frame, mode)
 
 
+def read_codes(spark: SparkSession, path: str) -> DataFrame:
+    """A code list file: Code and Description as text."""
+    return scan_csv(spark, path, C.CODE_LIST, check_header=True)
+
+
+def read_planes(spark: SparkSession, path: str) -> DataFrame:
+    """The plane file with its contract's types; an unreadable date or year is NULL."""
+    text = T.StructType([T.StructField(name, T.StringType()) for name in C.PLANE.names])
+    rows = scan_csv(spark, path, text, check_header=True)
+    american = F.try_to_timestamp("issue_date", F.lit("MM/dd/yyyy")).cast("date")
+    return rows.withColumns({
+        "issue_date": F.coalesce(F.col("issue_date").try_cast("date"), american),
+        "year": to_whole(F.col("year"))}).select(
+            *(F.col(f.name).cast(f.dataType) for f in C.PLANE.fields))
+
+
 def store(spark: SparkSession, lake: Lake, name: str, frame: DataFrame,
           mode: str) -> None:
-    """Write one table and register it."""
-    write_table(frame, lake.folder(name), mode=mode, fmt=lake.fmt)
-    register_table(spark, lake.table(name), lake.folder(name), lake.fmt)
+    """Write one table and register it.
+
+    ``overwrite`` writes a folder of its own and then points the table at it, so
+    a reader never meets a half-replaced table.  The folder before stays for the
+    queries that still read it; removing old ones is left to the operator.
+    """
+    if mode == "overwrite":
+        path = f"{lake.folder(name)}-{uuid.uuid4().hex[:12]}"
+        write_table(frame, path, fmt=lake.fmt)
+    else:
+        path = lake.folder(name)
+        if mode == "errorifexists" and spark.catalog.tableExists(lake.table(name)):
+            raise ValueError(f"table {lake.table(name)} already exists")
+        write_table(frame, path, mode=mode, fmt=lake.fmt)
+    register_table(spark, lake.table(name), path, lake.fmt)
 
 
 def document(spark: SparkSession, lake: Lake) -> None:

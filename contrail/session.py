@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-DATABASE = "flights_db"
+DATABASE = "flight_lake"
 
 # Parallelism and memory are left to the cluster: tying them to the driver's
 # core count or RAM would cap every job at one machine's size.

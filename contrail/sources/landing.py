@@ -7,48 +7,63 @@ with the 29 contract columns in order.
 from __future__ import annotations
 
 import csv
+from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import contracts as C
 from ..functions import to_whole
-from .csv_files import list_csv, scan_csv, stream_csv
+from ..session import scratch_folder
+from .csv_files import PLAIN_CSV, list_csv, literal_path, scan_csv, stream_csv
+from .tables import refuse_streamed
 
 LAND_KEYS = ("land_year", "land_month")
 
 
+# A file is one split when the headers are read, unless it is larger than this.
+_PEEK_SPLIT = 64 << 30
+
+
 def file_headers(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, header) of every ``*.csv`` below ``folder``.
+    """(path, folder, header) of every ``*.csv`` below ``folder``.
 
-    Each task stops after the first line of its file, so the cost is one open
-    per split, not one read of the data.  That needs one file per task, which a
-    session of its own arranges without touching the caller's settings.
+    One task opens each file and stops after its first line: a session of its own
+    arranges that a file is one split and shares it with no other, whatever the
+    cluster's defaults say, without touching the caller's settings.  Should Spark
+    pack several files in a task all the same, each still gives its own line.
     """
     peek = spark.newSession()
-    peek.conf.set("spark.sql.files.openCostInBytes",
-                  peek.conf.get("spark.sql.files.maxPartitionBytes"))
+    for name, value in (("maxPartitionBytes", _PEEK_SPLIT), ("openCostInBytes", _PEEK_SPLIT),
+                        ("maxPartitionNum", 2 ** 31 - 1)):
+        peek.conf.set(f"spark.sql.files.{name}", str(value))
     lines = (peek.read.option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.csv").text(folder)
+             .option("pathGlobFilter", "*.csv").text(literal_path(folder))
              .select(F.col("_metadata.file_path").alias("path"),
                      F.col("_metadata.file_block_start").alias("start"),
                      F.col("value").alias("header")))
+    alone = peek.conf.get("spark.sql.files.maxPartitionNum") == str(2 ** 31 - 1)
 
     # A local function travels to the executors by value: they need not have
     # this package installed.
-    def first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
+            for at, path in enumerate(batch.column("path").to_pylist()):
+                if path not in seen:
+                    seen.add(path)
+                    yield batch.slice(at, 1)
+            if seen and alone:
                 return
 
-    return (lines.mapInArrow(first_row, lines.schema)
-            .where(F.col("start") == 0).select("path", "header"))
+    return (lines.mapInArrow(first_rows, lines.schema).where(F.col("start") == 0)
+            .select("path", F.regexp_replace("path", "/[^/]*$", "").alias("folder"), "header"))
 
 
 def split_header(line: str) -> tuple[str, ...]:
@@ -57,25 +72,45 @@ def split_header(line: str) -> tuple[str, ...]:
     return tuple(name.strip() for name in names)
 
 
-def header_families(spark: SparkSession, folder: str) -> dict[tuple[str, ...], list[str]]:
-    """Files below ``folder`` grouped by their header.
+@dataclass(frozen=True)
+class Headers:
+    """The headers found below a folder.
 
-    What reaches the driver is one name per file, which the file index of any
-    scan of the folder holds there as well.
+    ``found`` has a row (path, folder, header) per file and stays on the cluster;
+    the driver holds one entry per pair of header and folder.
     """
-    families: dict[tuple[str, ...], list[str]] = {}
-    for row in file_headers(spark, folder).collect():
-        # Spark reports paths URL-encoded and reads them plain.
-        families.setdefault(split_header(row["header"]), []).append(unquote(row["path"]))
-    return families
 
+    found: DataFrame
+    folders: dict[str, list[str]]  # header line -> the folders with such files
+
+    @property
+    def lines(self) -> list[str]:
+        return sorted(self.folders)
+
+    def mixed(self) -> set[str]:
+        """Folders whose files differ in their headers."""
+        seen = Counter(folder for some in self.folders.values() for folder in some)
+        return {folder for folder, n in seen.items() if n > 1}
+
+
+def headers_below(spark: SparkSession, folder: str) -> Headers:
+    """Read the header of each file below ``folder``, once.
 
-def sample_header(spark: SparkSession, folder: str) -> tuple[str, ...]:
-    """The header of one file below ``folder``, for files known to share it."""
-    path = list_csv(spark, folder).agg(F.min("path")).first()[0]
-    if path is None:
+    Fails when the files found are not those listed.
+    """
+    label = scratch_folder(spark, "headers")
+    file_headers(spark, folder).write.parquet(label)
+    found = spark.read.parquet(label)
+    listed = list_csv(spark, folder).where("length > 0").count()
+    if listed != found.count():
+        raise RuntimeError(f"{listed} files with content below {folder}, headers of "
+                           f"{found.count()}: files came or went meanwhile")
+    folders: dict[str, list[str]] = {}
+    for row in found.select("header", "folder").distinct().orderBy("header", "folder").collect():
+        folders.setdefault(row["header"], []).append(row["folder"])
+    if not folders:
         raise FileNotFoundError(f"no csv file below {folder}")
-    return split_header(file_headers(spark, path).first()["header"])
+    return Headers(found, folders)
 
 
 def contract_positions(header: Sequence[str]) -> dict[str, int]:
@@ -101,32 +136,92 @@ def read_flight_files(spark: SparkSession, folder: str,
                       with_path: bool = False) -> DataFrame:
     """All flight files below ``folder``, whatever their headers, as one frame.
 
-    One scan per distinct header, each reading only the contract columns as
-    text.  ``with_path`` adds the file of each row as ``source_file``.
+    A folder of one header is read by a scan of its own header's kind, which takes
+    only the contract columns, as text.  Folders that mix headers are read once by
+    position, and a join on the path tells each row which header its file has.
+    ``with_path`` adds the file of each row as ``source_file``.
     """
-    families = header_families(spark, folder)
-    if not families:
-        raise FileNotFoundError(f"no csv file below {folder}")
+    headers = headers_below(spark, folder)
+    mixed = headers.mixed()
     extra = [F.col("_metadata.file_path").alias("source_file")] if with_path else []
     frames = []
-    for header, paths in sorted(families.items()):
-        # Named by position: a file may hold unnamed or repeated extra columns.
-        scan = scan_csv(spark, paths, _text_schema(f"c{i}" for i in range(len(header))))
-        frames.append(scan.select(
-            *(F.col(f"c{position}").alias(name)
-              for name, position in contract_positions(header).items()), *extra))
+    for line in headers.lines:
+        paths = [literal_path(unquote(f)) for f in headers.folders[line] if f not in mixed]
+        if paths:
+            header = split_header(line)
+            scan = scan_csv(spark, paths, _position_schema(len(header)), flat=True)
+            frames.append(scan.select(*_contract_columns(header), *extra))
+    if mixed:
+        scan = scan_csv(spark, [literal_path(unquote(f)) for f in sorted(mixed)],
+                        _position_schema(_widest(headers)), flat=True)
+        rows = scan.select("*", F.col("_metadata.file_path").alias("source_file"))
+        frames.append(_by_file(rows, headers).select(
+            *C.FLIGHT_COLUMNS, *(["source_file"] if with_path else [])))
     return reduce(DataFrame.unionByName, frames)
 
 
 def stream_flight_files(spark: SparkSession, folder: str, header: Sequence[str],
-                        files_per_batch: int | None = None) -> DataFrame:
+                        files_per_batch: int | None = None,
+                        archive: str | None = None) -> DataFrame:
     """Flight files of one header below ``folder`` as a stream.
 
     A file with another header fails the stream instead of shifting columns.
     Union the streams of several headers to land them in one query.
     """
-    return harmonise(stream_csv(spark, folder, _text_schema(header), files_per_batch,
-                                nested=True, check_header=True))
+    return harmonise(stream_csv(spark, literal_path(folder), _text_schema(header),
+                                files_per_batch, nested=True, check_header=True,
+                                archive=archive))
+
+
+def stream_mixed_files(spark: SparkSession, folder: str, files_per_batch: int | None = None,
+                       archive: str | None = None) -> DataFrame:
+    """Flight files below ``folder`` as a stream, each by its own header.
+
+    The headers of the files present are read before the stream starts.  Start it
+    anew when files have come: it takes up where it stopped.  A file that came
+    after its headers were read fails the stream; the next run reads it.
+    """
+    headers = headers_below(spark, folder)
+    rows = stream_csv(spark, literal_path(folder), _position_schema(_widest(headers)),
+                      files_per_batch, nested=True, archive=archive)
+    return _by_file(rows.select("*", F.col("_metadata.file_path").alias("source_file")),
+                    headers).select(*C.FLIGHT_COLUMNS)
+
+
+def _widest(headers: Headers) -> int:
+    return max(len(split_header(line)) for line in headers.lines)
+
+
+def _contract_columns(header: Sequence[str]) -> list[Column]:
+    # By position: a file may hold unnamed or repeated extra columns.
+    return [F.col(f"c{position}").alias(name)
+            for name, position in contract_positions(header).items()]
+
+
+def _by_file(rows: DataFrame, headers: Headers) -> DataFrame:
+    """Positional rows with ``source_file`` to contract columns, by their file's header."""
+    positions = [contract_positions(split_header(line)) for line in headers.lines]
+    kind = reduce(lambda made, item: made.when(F.col("header") == item[1], item[0]),
+                  enumerate(headers.lines), F.when(F.lit(False), -1))
+    kinds = headers.found.select(F.col("path").alias("source_file"), kind.alias("_kind"))
+    unknown = F.raise_error(F.concat(F.lit("no header was read of "), F.col("source_file")))
+    known = F.when(F.col("_kind").isNull(), unknown.cast("int")).otherwise(F.col("_kind"))
+    joined = rows.join(kinds, "source_file", "left").withColumn("_kind", known)
+
+    def column(name: str) -> Column:
+        at: dict[int, list[int]] = {}
+        for number, places in enumerate(positions):
+            at.setdefault(places[name], []).append(number)
+        made = F.when(F.lit(False), F.lit(None))
+        for place, numbers in at.items():
+            made = made.when(F.col("_kind").isin(numbers), F.col(f"c{place}"))
+        return made.alias(name)
+
+    return joined.select(*map(column, C.FLIGHT_COLUMNS), "source_file")
+
+
+def _position_schema(width: int) -> T.StructType:
+    return _text_schema(f"c{i}" for i in range(width))
 
 
 def _text_schema(names: Iterable[str]) -> T.StructType:
@@ -145,13 +240,15 @@ def land(flights: DataFrame, target: str, mode: str = "errorifexists",
 
     Regrouping gathers a month's rows into few well-sized files and splits a
     month too big for one task, so neither tiny files nor a hot month result.
+    Appending to a folder that a stream lands in is refused.
     It shuffles the rows: turn it off for sources whose files run month by
     month, where each task meets few months anyway.
     """
+    refuse_streamed(flights.sparkSession, target, mode)
     keyed = with_land_keys(flights.select(*C.FLIGHT_COLUMNS))
     if regroup:
         keyed = keyed.hint("rebalance", *(F.col(key) for key in LAND_KEYS))
-    keyed.write.mode(mode).partitionBy(*LAND_KEYS).option("header", True).csv(target)
+    keyed.write.mode(mode).partitionBy(*LAND_KEYS).options(**PLAIN_CSV).csv(target)
 
 
 def read_landed(spark: SparkSession, target: str) -> DataFrame:
@@ -165,6 +262,13 @@ def stream_landed(spark: SparkSession, target: str,
     return stream_csv(spark, target, C.LANDED, files_per_batch).select(*C.FLIGHT_COLUMNS)
 
 
+def count_rows(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """(source_file, num_rows) of the given CSV files; a file without rows has none."""
+    paths = [literal_path(unquote(file)) for file in files]
+    return rows_per_file(scan_csv(spark, paths, _position_schema(1)).select(
+        F.col("_metadata.file_path").alias("source_file")))
+
+
 def rows_per_file(flights: DataFrame) -> DataFrame:
     """Rows of each source file of a frame read ``with_path``."""
     return flights.groupBy("source_file").agg(F.count(F.lit(1)).alias("num_rows"))

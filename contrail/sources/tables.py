@@ -8,21 +8,47 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .csv_files import ANY_AGE, literal_path
+
 _COMMENT_PROPERTY = "column_comment."
 
 
+def is_streamed(spark: SparkSession, path: str) -> bool:
+    """Whether a stream writes the folder: readers then follow its commit log alone."""
+    try:
+        spark.read.format("binaryFile").load(f"{literal_path(path)}/_spark_metadata")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def refuse_streamed(spark: SparkSession, path: str, mode: str) -> None:
+    """Fail before rows are added where no reader would see them."""
+    if mode != "errorifexists" and is_streamed(spark, path):
+        raise ValueError(f"{path} is written by a stream: rows added by a batch write "
+                         "are not in its commit log and would never be read")
+
+
 def write_table(frame: DataFrame, path: str, partition_by: Sequence[str] = (),
-                mode: str = "errorifexists", fmt: str = "parquet") -> None:
+                mode: str = "errorifexists", fmt: str = "parquet",
+                regroup: bool = True) -> None:
     """Write a table folder; by default an existing one is an error.
 
     A partitioned write is rebalanced on its keys first: few well-sized files
     per partition, with an oversized partition split over several tasks.
+    ``regroup=False`` skips that shuffle for rows already laid out by the keys.
+    A folder that a stream writes is refused.
     """
-    if partition_by:
+    if fmt != "delta":
+        refuse_streamed(frame.sparkSession, path, mode)
+    if partition_by and regroup:
         frame = frame.hint("rebalance", *(F.col(key) for key in partition_by))
     frame.write.format(fmt).mode(mode).partitionBy(*partition_by).save(path)
 
@@ -31,12 +57,30 @@ def register_table(spark: SparkSession, name: str, path: str,
                    fmt: str = "parquet") -> None:
     """(Re)point catalog table ``name`` at the folder ``path``.
 
-    The table is external: dropping the old entry leaves the data alone.
+    An entry with the same columns stays and is pointed at the folder, so readers
+    always find the table and its comments remain.  Otherwise the entry is made
+    anew, with the comments of the columns that are still there.  The table is
+    external: the old data are left alone.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    comments: dict[str, str] = {}
+    if spark.catalog.tableExists(name):
+        columns = [(c.name, c.dataType) for c in spark.catalog.listColumns(name)]
+        found = spark.read.format(fmt).load(literal_path(path)).dtypes
+        if sorted(columns) == sorted(found) and fmt != "delta":
+            spark.sql(f"ALTER TABLE {name} SET LOCATION {_literal(path)}")
+            if _partition_columns(spark, name):
+                spark.catalog.recoverPartitions(name)
+            spark.catalog.refreshTable(name)
+            return
+        kept = {column for column, _ in found}
+        comments = {row["col_name"]: row["comment"] for row in
+                    describe_table(spark, name).collect()
+                    if row["comment"] and row["col_name"] in kept}
+        spark.sql(f"DROP TABLE {name}")
     spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION {_literal(path)}")
     if fmt != "delta" and _partition_columns(spark, name):
         spark.catalog.recoverPartitions(name)
+    comment_columns(spark, name, comments)
 
 
 def _literal(text: str) -> str:
@@ -63,6 +107,8 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType,
     committed row is seen exactly once.
     """
     reader = spark.readStream.format(fmt)
+    if fmt != "delta":
+        reader = reader.options(**ANY_AGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (reader if fmt == "delta" else reader.schema(schema)).load(path)

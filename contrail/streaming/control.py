@@ -40,6 +40,25 @@ def finish(query: StreamingQuery, timeout: float = 3600) -> StreamingQuery:
     return query
 
 
+def finish_step(query: StreamingQuery, timeout: float = 3600,
+                poll: float = 0.2) -> StreamingQuery:
+    """Stop a running query once its first step is stored, or there is nothing to do."""
+    deadline = time.monotonic() + timeout
+    while query.isActive:
+        done = query.lastProgress
+        if done is not None and not query.status["isTriggerActive"]:
+            break
+        if time.monotonic() > deadline:
+            query.stop()
+            raise TimeoutError(f"stream {query.name} took no step in {timeout} s")
+        time.sleep(poll)
+    query.stop()
+    error = query.exception()
+    if error is not None:
+        raise error
+    return query
+
+
 def stop_stream(spark: SparkSession, name: str) -> bool:
     """Stop the named query; whether there was one."""
     return _stop([q for q in spark.streams.active if q.name == name])
@@ -66,11 +85,18 @@ def stream_status(spark: SparkSession) -> DataFrame:
 
 
 def progress_table(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
-    """The recent batches of the given queries, one row each.
+    """The batches of the given queries in this run, one row each.
 
     Spark keeps a bounded number of reports per query
-    (``spark.sql.streaming.numRecentProgressUpdates``).
+    (``spark.sql.streaming.numRecentProgressUpdates``); a query that has filled
+    them is an error, as earlier batches may be missing.
     """
+    kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+    for query in queries:
+        if len(query.recentProgress) >= kept:
+            raise ValueError(f"stream {query.name} made {kept} or more reports, of which Spark "
+                             "keeps no more: raise numRecentProgressUpdates before it starts, "
+                             "or count the stored rows")
     rows = [
         (q.name, int(p["batchId"]), int(p["numInputRows"]),
          int(p["durationMs"].get("triggerExecution", 0)))

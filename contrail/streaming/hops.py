@@ -17,6 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from .. import contracts as C
 from ..operators.cleaning import add_ingest_metadata, clean_flights
+from ..sources.csv_files import PLAIN_CSV
 from ..sources.landing import LAND_KEYS, stream_landed, with_land_keys
 from ..sources.tables import stream_table
 
@@ -28,15 +29,18 @@ LANDING_QUERY = "flights_source_to_landed"
 def stream_writer(frame: DataFrame, checkpoint: str, name: str,
                   partition_by: str | tuple[str, ...] | None = None,
                   mode: str = "append", fmt: str = "parquet",
-                  until_caught_up: bool = True) -> DataStreamWriter:
+                  until_caught_up: bool = True, one_step: bool = False) -> DataStreamWriter:
     """A checkpointed writer, not yet started: call ``.start(path)``.
 
     ``until_caught_up`` takes everything there is and stops; otherwise the query
-    runs on, batch after batch.
+    runs on, batch after batch.  With ``one_step`` it takes one batch and waits:
+    stop it then with ``control.finish_step``.
     """
     writer = (frame.writeStream.format(fmt).outputMode(mode).queryName(name)
               .option("checkpointLocation", checkpoint))
-    if until_caught_up:
+    if one_step:
+        writer = writer.trigger(processingTime="365 days")
+    elif until_caught_up:
         writer = writer.trigger(availableNow=True)
     if partition_by:
         keys = (partition_by,) if isinstance(partition_by, str) else partition_by
@@ -45,12 +49,12 @@ def stream_writer(frame: DataFrame, checkpoint: str, name: str,
 
 
 def start_landing(sources: list[DataFrame], target: str, checkpoint: str,
-                  until_caught_up: bool = True) -> StreamingQuery:
-    """Land streams of contract rows (one per header) as monthly CSV folders."""
+                  until_caught_up: bool = True, one_step: bool = False) -> StreamingQuery:
+    """Land streams of contract rows as monthly CSV folders."""
     rows = with_land_keys(reduce(DataFrame.unionByName, sources))
     return (stream_writer(rows, checkpoint, LANDING_QUERY, LAND_KEYS, fmt="csv",
-                          until_caught_up=until_caught_up)
-            .option("header", True).start(target))
+                          until_caught_up=until_caught_up, one_step=one_step)
+            .options(**PLAIN_CSV).start(target))
 
 
 def start_bronze(spark: SparkSession, landed: str, bronze: str, checkpoint: str,

@@ -44,17 +44,19 @@ def test_clock_matches_rule_everywhere(spark, kind):
 
 
 def test_whole(spark):
-    values = ["14.0", "14.9", "-3.7", "NA", "", None, "99999999999", "1e3"]
+    values = ["14.0", "14.9", "-3.7", "NA", "", None, "99999999999", "1e3", "14d", "NaN", " "]
     assert one(spark, values, "string", to_whole) == [
-        14, 14, -3, None, None, None, None, 1000]
+        14, 14, -3, None, None, None, None, 1000, None, None, None]
     assert one(spark, [14.9, -0.5, None, float("nan")], "double",
                lambda c: to_whole(c, "double"))[:3] == [14, 0, None]
 
 
 def test_flag(spark):
-    values = ["0", "1", "0.00", "1.00", "NA", None]
+    values = ["0", "1", "0.00", "1.00", "NA", None, "NaN", "true", "False", "1d", ""]
     assert one(spark, values, "string", to_flag) == [
-        False, True, False, True, None, None]
+        False, True, False, True, None, None, None, True, False, None, None]
+    assert one(spark, [1.0, float("nan"), 0.0, None], "double",
+               lambda c: to_flag(c, "double")) == [True, None, False, None]
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])

@@ -71,7 +71,6 @@ def test_quality_reports(spark, lake):
     assert gaps["DepTime"][0] < gaps["DepTime"][1]
     for column in ("UniqueCarrier", "Origin", "Dest"):
         assert all(r["var_bronze_silver"] == 0 for r in layers.frequent(column).collect())
-    layers.release()
 
 
 def test_questions_on_stored_tables(spark, lake):
@@ -80,7 +79,7 @@ def test_questions_on_stored_tables(spark, lake):
     rows = silver.count()
     star = questions.star_join(
         silver, table("l_date_gold"), table("l_airport_silver"), table("l_plane_silver"),
-        table("l_unique_carrier_silver"), table("l_cancelation_silver"))
+        table("l_unique_carrier_silver"), table("cancellation_silver"))
     assert star.count() == rows
     assert star.where("carrier is null or origin_city is null").count() == 0
     by_age = questions.plane_age(silver, table("l_plane_silver"))

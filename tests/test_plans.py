@@ -41,7 +41,8 @@ def stored(spark, folder):
 
 
 IN_SESSION = [name for name in queries() if not name.startswith(
-    ("stream_", "land", "csv_", "table_", "reconcile", "lookup_passthrough"))]
+    ("stream_", "land", "csv_", "table_", "reconcile", "lookup_passthrough", "type_guard",
+     "profile_after", "dictionary_"))]
 
 
 @pytest.mark.parametrize("name", IN_SESSION)

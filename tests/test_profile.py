@@ -80,7 +80,6 @@ def test_replacing_a_table_forgets_its_reports(left, right):
     assert ("v", 2) in rows(tables.nulls())
     assert len(tables.add("t", right)) == 1
     assert rows(tables.nulls()) == [("k", 2)]
-    tables.release()
 
 
 def test_only_frames_are_accepted():

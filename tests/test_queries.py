@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from contrail.plans import catalogue, checks
 from tests.compare import connect, differences
 
 
@@ -12,10 +13,11 @@ def connection(folder):
 
 
 def test_every_query_has_a_check():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalogue.queries()) == set(checks.oracle_sql())
+    assert set(catalogue.queries()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.queries()))
 def test_query(name, spark, folder, connection):
     frame = contract.queries()[name](spark, folder)
     assert differences(frame, connection, contract.oracle_sql()[name]) == []

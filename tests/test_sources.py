@@ -8,7 +8,7 @@ from contrail.session import (ensure_database, scratch_folder, settings_table,
                               use_database)
 from contrail.sources.csv_files import list_csv, scan_csv, schema_of_sample
 from contrail.sources.landing import (contract_positions, file_headers, harmonise,
-                                      header_families, land, landed_months,
+                                      headers_below, land, landed_months,
                                       read_flight_files, read_landed, rows_per_file,
                                       split_header)
 from contrail.sources.tables import (comment_columns, describe_table, read_table,
@@ -77,9 +77,10 @@ def test_one_header_per_file_in_folders_with_spaces(spark, tmp_path):
         flight_file(root / f"{i}.csv", C.FLIGHT_COLUMNS, {"Year": 1987, "Month": 10})
     flight_file(root / "new" / "a b.csv", modern_header(), {"Year": 2020, "Month": 1})
     assert file_headers(spark, str(root)).count() == 13
-    families = header_families(spark, str(root))
-    assert {header: len(paths) for header, paths in families.items()} == {
-        C.FLIGHT_COLUMNS: 12, modern_header(): 1}
+    headers = headers_below(spark, str(root))
+    assert {split_header(line): len(folders) for line, folders in headers.folders.items()} == {
+        C.FLIGHT_COLUMNS: 1, modern_header(): 1}
+    assert headers.found.count() == 13 and headers.mixed() == set()
     assert read_flight_files(spark, str(root)).groupBy("Year").count().count() == 2
 
 
@@ -213,3 +214,85 @@ def test_scratch_folder_without_a_shared_folder(tmp_path, monkeypatch):
     assert scratch_folder(_Settings(spark_master="local[2]"), "x").startswith(str(tmp_path))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_folder(_Settings(spark_master="yarn"), "x")
+
+
+def test_headers_survive_packed_files_and_odd_names(spark, tmp_path):
+    """Files that the cluster's defaults would pack, and names that look like patterns."""
+    for i in range(6):
+        flight_file(tmp_path / f"f[{i}].csv", C.FLIGHT_COLUMNS if i % 2 else modern_header(),
+                    {"Year": 1987 + i, "Month": 10})
+    flight_file(tmp_path / "f1.csv", C.FLIGHT_COLUMNS, {"Year": 2010, "Month": 1})
+    flight_file(tmp_path / "a{b}*?" / "x.csv", C.FLIGHT_COLUMNS, {"Year": 2011, "Month": 1})
+    spark.conf.set("spark.sql.files.maxPartitionNum", "2")
+    try:
+        years = [r.Year for r in read_flight_files(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionNum")
+    assert sorted(years) == [*map(str, range(1987, 1993)), "2010", "2011"]
+    lone = tmp_path / "lone"
+    flight_file(lone / "f[1].csv", C.FLIGHT_COLUMNS, {"Year": 1990, "Month": 1})
+    assert read_flight_files(spark, str(lone)).count() == 1
+
+
+def test_one_task_opens_a_file(spark, tmp_path):
+    for i in range(3):
+        flight_file(tmp_path / f"{i}.csv", C.FLIGHT_COLUMNS,
+                    *({"Year": 1987, "Month": 10, "FlightNum": n} for n in range(500)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        assert file_headers(spark, str(tmp_path)).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_old_files_are_landed(spark, tmp_path):
+    import os
+    import time
+
+    from contrail.streaming.control import finish
+    from contrail.streaming.hops import start_landing
+
+    def run():
+        finish(start_landing([stream_mixed_files(spark, str(tmp_path / "in"))],
+                             str(tmp_path / "landed"), str(tmp_path / "checkpoint")))
+        return read_landed(spark, str(tmp_path / "landed")).count()
+
+    flight_file(tmp_path / "in" / "new.csv", C.FLIGHT_COLUMNS, {"Year": 1987, "Month": 10})
+    assert run() == 1
+    old = tmp_path / "in" / "old.csv"
+    flight_file(old, modern_header(), {"Year": 1987, "Month": 11})
+    os.utime(old, (time.time() - 30 * 86400,) * 2)
+    assert run() == 2
+    with pytest.raises(ValueError, match="stream"):
+        land(read_flight_files(spark, str(tmp_path / "in")), str(tmp_path / "landed"), "append")
+
+
+def test_comments_outlive_a_new_folder(spark, tmp_path):
+    from contrail.sources.tables import comment_columns, describe_table, register_table
+    name = "default.kept_comments"
+    for step in ("a", "b"):
+        spark.range(3).selectExpr("id", "id as other").write.parquet(str(tmp_path / step))
+        register_table(spark, name, str(tmp_path / step))
+        if step == "a":
+            comment_columns(spark, name, {"id": "the number"})
+    assert {r.col_name: r.comment for r in describe_table(spark, name).collect()} == {
+        "id": "the number", "other": None}
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_full_reports_are_an_error(spark, tmp_path):
+    from contrail.streaming.control import finish, progress_table
+    from contrail.streaming.hops import stream_writer
+    for i in range(4):
+        spark.range(5).write.mode("append").parquet(str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        rows = (spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 3)
+                .parquet(str(tmp_path / "in")))
+        query = finish(stream_writer(rows, str(tmp_path / "c"), "many").start(
+            str(tmp_path / "out")))
+        with pytest.raises(ValueError, match="reports"):
+            progress_table(spark, [query])
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
