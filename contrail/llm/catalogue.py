@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, minhash, passages, toxicity, warc
+from . import (bpe, decontaminate, html_text, langid, minhash, passages, suffixes, toxicity,
+               vectors, warc)
 from .common import saved, table
 
 
@@ -45,6 +46,19 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages, html_text.train(pages)).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every vector, and its number of links."""
+    found = vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -66,6 +80,19 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.located(damage, replicas[0])
 
 
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat a string of 100 bytes standing earlier."""
+    found = suffixes.repeated_bytes(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page."""
+    return langid.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 _OP8_SQL = """
 with replica as (
   select page_id, coalesce(url, '') as url, coalesce(html, '') as one,
@@ -98,8 +125,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_bpe": op2_bpe,
         "op3_decontaminate": op3_decontaminate,
         "op4_minhash": op4_minhash,
+        "op5_html": op5_html,
+        "op6_vectors": op6_vectors,
         "op7_toxicity": op7_toxicity,
         "op8_warc": op8_warc,
+        "op9_suffixes": op9_suffixes,
+        "op10_langid": op10_langid,
     }
 
 

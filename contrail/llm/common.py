@@ -43,6 +43,10 @@ def saved(frame: DataFrame, label: str) -> DataFrame:
 BROADCAST_IDS = 1_000_000
 
 
+#: Links that one task may join into components: about 8 MB.
+LOCAL_LINKS = 500_000
+
+
 def pick(frame: DataFrame, ids: DataFrame, keep: bool = True) -> DataFrame:
     """The rows of ``frame`` whose doc_id is among ``ids`` (or is not).
 
@@ -213,41 +217,67 @@ class Words:
         return out, new_starts
 
 
-def components(edges: DataFrame, label: str, rounds: int = 40) -> DataFrame:
+def union_find(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, root) of the links between ``a`` and ``b``; the root is the smallest node."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    # Places rise with the nodes, so the smallest place is the smallest node.
+    parent = list(range(len(nodes)))
+    for x, y in zip(at[:len(a)].tolist(), at[len(a):].tolist()):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        while parent[y] != y:
+            parent[y] = parent[parent[y]]
+            y = parent[y]
+        if x < y:
+            parent[y] = x
+        else:
+            parent[x] = y
+    root = np.array(parent, dtype=np.int64)
+    while True:
+        further = root[root]
+        if (further == root).all():
+            return nodes, nodes[root]
+        root = further
+
+
+def components(links: DataFrame, label: str, local_links: int = LOCAL_LINKS,
+               rounds: int = 60) -> DataFrame:
     """Connected components of the links ``a, b`` (longs): (node, root), root smallest.
 
-    Large-star and small-star steps in turn: every node links to the smallest of
-    its neighbourhood, so the depth falls with the logarithm of the diameter.
-    Each step combines map-side before its shuffle; a hub's rows are only joined
-    with its own minimum, which adaptive execution may split.  Nodes without a
-    link are not in the result.
+    Nodes without a link are not in the result.  Large-star and small-star steps
+    in turn tie every node to the smallest of its neighbourhood, which shrinks the
+    links until they settle.  Each step combines map-side before its shuffle; a
+    hub's rows are only joined with its own minimum, which adaptive execution may
+    split.  Once no more than ``local_links`` are left (16 bytes each), one task
+    finishes with union and find.
     """
-    def fingerprint(frame: DataFrame):
-        return frame.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-                         ).first()
-
-    edges = saved(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    links = saved(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                   .where("a > b").distinct(), label)
-    seen = fingerprint(edges)
+    left, seen = links.count(), None
     for _ in range(rounds):
-        if seen[0] == 0:
-            break
-        both = edges.union(edges.select(F.col("b"), F.col("a"))).toDF("a", "b")
+        if left <= local_links:
+            def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                ends = [(batch.column("a").to_numpy(), batch.column("b").to_numpy())
+                        for batch in batches]
+                if ends:
+                    node, root = union_find(*(np.concatenate(e) for e in zip(*ends)))
+                    yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)],
+                                                     ["node", "root"])
+
+            return map_arrow(links.coalesce(1), finish, "node bigint, root bigint")
+        both = links.union(links.select(F.col("b"), F.col("a"))).toDF("a", "b")
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         large = (both.join(least, "a").where("b > a")
                  .select(F.col("b").alias("a"), F.least("m", F.col("a")).alias("b")).distinct())
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(
+        links = saved(large.join(least, "a").select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")),
                               F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
-        ).select("e.a", "e.b").where("a > b").distinct()
-        edges = saved(small, label)
-        now = fingerprint(edges)
+        ).select("e.a", "e.b").where("a > b").distinct(), label)
+        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen:
-            break
-        seen = now
-    else:
-        raise RuntimeError("components did not settle")
-    roots = edges.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")
-    return roots.union(edges.select("b", "b").distinct()).groupBy("node").agg(
-        F.min("root").alias("root"))
+            roots = links.groupBy("a").agg(F.min("b").alias("root"))
+            return roots.toDF("node", "root").union(links.select("b", "b").distinct())
+        left, seen = now[0], now
+    raise RuntimeError("components did not settle")

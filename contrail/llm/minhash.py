@@ -9,17 +9,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, Words, chunks, components, map_arrow, mixed, pick, saved
+from .common import NON_SPACE, Words, chunks, components, map_arrow, mixed, pick, saved, ship
 
 HASHES = 100
 #: Chance that a link at the threshold shares no band, at most.
 BAND_MISS = 2e-5
 #: A pair is pruned when its similarity reaches the threshold with less than this chance.
-POSTERIOR_MISS = 1e-7
+POSTERIOR_MISS = 1e-6
 #: Hashes compared at a time.
 BATCH = 20
 #: Rounds of comparing with bucket leaders before the pairs left are compared directly.
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
+#: Members of a bucket that one task compares with as many others, and the number of
+#: groups that buckets of few pairs are put together in.
+TILE = 4_096
+SHARED_GROUPS = 1_024
 
 
 def band_rows(percent: int, hashes: int = HASHES, miss: float = BAND_MISS) -> int:
@@ -163,10 +167,78 @@ def _pruned(pairs: DataFrame, reps: DataFrame, bounds: list[tuple[int, int]]) ->
     return map_arrow(pairs.join(a, "a").join(b, "b"), apply, "a bigint, b bigint")
 
 
+def _survivors(left: np.ndarray, right: np.ndarray, may: np.ndarray,
+               bounds: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of two blocks of signatures that no batch rules out, among those ``may`` allows."""
+    n, least = bounds[0]
+    matches = np.zeros(may.shape, dtype=np.uint8)
+    for k in range(n):
+        matches += left[:, k][:, None] == right[:, k][None, :]
+    a, b = np.nonzero((matches >= least) & may)
+    matches, done = matches[a, b].astype(np.int64), n
+    for n, least in bounds[1:]:
+        matches += (left[a, done:n] == right[b, done:n]).sum(axis=1)
+        alive = matches >= least
+        a, b, matches, done = a[alive], b[alive], matches[alive], n
+    return a, b
+
+
+def _across(apart: DataFrame, members: DataFrame, reps: DataFrame,
+            bounds: list[tuple[int, int]]) -> DataFrame:
+    """Pairs of one bucket but different components that their signatures allow.
+
+    ``apart`` are the members outside the component of the bucket's leader; each
+    is compared with all members, in tiles of at most about TILE by TILE, and only
+    what survives leaves the task.  Small buckets share a task's group.
+    """
+    left = apart.groupBy("band").agg(F.count(F.lit(1)).alias("n_left"))
+    right = members.join(left, "band", "left_semi").groupBy("band").agg(
+        F.count(F.lit(1)).alias("n_right"))
+    sizes = left.join(right, "band").select(
+        "band", F.ceil(F.col("n_left") / TILE).cast("int").alias("rows"),
+        F.ceil(F.col("n_right") / TILE).cast("int").alias("columns"),
+        F.when(F.col("n_left") * F.col("n_right") <= TILE, F.pmod("band", F.lit(SHARED_GROUPS)))
+        .otherwise(F.col("band")).alias("group"))
+
+    def dealt(frame: DataFrame, own: str, other: str, is_left: bool) -> DataFrame:
+        spread = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        own_tile = F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
+        return frame.select("band", "id", "comp").join(sizes, "band").select(
+            "group", "band", "id", "comp", F.lit(is_left).alias("is_left"),
+            own_tile.alias("own"), spread.alias("other"))
+
+    rows = (dealt(apart, "rows", "columns", True)
+            .unionByName(dealt(members, "columns", "rows", False))
+            .withColumn("i", F.when(F.col("is_left"), F.col("own")).otherwise(F.col("other")))
+            .withColumn("j", F.when(F.col("is_left"), F.col("other")).otherwise(F.col("own")))
+            .drop("own", "other").join(reps, "id"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by("band")
+        band, ids, comp = (table.column(c).to_numpy() for c in ("band", "id", "comp"))
+        is_left = table.column("is_left").to_numpy(zero_copy_only=False).astype(bool)
+        signature = np.frombuffer(b"".join(table.column("signature").to_pylist()),
+                                  dtype=np.uint32).reshape(len(ids), -1)
+        edges = np.append(np.flatnonzero(np.diff(band, prepend=band[:1] - 1)), len(band))
+        found = [np.zeros((2, 0), dtype=np.int64)]
+        for first, end in zip(edges, edges[1:]):
+            rows = first + np.flatnonzero(is_left[first:end])
+            columns = first + np.flatnonzero(~is_left[first:end])
+            for at in range(0, len(rows), 256):
+                some = rows[at:at + 256]
+                may = comp[some][:, None] != comp[columns][None, :]
+                a, b = _survivors(signature[some], signature[columns], may, bounds)
+                found.append(np.stack([ids[some[a]], ids[columns[b]]]))
+        a, b = np.concatenate(found, axis=1)
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+
+    ship(apart.sparkSession)
+    return rows.groupBy("group", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+
+
 def _confirmed(pairs: DataFrame, documents: DataFrame, shingle: int, percent: int,
                label: str) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
-    pairs = saved(pairs, f"{label}-candidates")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = saved(shingle_sets(pick(documents, wanted), shingle),
                  f"{label}-sets")
@@ -227,17 +299,15 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80,
             # The rest of a bucket among itself: its leader is the smallest left.
             apart = _apart_from_leader(apart.select("band", "id", "comp"))
         if turn < LEADER_ROUNDS:
-            pairs = apart.select(F.col("lead").alias("a"), F.col("id").alias("b"))
+            pairs = _pruned(apart.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(),
+                            reps, bounds)
         else:
-            other = labelled.toDF("band", "a", "other_comp")
-            pairs = (apart.join(other, "band").where("comp <> other_comp")
-                     .select("a", F.col("id").alias("b")))
+            pairs = _across(apart, labelled, reps, bounds)
         pairs = saved(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                       .distinct().join(tested, ["a", "b"], "left_anti"), f"minhash-pairs-{turn}")
         if pairs.isEmpty():
             continue
-        found = _confirmed(_pruned(pairs, reps, bounds), texts, shingle, percent,
-                           f"minhash-{turn}")
+        found = _confirmed(pairs, texts, shingle, percent, f"minhash-{turn}")
         links = saved(links.union(found), f"minhash-links-{turn}")
         tested = tested.union(pairs)
         roots = saved(components(links, f"minhash-components-{turn}"), f"minhash-roots-{turn}")
@@ -251,3 +321,20 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80,
             .join(heads, ["d1", "d2"], "left")
             .select("doc_id", "n_shingles", F.when(alone, F.col("doc_id"))
                     .otherwise(F.coalesce("component_id", "doc_id")).alias("component_id")))
+
+
+def deduplicated(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """``documents`` with one row of each near-duplicate group: that of the smallest doc_id.
+
+    Of rows that repeat the kept doc_id one stays.  Rows that link with nothing stay.
+    """
+    found = saved(near_duplicates(documents, shingle, percent), "minhash-found")
+    gone = found.where("doc_id <> component_id").select("doc_id")
+    again = (found.where("doc_id = component_id").groupBy("doc_id")
+             .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"))
+    gone = saved(gone.union(again).distinct(), "minhash-gone")
+    single = pick(documents, gone, keep=False)
+    again = saved(again, "minhash-again")
+    if again.isEmpty():
+        return single
+    return single.unionByName(pick(documents, again).dropDuplicates(["doc_id"]))

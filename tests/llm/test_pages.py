@@ -1,0 +1,289 @@
+"""Decontamination, HTML, vectors, fixity and language against plain versions."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from contrail.llm import catalogue, decontaminate, html_text, langid, vectors, warc
+from tests.compare import connect, differences
+from tests.llm.helpers import ODD_TEXTS, groups
+
+
+# Decontamination
+
+def plain_words(text):
+    import regex
+    return regex.sub(r"[^\p{L}\p{M}\p{N}]+", " ", (text or "").lower()).strip().split()
+
+
+def runs(w):
+    return [tuple(w[i:i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else [tuple(w)]
+
+
+def brute_contaminated(docs, items):
+    items = {i: plain_words(t) for i, t in items if plain_words(t)}
+    weight = Counter(g for w in items.values() for g in set(runs(w)))
+    out = {}
+    for d, t in docs:
+        w = plain_words(t)
+        for i, item in items.items():
+            b = set(runs(item))
+            for at in range(max(len(w) - 4, 1) if len(item) >= 5 else len(w)):
+                part = w[at:at + len(item)]
+                if not part or (len(item) < 5 and len(part) < len(item)):
+                    continue
+                if len(item) >= 5 and len(part) < 5:
+                    continue
+                a = set(runs(part))
+                mass = [sum(1 / weight[g] if g in weight else 1 for g in x)
+                        for x in (a & b, a | b)]
+                if mass[0] / mass[1] >= 0.8 - 1e-9:
+                    out[d, i] = max(out.get((d, i), 0), round(mass[0] / mass[1], 9))
+    return out
+
+
+def test_decontamination(docs, spark):
+    rng = random.Random(5)
+
+    def text(n):
+        return [f"t{rng.randrange(5000)}" for _ in range(n)]
+
+    items = [text(30), text(45), text(60), text(4), text(1)]
+    items.append(items[2][:30] + text(20))
+    far = list(items[0])
+    far[::4] = ["other"] * len(far[::4])
+    near = list(items[1])
+    near[0] = "other"
+    rows = [(1, text(50) + items[0] + text(20)), (2, items[1]), (3, text(9) + near + text(9)),
+            (4, text(30) + far), (5, items[2] + text(500)), (6, text(80)),
+            (7, text(3) + items[3] + text(3)), (8, text(20) + items[5]), (9, items[0][:12])]
+    rows = [(d, " ".join(w).upper().replace(" ", ", ")) for d, w in rows]
+    rows += [(100 + i, t) for i, t in enumerate(ODD_TEXTS)]
+    named = [(i, " ".join(w)) for i, w in enumerate(items)] + [(50, None), (51, ""), (52, "!?")]
+    benchmark = spark.createDataFrame(named, "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in
+             decontaminate.contaminated(docs(rows), benchmark).collect()}
+    assert found == brute_contaminated(rows, named)
+    assert {(1, 0), (2, 1), (3, 1), (5, 2), (7, 3), (8, 5)} <= set(found)
+    kept = {r.doc_id for r in decontaminate.decontaminated(docs(rows), benchmark).collect()}
+    assert kept == {d for d, _ in rows} - {d for d, _ in found}
+    none = spark.createDataFrame([], "item_id bigint, text string")
+    assert decontaminate.contaminated(docs(rows), none).count() == 0
+    assert decontaminate.contaminated(docs([]), benchmark).count() == 0
+
+
+def test_decontamination_query(spark, folder, corpus):
+    items = [(r.item_id, r.text) for r in
+             spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    found = {(r.doc_id, r.item_id) for r in catalogue.op3_decontaminate(spark, folder).collect()}
+    joined = [(i, " ".join(plain_words(t))) for i, t in items]
+    held = {(d, i) for d, t in corpus[1] for i, w in joined
+            if f" {w} " in f" {' '.join(plain_words(t))} "}
+    assert held and held <= found
+
+
+def test_decontamination_stays_native(spark, folder, docs):
+    items = spark.createDataFrame([(1, "a b c d e f g")], "item_id bigint, text string")
+    plan = decontaminate.contaminated(docs([(1, "a b c d e f g")]), items)
+    text = plan._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", text)
+
+
+# HTML
+
+PAGE = """<!DOCTYPE html><html lang="en"><head><title>No &amp; no</title><style>p{}</style>
+<script>var t="</p>";</script></head><body><nav><ul><li><a href="/a">Menu one</a></li></ul></nav>
+<!-- ad --><div class="ad">Buy this.</div><article><h1>Title &lt;1&gt;</h1><p><b>First
+part,<br>more   of it.<p>Second &eacute; part here.</p></article>
+<aside class="sidebar"><p>Related words.</p></aside>
+<div id="comments"><p>A reader says no.</p></div><footer>&copy; 2020 Site.</footer></body></html>"""
+
+
+def test_parse_blocks():
+    texts = [b.text for b in html_text.parse(PAGE)]
+    assert texts == ["No & no", "Menu one", "Buy this.", "Title <1>", "First part, more of it.",
+                     "Second é part here.", "Related words.", "A reader says no.", "© 2020 Site."]
+    assert html_text.parse("") == [] and html_text.parse("<p><<<") != None  # noqa: E711
+    assert [b.text for b in html_text.parse("a<p>b<table><tr><td>c<td>d</table>e")] == list("abcde")
+
+
+def test_gradients_are_right():
+    rng = np.random.default_rng(0)
+    model = html_text.Labeller()
+    model.weights = {k: w.astype(np.float64) for k, w in model.weights.items()}
+    x = rng.normal(size=(4, 3, html_text.INPUTS))
+    mask = np.ones((4, 3))
+    mask[2:, 1] = 0
+    y = rng.integers(0, 2, (4, 3)).astype(float)
+
+    def loss():
+        p, _ = model.forward(x, mask)
+        return -(mask * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / mask.sum()
+
+    grads = model.gradients(x, mask, y)
+    for name, w in model.weights.items():
+        at = tuple(rng.integers(n) for n in w.shape)
+        step = 1e-4
+        w[at] += step
+        up = loss()
+        w[at] -= 2 * step
+        down = loss()
+        w[at] += step
+        assert abs((up - down) / (2 * step) - grads[name][at]) < 1e-3
+
+
+def article_text(page):
+    inner = re.search(r"<article>(.*?)</article>", page, re.S).group(1)
+    import html
+    parts = re.split(r"</?(?:p|h1)>", re.sub(r"</?b>", "", inner).replace("<br>", " "))
+    texts = [" ".join(html.unescape(p).split()) for p in parts]
+    return "\n\n".join(t for t in texts if t)
+
+
+def test_html_query(spark, folder):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    found = catalogue.op5_html(spark, folder).collect()
+    assert len(found) == len(pages)
+    right = sum(r.text == article_text(pages[r.page_id]) for r in found)
+    assert right >= 0.99 * len(found)
+    assert all(r.n_chars == len(r.text) for r in found)
+
+
+def test_html_edges(spark, folder):
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    model = html_text.train(pages)
+    odd = spark.createDataFrame(
+        [(i, None, t, 1) for i, t in enumerate([*ODD_TEXTS, "<", "<p", "<script>x", PAGE])],
+        "page_id bigint, url string, html string, text int")
+    found = {r.page_id: r.text for r in html_text.extract(odd, model).collect()}
+    assert found[0] == found[1] == "" and len(found) == len(ODD_TEXTS) + 4
+    assert found[len(ODD_TEXTS) + 3] == ("Title <1>\n\nFirst part, more of it.\n\n"
+                                         "Second é part here.")
+    assert html_text.extract(odd.limit(0), model).count() == 0
+    assert html_text.train(pages.limit(0)).weights.keys() == model.weights.keys()
+
+
+# Vectors
+
+def brute_links(rows, cosine=0.95):
+    ok = [(i, np.array(v, dtype=float)) for i, v in rows
+          if v and None not in v and np.isfinite(v).all() and any(v)]
+    counts, links = Counter(), []
+    for x, (i, a) in enumerate(ok):
+        for j, b in ok[:x]:
+            if len(a) == len(b) and a @ b / np.sqrt((a @ a) * (b @ b)) >= cosine:
+                links.append((i, j))
+                counts[i] += 1
+                counts[j] += 1
+    found = groups(links, [i for i, _ in rows])
+    return {i: (counts[i], found[i]) for i, _ in rows}
+
+
+def test_vectors_edges(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(12, 16))
+    rows = [(i, (base[i % 12] + 0.12 * rng.normal(size=16)).tolist()) for i in range(150)]
+    rows += [(200 + i, base[0].tolist()) for i in range(20)]
+    rows += [(300, None), (301, []), (302, [0.0] * 16), (303, [1.0, None] * 8),
+             (304, [float("nan")] * 16), (305, [float("inf")] * 16), (306, [1.0, 2.0]),
+             (307, [2.0, 4.0]), (308, [-0.0] * 15 + [1.0]), (309, [0.0] * 15 + [1.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in
+             vectors.near_duplicates(frame, lists=8, probes=8).collect()}
+    assert found == brute_links(rows)
+    empty = frame.limit(0)
+    assert vectors.near_duplicates(empty).count() == 0
+
+
+def test_vectors_query_recall(spark, folder):
+    rows = [(r.vec_id, r.embedding) for r in
+            spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
+    want = brute_links(rows)
+    found = {r.vec_id: r.n_links for r in catalogue.op6_vectors(spark, folder).collect()}
+    assert all(found[i] <= n for i, (n, _) in want.items())
+    assert sum(found.values()) >= 0.9 * sum(n for n, _ in want.values())
+
+
+def test_coding_error_bounds_the_distance():
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(300, 10))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    index = vectors.fit(points, lists=4, subspaces=4, codes=8)
+    held = points[vectors._nearest(points, index.centroids) == 1]
+    codes, error = vectors.encode(index, held, np.full(len(held), 1))
+    far = vectors.distances(index, points[:50], 1, codes)
+    exact = np.linalg.norm(points[:50, None] - held[None], axis=2)
+    assert (far - error <= exact + 1e-9).all() and (far + error >= exact - 1e-9).all()
+
+
+# Fixity
+
+def test_fixity_query(spark, folder):
+    assert differences(catalogue.op8_warc(spark, folder), connect(folder),
+                       catalogue.oracle_sql()["op8_warc"]) == []
+
+
+def test_fixity(spark):
+    rows = [(i, f"http://h/{i}", "x" * (i % 7)) for i in range(600)] + [(None, "u", "h")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    changed = spark.createDataFrame(
+        [(i, u, "y" * len(h) if i == 40 else h + "!" if i == 41 else h) for i, u, h in rows
+         if i != 599 and i != 17] + [(700, "new", None)], pages.schema)
+
+    def compare(a, b):
+        leaves = [warc.leaves(warc.archive(p)) for p in (a, b)]
+        height = warc.height_for(*leaves)
+        trees = [warc.tree(x, height, "test") for x in leaves]
+        found = warc.located(warc.audit(*trees, height), leaves[0]).collect()
+        return {r.position: (r.damage, r.offset) for r in found}
+
+    size = {i: len(warc_bytes(u, h)) for i, u, h in rows if i is not None}
+    found = compare(pages, changed)
+    assert {p: d for p, (d, _) in found.items()} == {
+        17: "missing", 40: "content", 41: "length", 599: "missing", 700: "extra"}
+    assert found[41][1] == sum(size[i] for i in range(41))
+    assert found[599][1] == sum(size[i] for i in range(512, 599))
+    assert compare(pages, pages) == {}
+    assert compare(pages.limit(0), pages.limit(0)) == {}
+    assert len(compare(pages.limit(0), pages)) == 600
+    assert compare(pages.union(pages), pages) == {}
+
+
+def warc_bytes(uri, body):
+    return (f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Target-URI: {uri}\r\n"
+            f"Content-Type: text/html\r\nContent-Length: {len(body.encode())}\r\n\r\n"
+            f"{body}\r\n\r\n").encode()
+
+
+# Language
+
+def test_language_query(spark, folder):
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    found = catalogue.op10_langid(spark, folder).collect()
+    assert len(found) == pages.count()
+    assert sum(r.lang == r.declared for r in found) >= 0.95 * len(found)
+    assert all(0.25 <= r.probability <= 1.0000001 for r in found)
+
+
+def test_language_evidence(spark, folder):
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = {r.lang: r.text for r in documents.where("octet_length(text) > 2000").collect()}
+    rows = [(i, f"http://{lang}.example.org/x", f"<html><p>{texts[lang]}</p></html>")
+            for lang in ("de", "fr") for i in range(20)]
+    rows += [(100, "http://fr.example.org/y", None), (101, "http://h.net/de/z", ""),
+             (102, None, '<html lang="de"></html>'), (103, "nonsense", "<"), (None, None, None)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn(
+        "host", F.lit(1))
+    found = defaultdict(list)
+    for r in langid.identify(frame, documents).collect():
+        found[r.page_id].append(r)
+    assert len(sum(found.values(), [])) == len(rows)
+    assert found[100][0].lang == "fr"  # its host's other pages
+    assert found[101][0].address == "de" and found[102][0].declared == "de"
+    assert found[102][0].lang == "de"
+    none = langid.identify(frame, documents.limit(0)).collect()
+    assert len(none) == len(rows) and {r.lang for r in none} == {None}
+    assert langid.identify(frame.limit(0), documents).count() == 0
