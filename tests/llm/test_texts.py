@@ -150,9 +150,10 @@ def test_passages(docs):
             (3, text_of(rng, 30) + near + text_of(rng, 30)), (4, text_of(rng, 200)),
             (5, other + ["z"] * 30), (6, text_of(rng, 20) + other), (7, passage[:40])]
     rows = [(d, " ".join(w)) for d, w in rows] + [(8, None), (9, ""), (None, " ".join(passage))]
-    found = sorted((r.doc_id, r.source_doc_id, r.start_word, r.end_word)
-                   for r in passages.repeated_passages(docs(rows)).collect())
-    assert found == [(2, 1, 0, 80), (3, 1, 30, 110), (6, 5, 20, 80)]
+    found = {(r.doc_id, r.source_doc_id, r.start_word, r.end_word)
+             for r in passages.repeated_passages(docs(rows)).collect()}
+    # The third may be found in both of the others.
+    assert found - {(3, 2, 30, 110)} == {(2, 1, 0, 80), (3, 1, 30, 110), (6, 5, 20, 80)}
     left = {r.doc_id: r.text for r in passages.without_passages(
         docs(rows), passages.repeated_passages(docs(rows))).collect()}
     assert left[2] == rows[1][1].split(" ", 80)[80]
