@@ -137,3 +137,9 @@ def test_star_join_forces_no_broadcast(spark, folder):
     frame = queries()["star_join"](spark, folder)
     assert "ResolvedHint" not in explain(frame, "extended")
     assert frame.count() == silver_flights(spark, folder).count()
+
+
+def test_star_join_does_not_shuffle_the_fact_on_its_airports(spark, folder):
+    plan = explain(queries()["star_join"](spark, folder))
+    for key in ("Origin", "Dest"):
+        assert not re.search(rf"hashpartitioning\({key}#", plan)
