@@ -217,6 +217,25 @@ class Words:
         return out, new_starts
 
 
+def forest(left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join the same nodes as the given ones: at most one less than nodes."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    kept = []
+    for a, b in zip(left.tolist(), right.tolist()):
+        x, y = find(a), find(b)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            kept.append((a, b))
+    return kept
+
+
 def union_find(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(node, root) of the links between ``a`` and ``b``; the root is the smallest node."""
     nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, Words, chunks, components, map_arrow, mixed, pick, saved, ship
+from .common import NON_SPACE, Words, chunks, components, forest, map_arrow, mixed, pick, saved, ship
 
 HASHES = 100
 #: Chance that a link at the threshold shares no band, at most.
@@ -22,7 +22,7 @@ BATCH = 20
 LEADER_ROUNDS = 2
 #: Members of a bucket that one task compares with as many others, and the number of
 #: groups that buckets of few pairs are put together in.
-TILE = 4_096
+TILE = 1_024
 SHARED_GROUPS = 1_024
 
 
@@ -124,7 +124,7 @@ def shingle_sets(documents: DataFrame, shingle: int) -> DataFrame:
 
 
 def _bands(reps: DataFrame, rows: int, hashes: int) -> DataFrame:
-    """(band, id): one row per band of each signature."""
+    """(band, place, id): one row per band of each signature."""
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("id").to_numpy()
@@ -137,9 +137,10 @@ def _bands(reps: DataFrame, rows: int, hashes: int) -> DataFrame:
                 for j in range(at, at + rows):
                     key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + values[:, j])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(ids)], ["band", "id"])
+                    [pa.array(key.view(np.int64)), pa.array(np.full(len(ids), k, np.int32)),
+                     pa.array(ids)], ["band", "place", "id"])
 
-    return map_arrow(reps.select("id", "signature"), apply, "band bigint, id bigint")
+    return map_arrow(reps.select("id", "signature"), apply, "band bigint, place int, id bigint")
 
 
 def _pruned(pairs: DataFrame, reps: DataFrame, bounds: list[tuple[int, int]]) -> DataFrame:
@@ -184,18 +185,21 @@ def _survivors(left: np.ndarray, right: np.ndarray, may: np.ndarray,
 
 
 def _across(apart: DataFrame, members: DataFrame, reps: DataFrame,
-            bounds: list[tuple[int, int]]) -> DataFrame:
-    """Pairs of one bucket but different components that their signatures allow.
+            bounds: list[tuple[int, int]], rows_per_band: int) -> DataFrame:
+    """Which members of one bucket but different components their signatures let link.
 
     ``apart`` are the members outside the component of the bucket's leader; each
-    is compared with all members, in tiles of at most about TILE by TILE, and only
-    what survives leaves the task.  Small buckets share a task's group.
+    is compared with all members, in tiles of at most about TILE by TILE.  Small
+    buckets share a group.  Gives (group, i, j, id, others): the survivors of each
+    member in a tile, as one list, so a crowded bucket is few rows; a pair is in
+    the list of the first band that both share, and only there.
     """
-    left = apart.groupBy("band").agg(F.count(F.lit(1)).alias("n_left"))
+    left = apart.groupBy("band").agg(F.count(F.lit(1)).alias("n_left"),
+                                     F.min("lead_comp").alias("lead_comp"))
     right = members.join(left, "band", "left_semi").groupBy("band").agg(
         F.count(F.lit(1)).alias("n_right"))
     sizes = left.join(right, "band").select(
-        "band", F.ceil(F.col("n_left") / TILE).cast("int").alias("rows"),
+        "band", "lead_comp", F.ceil(F.col("n_left") / TILE).cast("int").alias("rows"),
         F.ceil(F.col("n_right") / TILE).cast("int").alias("columns"),
         F.when(F.col("n_left") * F.col("n_right") <= TILE, F.pmod("band", F.lit(SHARED_GROUPS)))
         .otherwise(F.col("band")).alias("group"))
@@ -203,8 +207,9 @@ def _across(apart: DataFrame, members: DataFrame, reps: DataFrame,
     def dealt(frame: DataFrame, own: str, other: str, is_left: bool) -> DataFrame:
         spread = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
         own_tile = F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
-        return frame.select("band", "id", "comp").join(sizes, "band").select(
-            "group", "band", "id", "comp", F.lit(is_left).alias("is_left"),
+        return frame.select("band", "place", "id", "comp").join(sizes, "band").select(
+            "group", "band", "place", "id", "comp", F.lit(is_left).alias("is_left"),
+            (F.col("comp") != F.col("lead_comp")).alias("minor"),
             own_tile.alias("own"), spread.alias("other"))
 
     rows = (dealt(apart, "rows", "columns", True)
@@ -213,27 +218,91 @@ def _across(apart: DataFrame, members: DataFrame, reps: DataFrame,
             .withColumn("j", F.when(F.col("is_left"), F.col("other")).otherwise(F.col("own")))
             .drop("own", "other").join(reps, "id"))
 
-    def compare(table: pa.Table) -> pa.Table:
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("band")
-        band, ids, comp = (table.column(c).to_numpy() for c in ("band", "id", "comp"))
-        is_left = table.column("is_left").to_numpy(zero_copy_only=False).astype(bool)
+        band, place, ids, comp = (table.column(c).to_numpy()
+                                  for c in ("band", "place", "id", "comp"))
+        is_left, minor = (table.column(c).to_numpy(zero_copy_only=False).astype(bool)
+                          for c in ("is_left", "minor"))
         signature = np.frombuffer(b"".join(table.column("signature").to_pylist()),
                                   dtype=np.uint32).reshape(len(ids), -1)
+        bands = signature.shape[1] // rows_per_band
+        banded = signature[:, :bands * rows_per_band].reshape(len(ids), bands, rows_per_band)
         edges = np.append(np.flatnonzero(np.diff(band, prepend=band[:1] - 1)), len(band))
-        found = [np.zeros((2, 0), dtype=np.int64)]
+        found: dict[int, list[np.ndarray]] = {}
         for first, end in zip(edges, edges[1:]):
             rows = first + np.flatnonzero(is_left[first:end])
             columns = first + np.flatnonzero(~is_left[first:end])
             for at in range(0, len(rows), 256):
                 some = rows[at:at + 256]
-                may = comp[some][:, None] != comp[columns][None, :]
+                may = ((comp[some][:, None] != comp[columns][None, :])
+                       & (~minor[columns][None, :] | (ids[some][:, None] < ids[columns][None, :])))
                 a, b = _survivors(signature[some], signature[columns], may, bounds)
-                found.append(np.stack([ids[some[a]], ids[columns[b]]]))
-        a, b = np.concatenate(found, axis=1)
-        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+                for lo in range(0, len(a), 1 << 16):
+                    x, y = some[a[lo:lo + (1 << 16)]], columns[b[lo:lo + (1 << 16)]]
+                    shared = (banded[x] == banded[y]).all(axis=2)
+                    own = np.argmax(shared, axis=1) == place[first]
+                    x, y = x[own], y[own]
+                    cuts = np.flatnonzero(np.diff(x, prepend=-1))
+                    for part in np.split(np.arange(len(x)), cuts[1:]) if len(x) else ():
+                        found.setdefault(int(ids[x[part[0]]]), []).append(ids[y[part]])
+        lists = [np.unique(np.concatenate(some)) for some in found.values()]
+        return pa.table({
+            **{name: pa.array([value.as_py()] * len(lists), kind) for name, value, kind in
+               zip(("group", "i", "j"), key, (pa.int64(), pa.int32(), pa.int32()))},
+            "id": pa.array(list(found), pa.int64()),
+            "others": pa.array(lists, pa.list_(pa.int64()))})
 
     ship(apart.sparkSession)
-    return rows.groupBy("group", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+    return rows.groupBy("group", "i", "j").applyInArrow(
+        compare, "group bigint, i int, j int, id bigint, others array<bigint>")
+
+
+def _confirmed_across(survivors: DataFrame, documents: DataFrame, shingle: int, percent: int,
+                      label: str) -> DataFrame:
+    """Links (a, b) among the lists that ``_across`` gives, by full sets of shingles.
+
+    A document's set goes to each tile that asks for it once, not once a pair.
+    Tiles return a spanning forest of the links found.
+    """
+    asked = survivors.select("group", "i", "j", F.explode(F.concat(
+        F.array("id"), "others")).alias("doc_id")).distinct()
+    sets = saved(shingle_sets(pick(documents, asked.select("doc_id")), shingle),
+                 f"{label}-sets")
+    nothing = F.lit(None)
+    rows = (asked.join(sets, "doc_id").select(
+        "group", "i", "j", F.col("doc_id").alias("id"), "shingles",
+        nothing.cast("array<bigint>").alias("others"))
+        .unionByName(survivors.withColumn("shingles", nothing.cast("array<bigint>"))))
+
+    def confirm(table: pa.Table) -> pa.Table:
+        held: dict[int, np.ndarray] = {}
+        lists: list[tuple[int, np.ndarray]] = []
+        for id_, shingles, others in zip(table.column("id").to_pylist(),
+                                         table.column("shingles"), table.column("others")):
+            if shingles.is_valid:
+                held[id_] = shingles.values.to_numpy()
+            if others.is_valid:
+                lists.append((id_, others.values.to_numpy()))
+        found = []
+        for id_, others in lists:
+            own = np.sort(held[id_])
+            for first in range(0, len(others), 256):
+                some = others[first:first + 256]
+                sizes = np.array([len(held[o]) for o in some.tolist()])
+                every = np.concatenate([held[o] for o in some.tolist()])
+                at = np.minimum(np.searchsorted(own, every), len(own) - 1)
+                common = np.add.reduceat((own[at] == every).astype(np.int64),
+                                         np.cumsum(sizes) - sizes)
+                linked = 100 * common >= percent * (len(own) + sizes - common)
+                found += [(id_, int(o)) for o in some[linked]]
+        ends = np.array(found, dtype=np.int64).reshape(-1, 2)
+        kept = forest(ends[:, 0], ends[:, 1])
+        return pa.table({"a": pa.array([max(k) for k in kept], pa.int64()),
+                         "b": pa.array([min(k) for k in kept], pa.int64())})
+
+    ship(survivors.sparkSession)
+    return rows.groupBy("group", "i", "j").applyInArrow(confirm, "a bigint, b bigint")
 
 
 def _confirmed(pairs: DataFrame, documents: DataFrame, shingle: int, percent: int,
@@ -271,11 +340,12 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80,
     without doc_id (its component is NULL).  Rows that repeat a doc_id stand each
     for its own text.  Other columns are not read.
 
-    Equal sets form a class, whose smallest doc_id stands for it.  Within a
-    bucket of equal bands every member is first compared with the bucket's
-    leader; after that only members of different components are compared, the
-    smaller part with the rest, so a large group of near copies does not emit
-    all its pairs and yet no link between components is lost.
+    Equal sets form a class, whose smallest doc_id stands for it.  Every member
+    of a bucket of equal bands is first compared with the bucket's leader, that
+    of the bucket it shares most with; after that members of different
+    components are compared, those outside the leader's component with all, so a
+    large group of near copies does not emit all its pairs and yet no link
+    between components is lost.
     """
     rows = band_rows(percent, hashes)
     bounds = least_matches(percent, hashes)
@@ -292,27 +362,26 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80,
     labelled = members.withColumn("comp", F.col("id"))
     links = saved(members.limit(0).select(F.col("id").alias("a"), F.col("id").alias("b")),
                   "minhash-links")
-    tested, roots = links, links.toDF("node", "root")
-    for turn in range(LEADER_ROUNDS + 1):
+    for turn in range(LEADER_ROUNDS):
         apart = _apart_from_leader(labelled)
-        if 0 < turn < LEADER_ROUNDS:
+        if turn:
             # The rest of a bucket among itself: its leader is the smallest left.
-            apart = _apart_from_leader(apart.select("band", "id", "comp"))
-        if turn < LEADER_ROUNDS:
-            pairs = _pruned(apart.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(),
-                            reps, bounds)
-        else:
-            pairs = _across(apart, labelled, reps, bounds)
-        pairs = saved(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                      .distinct().join(tested, ["a", "b"], "left_anti"), f"minhash-pairs-{turn}")
-        if pairs.isEmpty():
-            continue
-        found = _confirmed(pairs, texts, shingle, percent, f"minhash-{turn}")
-        links = saved(links.union(found), f"minhash-links-{turn}")
-        tested = tested.union(pairs)
+            apart = _apart_from_leader(apart.select("band", "place", "id", "comp"))
+        # Each with the leader it shares most buckets with, so one pair at most.
+        nearest = F.max(F.struct("n", (-F.col("lead")).alias("minus"))).alias("best")
+        pairs = (apart.groupBy("id", "lead").agg(F.count(F.lit(1)).alias("n"))
+                 .groupBy("id").agg(nearest)
+                 .select((-F.col("best.minus")).alias("a"), F.col("id").alias("b")))
+        pairs = saved(_pruned(pairs, reps, bounds), f"minhash-pairs-{turn}")
+        links = saved(links.union(_confirmed(pairs, texts, shingle, percent, f"minhash-{turn}")),
+                      f"minhash-links-{turn}")
         roots = saved(components(links, f"minhash-components-{turn}"), f"minhash-roots-{turn}")
         labelled = members.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
-            "band", "id", F.coalesce("root", "id").alias("comp"))
+            "band", "place", "id", F.coalesce("root", "id").alias("comp"))
+    survivors = saved(_across(_apart_from_leader(labelled), labelled, reps, bounds, rows),
+                      "minhash-survivors")
+    links = links.union(_confirmed_across(survivors, texts, shingle, percent, "minhash-last"))
+    roots = saved(components(links, "minhash-components"), "minhash-roots")
     heads = (classes.select("d1", "d2", "id")
              .join(roots.withColumnRenamed("node", "id"), "id", "left")
              .select("d1", "d2", F.coalesce("root", "id").alias("component_id")))

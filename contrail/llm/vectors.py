@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, map_arrow, saved, ship
+from .common import components, forest, map_arrow, saved, ship
 
 #: Vectors the index is fitted on, at most.
 SAMPLE = 8_192
@@ -104,25 +104,6 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.stack(column.to_numpy(zero_copy_only=False))
 
 
-def forest(left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """Links that join the same nodes as the given ones: at most one less than nodes."""
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while root.setdefault(x, x) != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    kept = []
-    for a, b in zip(left.tolist(), right.tolist()):
-        x, y = find(a), find(b)
-        if x != y:
-            root[max(x, y)] = min(x, y)
-            kept.append((a, b))
-    return kept
-
-
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, lists: int = LISTS,
                     probes: int = PROBES, sample: int = SAMPLE) -> DataFrame:
     """(vec_id, n_links, component_id) of every row of ``vectors`` (vec_id, embedding).
