@@ -21,6 +21,11 @@ PERIOD = 73
 BLOCK_BYTES = 4 << 20
 BUCKET_SUFFIXES = 1 << 20
 LEAST_BUCKETS = 256
+#: Suffix buckets are sent and sorted in so many rounds, so that the disk holds the
+#: keys of one round only.
+ROUNDS = 2
+#: Bitmaps may be broadcast to the blocks up to so many bytes; else they are joined.
+BROADCAST_BYTES = 64 << 20
 
 
 def difference_cover(period: int = PERIOD) -> np.ndarray:
@@ -137,10 +142,13 @@ def _unpacked(payload: bytes) -> np.ndarray:
     return np.cumsum(steps, dtype=np.uint64)
 
 
-def _by_bucket(block: int, keys: np.ndarray, bits: int, buckets: int) -> pa.RecordBatch:
-    """Rising distinct keys of ``bits`` bits, one row for each bucket they fall in."""
+def _by_bucket(block: int, keys: np.ndarray, bits: int, buckets: int, of: int = 1,
+               turn: int = 0) -> pa.RecordBatch:
+    """Rising distinct keys of ``bits`` bits, one row for each bucket they fall in;
+    only the buckets of round ``turn`` among ``of``."""
     cuts = _cuts(keys, bits, buckets)
     full = np.flatnonzero(np.diff(cuts))
+    full = full[full % of == turn]
     return pa.RecordBatch.from_arrays(
         [pa.array(full.astype(np.int32)), pa.array(np.full(len(full), block), pa.int64()),
          pa.array([_packed(keys[cuts[b]:cuts[b + 1]]) for b in full], pa.binary())],
@@ -213,6 +221,15 @@ def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Block]]:
             yield row, Block(row.pop("blob"), np.array(row["lengths"], dtype=np.int64))
 
 
+def _joined(packed: DataFrame, answers: DataFrame) -> DataFrame:
+    """Blocks with their bitmaps, broadcast while these are within a bound."""
+    column = answers.columns[1]
+    size = answers.agg(F.sum(F.aggregate(column, F.lit(0).cast("long"), lambda s, x: (
+        s + F.octet_length(x["bits"]) + 32)))).first()[0] or 0
+    return packed.join(F.broadcast(answers) if size <= BROADCAST_BYTES else answers,
+                       "block", "left")
+
+
 def repeated_bytes(documents: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of every row of ``documents``.
 
@@ -227,7 +244,7 @@ def repeated_bytes(documents: DataFrame) -> DataFrame:
     the rank of a cover sample near its start is not unique.  The suffixes left
     are dealt into buckets and sorted one bucket at a time, tied when the
     fingerprints of their first LENGTH bytes (64 bits) agree.  Only sorted keys
-    travel, and bitmaps come back, so the shuffle stays below the text's size.
+    travel, a part of the buckets at a time, and bitmaps come back.
     """
     spark = documents.sparkSession
     packed = saved(blocks(documents), "suffix-blocks")
@@ -243,10 +260,13 @@ def repeated_bytes(documents: DataFrame) -> DataFrame:
         for row, block in _opened(batches):
             yield _by_bucket(row["block"], np.unique(block.samples()[1]), 48, buckets)
 
-    def send_suffixes(batches):
-        for row, block in _opened(batches):
-            tied = _tied_samples(block, row["answers"], buckets)
-            yield _by_bucket(row["block"], np.unique(block.suffixes(tied)[1]), 64, buckets)
+    def send_suffixes(turn):
+        def send(batches):
+            for row, block in _opened(batches):
+                tied = _tied_samples(block, row["answers"], buckets)
+                yield _by_bucket(row["block"], np.unique(block.suffixes(tied)[1]), 64, buckets,
+                                 ROUNDS, turn)
+        return send
 
     def cut(batches):
         for row, block in _opened(batches):
@@ -281,12 +301,16 @@ def repeated_bytes(documents: DataFrame) -> DataFrame:
     samples = saved(_answers(map_arrow(packed.select("block", "lengths", "blob"), send_samples,
                                        sent), first_is_free=False), "suffix-samples")
     release(spark)
-    marked = packed.join(samples, "block", "left")
-    later = saved(_answers(map_arrow(marked.select("block", "lengths", "blob", "answers"),
-                                     send_suffixes, sent), first_is_free=True)
-                  .withColumnRenamed("answers", "later"), "suffix-later")
-    release(spark)
-    return map_arrow(marked.join(later, "block", "left").select(
+    marked = _joined(packed, samples)
+    later = None
+    for turn in range(ROUNDS):
+        part = saved(_answers(map_arrow(marked.select("block", "lengths", "blob", "answers"),
+                                        send_suffixes(turn), sent), first_is_free=True),
+                     f"suffix-later-{turn}")
+        release(spark)
+        later = part if later is None else later.union(part)
+    later = later.groupBy("block").agg(F.flatten(F.collect_list("answers")).alias("later"))
+    return map_arrow(_joined(marked, saved(later, "suffix-later")).select(
         "ids", "lengths", "blob", "answers", "later"), cut,
         "doc_id bigint, n_bytes bigint, spans array<struct<start: bigint, end: bigint>>, "
         "kept binary")
