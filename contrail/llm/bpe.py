@@ -7,6 +7,7 @@ import heapq
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -19,6 +20,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 # A worker remembers at most twice so many words.
 REMEMBERED = 400_000
+# Rows turned into Python values at a time.
+SLICE_ROWS = 128
 # Longer pieces are encoded anew each time, so that memory stays bounded.
 LONGEST_REMEMBERED = 64
 
@@ -178,19 +181,29 @@ def read_vocabulary(path: str) -> str:
         return file.read()
 
 
-def encode(documents: DataFrame, vocabulary: str, digests: bool = False) -> DataFrame:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, so that what Python makes of one stays small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(first, SLICE_ROWS)
+
+
+def encode(documents: DataFrame, vocabulary: str, digests: bool = False,
+           decoded: bool = False) -> DataFrame:
     """All columns of ``documents`` and the encoding of ``text``.
 
     Adds ``n_tokens`` and ``ids`` (an int array); with ``digests`` instead of the
     ids ``ids_sha256`` of the comma-joined ids and ``decoded_sha256`` of the text
-    they decode to.  NULL and empty texts have no tokens.  One pass without a
-    shuffle; every row stands alone, repeated rows give equal results.  Columns
-    of these names already there are replaced.
+    they decode to; with ``decoded`` that text.  NULL and empty texts have no
+    tokens.  One pass without a shuffle; every row stands alone, repeated rows
+    give equal results.  Columns of these names already there are replaced.
     """
     fields = [T.StructField("n_tokens", T.LongType())]
     fields += ([T.StructField("ids_sha256", T.StringType()),
                 T.StructField("decoded_sha256", T.StringType())] if digests
                else [T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    if decoded:
+        fields.append(T.StructField("decoded", T.StringType()))
     kept = documents.drop(*(field.name for field in fields))
     names = [*kept.columns, *(field.name for field in fields)]
     text_at = kept.columns.index("text")
@@ -198,20 +211,20 @@ def encode(documents: DataFrame, vocabulary: str, digests: bool = False) -> Data
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value)
-        for batch in batches:
-            counts, first, second = [], [], []
-            for text in batch.column(text_at):
-                digits = codec.encode(text.as_py() or "")
-                counts.append(digits.count(",") + 1 if digits else 0)
-                if digests:
-                    first.append(hashlib.sha256(digits.encode()).hexdigest())
-                    second.append(hashlib.sha256(codec.decode(digits).encode()).hexdigest())
-                else:
-                    first.append([int(d) for d in digits.split(",")] if digits else [])
-            added = ([pa.array(first, pa.string()), pa.array(second, pa.string())] if digests
-                     else [pa.array(first, pa.list_(pa.int32()))])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(counts, pa.int64()), *added], names)
+        for batch in _slices(batches):
+            every = [codec.encode(text.as_py() or "") for text in batch.column(text_at)]
+            texts = [codec.decode(digits) for digits in every] if digests or decoded else []
+            added = [pa.array([digits.count(",") + 1 if digits else 0 for digits in every],
+                              pa.int64())]
+            if digests:
+                added += [pa.array([hashlib.sha256(part.encode()).hexdigest() for part in parts])
+                          for parts in (every, texts)]
+            else:
+                added.append(pa.array([np.array(digits.split(",") if digits else [], np.int32)
+                                       for digits in every], pa.list_(pa.int32())))
+            if decoded:
+                added.append(pa.array(texts, pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names)
 
     return map_arrow(kept, apply, T.StructType([*kept.schema.fields, *fields]))
 
@@ -224,9 +237,9 @@ def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value)
-        for batch in batches:
-            texts = [None if row is None else codec.decode(",".join(map(str, row)))
-                     for row in batch.column(at).to_pylist()]
+        for batch in _slices(batches):
+            texts = [codec.decode(",".join(map(str, row.values.to_pylist())))
+                     if row.is_valid else None for row in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
 
     return map_arrow(kept, apply, T.StructType(
