@@ -294,7 +294,8 @@ def components(links: DataFrame, label: str, local_links: int = LOCAL_LINKS,
             F.explode(F.array(F.struct("a", F.col("m").alias("b")),
                               F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
         ).select("e.a", "e.b").where("a > b").distinct(), label)
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+        now = links.agg(F.count(F.lit(1)), digest).first()
         if now == seen:
             roots = links.groupBy("a").agg(F.min("b").alias("root"))
             return roots.toDF("node", "root").union(links.select("b", "b").distinct())

@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, Words, chunks, components, forest, map_arrow, mixed, pick, saved, ship
+from .common import (NON_SPACE, Words, chunks, components, forest, map_arrow, mixed, pick,
+                     saved, ship)
 
 HASHES = 100
 #: Chance that a link at the threshold shares no band, at most.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,8 +15,9 @@ from .common import components, forest, map_arrow, saved, ship
 
 #: Vectors the index is fitted on, at most.
 SAMPLE = 8_192
-LISTS = 128
-PROBES = 12
+#: Lists of the index at most; below it the square root of the number of vectors.
+LISTS = 1_024
+PROBES = 16
 SUBSPACES = 8
 CODES = 64
 COSINE = 0.95
@@ -104,7 +106,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.stack(column.to_numpy(zero_copy_only=False))
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, lists: int = LISTS,
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, lists: int | None = None,
                     probes: int = PROBES, sample: int = SAMPLE) -> DataFrame:
     """(vec_id, n_links, component_id) of every row of ``vectors`` (vec_id, embedding).
 
@@ -124,7 +126,6 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, lists: int = LIS
     error kept with it, so the rerank loses no pair; only lists not probed can.
     A tile pair returns counts and a spanning forest of its links, not the links.
     """
-    spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
                           F.col("embedding").cast("array<double>").alias("e"))
     rows = rows.withColumn("norm", F.sqrt(F.aggregate(
@@ -142,7 +143,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, lists: int = LIS
         some = own.orderBy(F.xxhash64("id"), "id").limit(sample).select("e").toArrow()
         points = _matrix(some.column("e").combine_chunks())
         points = points / np.linalg.norm(points, axis=1)[:, None]
-        found = _linked(own, fit(points, lists), cosine, probes)
+        number = lists or min(LISTS, max(16, math.isqrt(own.count())))
+        found = _linked(own, fit(points, number), cosine, probes)
         found = saved(found, "vector-links")
         part = found.where("other is null").groupBy("id").agg(F.sum("n").alias("n"))
         pairs = found.where("other is not null").select(

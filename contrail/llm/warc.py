@@ -42,7 +42,8 @@ def leaves(records: DataFrame) -> DataFrame:
     """
     hashed = records.select("position", F.octet_length("record").cast("long").alias("n_bytes"),
                             F.sha2("record", 256).alias("digest"))
-    return hashed.groupBy("position").agg(F.min(F.struct("digest", "n_bytes")).alias("leaf")).select(
+    least = F.min(F.struct("digest", "n_bytes")).alias("leaf")
+    return hashed.groupBy("position").agg(least).select(
         "position", "leaf.n_bytes", "leaf.digest")
 
 
@@ -109,7 +110,8 @@ def audit(one: DataFrame, other: DataFrame, height: int, fan_out: int = FAN_OUT)
             inside = saved(inside, f"audit-{level}")
             left = left.join(inside, "index", "left_semi")
             right = right.join(inside, "index", "left_semi")
-        suspects = left.join(right, "index", "full_outer").where(~F.col("da").eqNullSafe(F.col("db")))
+        suspects = left.join(right, "index", "full_outer").where(
+            ~F.col("da").eqNullSafe(F.col("db")))
         if level:
             suspects = saved(suspects.select("index"), f"audit-suspects-{level}")
     damage = (F.when(F.col("db").isNull(), "missing").when(F.col("da").isNull(), "extra")
