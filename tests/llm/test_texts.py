@@ -172,6 +172,19 @@ def test_passages_behind_a_common_line(docs):
     assert found == {(101, 100)}
 
 
+def test_passages_in_crowded_groups(docs):
+    """True pairs in groups whose first windows are of unrelated documents."""
+    rng = random.Random(5)
+    line = text_of(rng, 22)
+    rows = [(d, text_of(rng, 45) + line + text_of(rng, 45)) for d in range(40)]
+    for k in range(60):
+        passage = text_of(rng, 15) + line + text_of(rng, 15)
+        rows += [(100 + 2 * k, text_of(rng, 10) + passage), (101 + 2 * k, passage + ["end"])]
+    rows = [(d, " ".join(w)) for d, w in rows]
+    found = {(r.doc_id, r.source_doc_id) for r in passages.repeated_passages(docs(rows)).collect()}
+    assert found == {(101 + 2 * k, 100 + 2 * k) for k in range(60)}
+
+
 def test_passages_query_finds_exact_repeats(spark, folder, corpus):
     first, repeats = {}, {}
     for doc_id, text in sorted(corpus[1]):
