@@ -185,6 +185,21 @@ def test_passages_in_crowded_groups(docs):
     assert found == {(101 + 2 * k, 100 + 2 * k) for k in range(60)}
 
 
+def test_passages_once_edited(docs):
+    """A similarity of 41 / 51: none of 400 pairs may be missed."""
+    rng = random.Random(7)
+    rows = []
+    for k in range(400):
+        passage = text_of(rng, 50)
+        edited = passage[:25] + ["changed"] + passage[26:]
+        rows += [(2 * k, text_of(rng, 20) + passage + text_of(rng, 20)),
+                 (2 * k + 1, text_of(rng, 20) + edited + text_of(rng, 20))]
+    rows = [(d, " ".join(w)) for d, w in rows]
+    found = {(r.doc_id, r.source_doc_id) for r in passages.repeated_passages(docs(rows)).collect()}
+    assert found == {(2 * k + 1, 2 * k) for k in range(400)}
+    assert (1 - 0.8) ** passages.functions_for(80) <= passages.MISS
+
+
 def test_passages_query_finds_exact_repeats(spark, folder, corpus):
     first, repeats = {}, {}
     for doc_id, text in sorted(corpus[1]):
