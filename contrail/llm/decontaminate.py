@@ -39,21 +39,22 @@ def _grams(plain: Column, size: int) -> Column:
 
 
 def _items(benchmark: DataFrame, shingle: int) -> DataFrame:
-    """(item_id, n_words, size, grams): words of each item, and its runs of ``size`` words.
+    """(item_id, item, n_words, size, grams): words of each row, and its runs of ``size``
+    words; ``item`` is a digest of the words, which tells items apart whatever their id.
 
     An item of fewer than ``shingle`` words is one run; one without words is left out.
     """
     plain = benchmark.select("item_id", _plain(F.col("text")).alias("plain")).where("plain <> ''")
     n = F.size(F.split("plain", " "))
     return saved(plain.select(
-        "item_id", n.alias("n_words"), F.least(n, F.lit(shingle)).alias("size"),
+        "item_id", F.sha2("plain", 256).alias("item"), n.alias("n_words"), F.least(n, F.lit(shingle)).alias("size"),
         F.when(n < shingle, F.array("plain")).otherwise(_grams(F.col("plain"), shingle))
         .alias("grams")), "benchmark-items")
 
 
 def _weights(items: DataFrame) -> DataFrame:
-    """(gram, weight): a run that several items share weighs less."""
-    return (items.select("item_id", F.explode(F.array_distinct("grams")).alias("gram"))
+    """(gram, weight): a run that several distinct items share weighs less."""
+    return (items.select("item", F.explode("grams").alias("gram")).distinct()
             .groupBy("gram").agg((1.0 / F.count(F.lit(1))).alias("weight")))
 
 
@@ -98,8 +99,10 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, shingle: int = SHIN
     most like it (the first of several): the weights of the ``shingle``-word runs
     both hold, over those that either holds, reach ``percent`` / 100.  Case and
     punctuation are ignored; whole texts are read.  NULL or empty texts and items
-    match nothing, an item of fewer words than a run is one run, repeated rows of
-    an item match alike, rows without doc_id or item_id are left out.
+    match nothing, an item of fewer words than a run is one run, rows without doc_id
+    or item_id are left out.  Texts that are equal in words are one item, under
+    whatever ids they stand, and match alike; different texts under one item_id are
+    items of their own, of which the row tells the one most alike.
 
     1. A window similar to an item holds one of its runs, so only windows that
        line up with such a run are made: the text is cut into runs once, and
@@ -152,29 +155,30 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, shingle: int = SHIN
                 .select(*keys, F.xxhash64("gram").alias("h"),
                         F.coalesce("weight", F.lit(1.0)).alias("w")))
 
-    texts = items.select("item_id", F.array_distinct("grams").alias("grams")).distinct()
+    texts = items.select("item", F.array_distinct("grams").alias("grams")).distinct()
     prints = fingerprints(shingled(contents, "content"), ["content"], "h", "w")
-    item_prints = saved(fingerprints(shingled(texts, "item_id"), ["item_id"], "h", "w"),
+    item_prints = saved(fingerprints(shingled(texts, "item"), ["item"], "h", "w"),
                         "benchmark-prints")
     keys = _bounded(saved(item_prints.select(
-        "item_id", F.col("print").alias("item_print"), F.col("mass").alias("item_mass"),
+        "item", F.col("print").alias("item_print"), F.col("mass").alias("item_mass"),
         F.explode(_blocks(flips=True)).alias("key")), "benchmark-keys"))
     near = (prints.select("content", "print", "mass", F.explode(_blocks(flips=False)).alias("key"))
             .join(keys, "key")
             .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-            .select("content", "mass", "item_id", "item_mass").distinct())
+            .select("content", "mass", "item", "item_mass").distinct())
 
     weighed = (
-        texts.select("item_id", F.explode("grams").alias("gram")).join(known, "gram")
-        .groupBy("item_id").agg(F.collect_list(F.struct("gram", "weight")).alias("weighed")))
+        texts.select("item", F.explode("grams").alias("gram")).join(known, "gram")
+        .groupBy("item").agg(F.collect_list(F.struct("gram", "weight")).alias("weighed")))
     common = F.aggregate(
         F.filter("weighed", lambda x: F.array_contains(F.col("grams"), x["gram"])),
         F.lit(0.0), lambda total, x: total + x["weight"])
     similarity = F.col("common") / (F.col("mass") + F.col("item_mass") - F.col("common"))
-    alike = (near.join(contents, "content").join(weighed, "item_id")
+    alike = (near.join(contents, "content").join(weighed, "item")
              .withColumn("common", common).withColumn("similarity", similarity)
              .where(F.col("similarity") >= percent / 100 - 1e-9)
-             .select("content", "item_id", "similarity"))
+             .join(items.select("item", "item_id").distinct(), "item")
+            .select("content", "item_id", "similarity"))
     return (windows.join(alike, "content").groupBy("doc_id", "item_id").agg(
         F.min(F.struct((-F.col("similarity")).alias("s"), "start_word", "n_words")).alias("best"))
         .select("doc_id", "item_id", "best.start_word", "best.n_words",

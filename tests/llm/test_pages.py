@@ -75,6 +75,20 @@ def test_decontamination(docs, spark):
     assert decontaminate.contaminated(docs([]), benchmark).count() == 0
 
 
+def test_decontamination_with_repeated_rows(docs, spark):
+    """Items under one id, and one item in several rows or under several ids."""
+    rng = random.Random(9)
+    one, two, three = ([f"t{rng.randrange(5000)}" for _ in range(n)] for n in (40, 40, 54))
+    edited = three[:27] + ["changed"] + three[28:]
+    rows = [(d, " ".join(w)) for d, w in ((1, one), (2, two), (3, edited), (4, one[:20]))]
+    named = [(0, one), (0, two), (1, three), (1, three), (2, three)]
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in named],
+                                      "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in
+             decontaminate.contaminated(docs(rows), benchmark).collect()}
+    assert found == {(1, 0): 1, (2, 0): 1, (3, 1): round(45 / 55, 9), (3, 2): round(45 / 55, 9)}
+
+
 def test_decontamination_query(spark, folder, corpus):
     items = [(r.item_id, r.text) for r in
              spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
