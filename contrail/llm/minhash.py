@@ -330,6 +330,26 @@ def _apart_from_leader(members: DataFrame) -> DataFrame:
     return members.join(leaders, "band").where("comp <> lead_comp")
 
 
+def _told_apart(documents: DataFrame) -> tuple[DataFrame, bool]:
+    """``documents`` with a number ``_row``, and whether any doc_id repeats.
+
+    It is the doc_id; rows that share one get numbers above all doc_ids, in order of
+    doc_id and text.
+    """
+    row = F.col("doc_id").cast("long")
+    repeated = saved(documents.where("doc_id is not null").groupBy("doc_id")
+                     .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"),
+                     "minhash-repeated")
+    if repeated.isEmpty():
+        return documents.withColumn("_row", row), False
+    top = documents.agg(F.max(row)).first()[0]
+    own = saved(pick(documents, repeated).repartitionByRange("doc_id")
+                .sortWithinPartitions("doc_id", "text", F.xxhash64(*documents.columns))
+                .withColumn("_row", F.lit(top + 1).cast("long") + F.monotonically_increasing_id()),
+                "minhash-told-apart")
+    return pick(documents, repeated, keep=False).withColumn("_row", row).unionByName(own), True
+
+
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80,
                     hashes: int = HASHES) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``documents``.
@@ -348,6 +368,21 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80,
     large group of near copies does not emit all its pairs and yet no link
     between components is lost.
     """
+    told, repeats = _told_apart(documents.select("doc_id", "text"))
+    found = _grouped(told.select(F.col("_row").alias("doc_id"), "text"), shingle, percent, hashes)
+    if not repeats:
+        return found
+    named = saved(found.withColumnRenamed("doc_id", "_row").join(
+        told.where("_row is not null").select("_row", F.col("doc_id").cast("long")
+                                              .alias("doc_id")), "_row", "left"), "minhash-named")
+    least = named.where("component_id is not null").groupBy("component_id").agg(
+        F.min("doc_id").alias("least"))
+    return named.join(least, "component_id", "left").select(
+        "doc_id", "n_shingles", F.col("least").alias("component_id"))
+
+
+def _grouped(documents: DataFrame, shingle: int, percent: int, hashes: int = HASHES) -> DataFrame:
+    """What ``near_duplicates`` gives, of documents whose doc_ids do not repeat."""
     rows = band_rows(percent, hashes)
     bounds = least_matches(percent, hashes)
     table = saved(signatures(documents, shingle, hashes), "minhash-signatures")
@@ -396,15 +431,18 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80,
 def deduplicated(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """``documents`` with one row of each near-duplicate group: that of the smallest doc_id.
 
-    Of rows that repeat the kept doc_id one stays.  Rows that link with nothing stay.
+    Rows that repeat a doc_id stand each for its own text; of those in one group the
+    one whose text is least stays.  Rows that link with nothing stay.
     """
-    found = saved(near_duplicates(documents, shingle, percent), "minhash-found")
-    gone = found.where("doc_id <> component_id").select("doc_id")
-    again = (found.where("doc_id = component_id").groupBy("doc_id")
-             .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"))
-    gone = saved(gone.union(again).distinct(), "minhash-gone")
-    single = pick(documents, gone, keep=False)
-    again = saved(again, "minhash-again")
-    if again.isEmpty():
-        return single
-    return single.unionByName(pick(documents, again).dropDuplicates(["doc_id"]))
+    told, repeats = _told_apart(documents)
+    found = saved(_grouped(told.select(F.col("_row").alias("doc_id"), "text"), shingle, percent),
+                  "minhash-found")
+    if not repeats:
+        gone = found.where("doc_id <> component_id").select("doc_id")
+        return pick(documents, saved(gone, "minhash-gone"), keep=False)
+    own = found.where("doc_id is not null").select(F.col("doc_id").alias("_row"), "component_id")
+    own = own.join(told.select("_row", "doc_id"), "_row")
+    kept = own.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row")).alias("kept"))
+    gone = saved(own.join(kept, "component_id").where("_row <> kept._row").select("_row"),
+                 "minhash-gone")
+    return told.join(gone, "_row", "left_anti").select(*documents.columns)

@@ -110,6 +110,16 @@ def test_minhash_keeps_one_row(docs):
     assert sorted(r.doc_id for r in minhash.deduplicated(frame).collect()) == [1, 3, 4]
 
 
+def test_minhash_tells_rows_of_one_id_apart(docs):
+    rng = random.Random(12)
+    x, y, z = (" ".join(text_of(rng, 80)) for _ in range(3))
+    rows = [(1, x), (1, y), (2, x + " end"), (3, y + " end"), (4, z), (4, None), (5, z), (4, z)]
+    kept = {(r.doc_id, r.text) for r in minhash.deduplicated(docs(rows)).collect()}
+    assert kept == {(1, x), (1, y), (4, z), (4, None)}
+    found = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs(rows)).collect()}
+    assert found == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 4)}
+
+
 def test_pruning_bounds_keep_the_threshold():
     for n, least in minhash.least_matches(85):
         assert least < 0.85 * n
