@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontaminate, html_text, langid, minhash, passages, suffixes, toxicity,
-               vectors, warc)
+from . import (bpe, decontaminate, divergence, html_text, langid, minhash, passages, suffixes,
+               toxicity, vectors, warc)
 from .common import saved, table
 
 
@@ -93,6 +93,11 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language lie apart, and the terms that set them apart."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 _OP8_SQL = """
 with replica as (
   select page_id, coalesce(url, '') as url, coalesce(html, '') as one,
@@ -118,6 +123,53 @@ from placed where lost or one <> other
 """
 
 
+_OP11_SQL = """
+with d as (
+  select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') as text
+  from documents),
+w as (
+  select doc, lang, source,
+         unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+  from d),
+kept as (
+  select lang, term, count(*)::hugeint as n from w group by all having count(distinct doc) >= 30),
+langs as (select lang, count(*) as v, sum(n)::hugeint as total from kept group by all),
+cells as (
+  select w.lang, w.source, w.term, count(*)::hugeint as n
+  from w join kept using (lang, term) group by all),
+grouped as (
+  select g.lang, g.source, coalesce(any_value(v), 0) as v,
+         coalesce(any_value(l.total), 0) as lang_total, coalesce(sum(c.n), 0)::hugeint as total
+  from (select distinct lang, source from d) g
+  left join langs l on l.lang = g.lang
+  left join cells c on c.lang = g.lang and c.source = g.source
+  group by all),
+p as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+         1 + (1000000000 * (coalesce(c.n, 0) + 5)) // (g.total + 5 * g.v) as p,
+         1 + (1000000000 * (k.n + 5)) // (g.lang_total + 5 * g.v) as q
+  from grouped g join kept k on k.lang = g.lang
+  left join cells c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+pairs as (
+  select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+  group by all),
+ranked as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+  from grouped a join grouped b on a.lang = b.lang and a.source <> b.source
+  left join pairs x on x.lang = a.lang and x.source = a.source and x.item = b.source
+  union all
+  select lang, source, 'term', term, p - q from p where n > 0 and p > q),
+numbered as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+  from ranked)
+select lang, source, part, item, value::bigint as value, rank::int as rank
+from numbered where part = 'pair' or rank <= 50
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One callable (spark, sf_dir) -> DataFrame per operator."""
     return {
@@ -131,9 +183,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": op8_warc,
         "op9_suffixes": op9_suffixes,
         "op10_langid": op10_langid,
+        "op11_divergence": op11_divergence,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The same queries as SQL, where SQL can express them."""
-    return {"op8_warc": _OP8_SQL}
+    return {"op8_warc": _OP8_SQL, "op11_divergence": _OP11_SQL}

@@ -161,7 +161,7 @@ class Words:
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray,
-                 members: np.ndarray = NON_SPACE, lower: bool = True):
+                 members: np.ndarray = NON_SPACE, lower: bool = True, hashed: bool = True):
         inside = members[data]
         before = np.empty_like(inside)
         before[:1], before[1:] = False, inside[:-1]
@@ -172,8 +172,9 @@ class Words:
         after[bounds[bounds > 0] - 1] = False
         self.starts = np.flatnonzero(inside & ~before)
         self.ends = np.flatnonzero(inside & ~after) + 1
-        self.hashes = span_hashes(prefix_hashes(LOWER[data] if lower else data),
-                                  self.starts, self.ends)
+        if hashed:
+            self.hashes = span_hashes(prefix_hashes(LOWER[data] if lower else data),
+                                      self.starts, self.ends)
         self.doc_starts = np.searchsorted(self.starts, offsets)
 
     def shingles(self, size: int, whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
