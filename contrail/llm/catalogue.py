@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontaminate, divergence, html_text, langid, minhash, passages, suffixes,
-               toxicity, vectors, warc)
+from . import (bpe, decontaminate, divergence, html_text, langid, minhash, passages, prefix_trie,
+               quality, suffixes, toxicity, vectors, warc)
 from .common import saved, table
 
 
@@ -98,6 +98,21 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shared beginning of the rebuilt conversations, with its subtree's totals."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("node", "parent")
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(documents, table(spark, sf_dir, "labels"))
+    score = F.col("quality_score")
+    return quality.score(documents, model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
+        (score >= 0.3).cast("int").alias("predicted"))
+
+
 _OP8_SQL = """
 with replica as (
   select page_id, coalesce(url, '') as url, coalesce(html, '') as one,
@@ -170,6 +185,45 @@ from numbered where part = 'pair' or rank <= 50
 """
 
 
+_OP12_SQL = """
+with t as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first,
+           coalesce(role, ''), sha256(coalesce(text, ''))) as i,
+         {'role': coalesce(role, ''), 'text': coalesce(text, '')} as said
+  from conversations where conv_id is not null),
+c as (
+  select conv_id, list(said order by i) as own,
+         xor(list_reduce(list_prepend(4294967295::bigint,
+               list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+             lambda state, byte: list_reduce(list_prepend(xor(state, byte), range(8)),
+               lambda s, k: xor(s >> 1, 3988292384 * (s & 1)))), 4294967295) % 9 as h
+  from t group by conv_id),
+r as (
+  select c.conv_id, list_concat(coalesce(b.own[1:c.h], []), c.own[c.h + 1:]) as path
+  from c left join c b on b.conv_id = c.conv_id - c.conv_id % 5),
+p as (
+  select conv_id, path[1:d] as node, d as depth, d = len(path) as ends
+  from (select conv_id, path, unnest(range(len(path) + 1)) as d from r)),
+n as (
+  select node, depth, min(conv_id) as conv_id, count(*) as n_convs,
+         (count(*) - 1) * any_value(coalesce(strlen(node[depth].text), 0)) as saved,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), ''))
+           as ends_sha256
+  from p group by all),
+k as (select node[1:depth - 1] as node, count(*) as children from n where depth > 0 group by all),
+f as (
+  select n.*, coalesce(k.children, 0) as n_children from n left join k using (node)),
+s as (
+  select node[1:d] as node, sum(saved) as saved_tokens,
+         count(*) filter (n_children = 0) as n_leaves
+  from (select *, unnest(range(depth + 1)) as d from f) group by all)
+select f.conv_id, f.depth, u.conv_id as parent_conv_id, f.n_convs, f.n_children, s.n_leaves,
+       s.saved_tokens::bigint as saved_tokens, f.ends_sha256
+from f join s using (node)
+left join f u on f.depth > 0 and u.node = f.node[1:f.depth - 1]
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One callable (spark, sf_dir) -> DataFrame per operator."""
     return {
@@ -184,9 +238,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffixes": op9_suffixes,
         "op10_langid": op10_langid,
         "op11_divergence": op11_divergence,
+        "op12_prefix_trie": op12_prefix_trie,
+        "op13_quality": op13_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The same queries as SQL, where SQL can express them."""
-    return {"op8_warc": _OP8_SQL, "op11_divergence": _OP11_SQL}
+    return {"op8_warc": _OP8_SQL, "op11_divergence": _OP11_SQL,
+            "op12_prefix_trie": _OP12_SQL}
