@@ -115,6 +115,11 @@ SILVER = _struct(
 )
 
 
+# Silver rows and rescued texts in one folder, by kind.
+RESCUED = _struct(**{f.name: f.dataType for f in SILVER.fields},
+                  column_name=_TEXT, text=_TEXT, source_file=_TEXT, kind=_TEXT)
+
+
 def _delay_fields() -> dict[str, T.DataType]:
     fields: dict[str, T.DataType] = {}
     for family in DELAY_FAMILIES:
@@ -252,10 +257,10 @@ PLANE_COMMENTS = {
 
 DICTIONARY = {
     "flight_silver": SILVER_COMMENTS,
-    "flight_gold": GOLD_COMMENTS,
-    "l_date_gold": CALENDAR_COMMENTS,
-    "l_airport_silver": AIRPORT_COMMENTS,
+    "daily_flights": GOLD_COMMENTS,
+    "calendar_days": CALENDAR_COMMENTS,
+    "airport_places": AIRPORT_COMMENTS,
     "cancellation_silver": CANCELLATION_COMMENTS,
-    "l_unique_carrier_silver": CARRIER_COMMENTS,
-    "l_plane_silver": PLANE_COMMENTS,
+    "carrier_names": CARRIER_COMMENTS,
+    "plane_register": PLANE_COMMENTS,
 }

@@ -50,20 +50,66 @@ def clean_flights(bronze: DataFrame) -> DataFrame:
     input type needs one, and the lookup form of ``clock_text``.
     """
     kinds = dict(bronze.dtypes)
+    return bronze.select(*(_typed(name, kinds).alias(name) for name in C.SILVER.names))
 
-    def column(name: str) -> Column:
-        if name == "date":
-            return day_from_parts(*(to_whole(F.col(part), kinds[part])
-                                    for part in C.DATE_PARTS))
-        if name in C.CLOCK_COLUMNS:
-            return clock_text(F.col(name), kinds[name])
-        if name in C.FLAG_COLUMNS:
-            return to_flag(F.col(name), kinds[name])
-        if name in C.WHOLE_COLUMNS or name == C.YEAR_PARTITION:
-            return to_whole(F.col(name), kinds[name])
-        return F.col(name)
-
-    return bronze.select(*(column(name).alias(name) for name in C.SILVER.names))
+
+def _typed(name: str, kinds: dict[str, str]) -> Column:
+    """The silver column ``name`` from bronze columns of the given types."""
+    if name == "date":
+        return day_from_parts(*(to_whole(F.col(part), kinds[part])
+                                for part in C.DATE_PARTS))
+    if name in C.CLOCK_COLUMNS:
+        return clock_text(F.col(name), kinds[name])
+    if name in C.FLAG_COLUMNS:
+        return to_flag(F.col(name), kinds[name])
+    if name in C.WHOLE_COLUMNS or name == C.YEAR_PARTITION:
+        return to_whole(F.col(name), kinds[name])
+    return F.col(name)
+
+
+#: Columns that the rescue adds: which column lost what text.
+RESCUE = ("column_name", "text")
+
+
+def lost_texts(bronze: DataFrame) -> Column:
+    """What silver's types could not hold, as an array of (column_name, text).
+
+    A value that is there in bronze and NULL in silver; of a date that its parts do not
+    make, the parts.
+    """
+    kinds = dict(bronze.dtypes)
+    texts = {name: F.col(name).cast("string")
+             for name in (*C.CLOCK_COLUMNS, *C.FLAG_COLUMNS, *C.WHOLE_COLUMNS)}
+    parts = [F.col(part).cast("string") for part in C.DATE_PARTS]
+    texts["date"] = F.when(F.coalesce(*parts).isNotNull(), F.concat_ws(
+        "-", *(F.coalesce(part, F.lit("?")) for part in parts)))
+    return F.array_compact(F.array(*(
+        F.when(text.isNotNull() & _typed(name, kinds).isNull(), F.struct(
+            F.lit(name).alias(RESCUE[0]), text.alias(RESCUE[1])))
+        for name, text in texts.items())))
+
+
+def clean_with_rescue(bronze: DataFrame) -> DataFrame:
+    """Silver rows and rescued texts in one pass: a row of kind ``clean`` for each flight,
+    and one of kind ``rescue`` for each value that silver's types could not hold.
+
+    Both have silver's columns, ``kind``, column_name, text and source_file; each kind
+    fills its own, and both the year.  A projection, so it streams.
+    """
+    silver = [name for name in C.SILVER.names if name != C.YEAR_PARTITION]
+    kinds = dict(bronze.dtypes)
+    nothing = F.array(F.struct(*(F.lit(None).cast("string").alias(name) for name in RESCUE)))
+    rows = bronze.select(
+        F.struct(*(_typed(name, kinds).alias(name) for name in C.SILVER.names)).alias("silver"),
+        F.explode(F.concat(nothing, lost_texts(bronze))).alias("lost"),
+        F.col("_metadata.file_path").alias("source_file"))
+    clean = F.col("lost.column_name").isNull()
+    return rows.select(
+        F.col(f"silver.{C.YEAR_PARTITION}"),
+        *(F.when(clean, F.col(f"silver.{name}")).alias(name) for name in silver),
+        *(F.col(f"lost.{name}") for name in RESCUE),
+        F.when(~clean, F.col("source_file")).alias("source_file"),
+        F.when(clean, "clean").otherwise("rescue").alias("kind"))
 
 
 def normalise_clocks(frame: DataFrame, columns: tuple[str, ...]) -> DataFrame:

@@ -18,8 +18,28 @@ def daily_summary(silver: DataFrame) -> DataFrame:
     as well: a delay family keeps two or three aggregate buffers instead of
     five, which narrows both the hash rows and the shuffled rows.
     """
-    sums = silver.groupBy("date").agg(
+    return _measures(silver.groupBy("date").agg(
+        F.count_distinct("UniqueCarrier").alias("num_carriers"), *_buffers()))
+
+
+def daily_state(silver: DataFrame) -> DataFrame:
+    """What the daily summary needs of a lot of flights: its sums by day and carrier.
+
+    States of several lots add up: see ``summary_of_state``.
+    """
+    return silver.groupBy("date", "UniqueCarrier").agg(*_buffers())
+
+
+def summary_of_state(state: DataFrame) -> DataFrame:
+    """The daily summary of all flights whose states are given, in any number of rows."""
+    sums = [name for name in state.columns if name not in ("date", "UniqueCarrier")]
+    return _measures(state.groupBy("date").agg(
         F.count_distinct("UniqueCarrier").alias("num_carriers"),
+        *(F.sum(name).alias(name) for name in sums)))
+
+
+def _buffers() -> list[Column]:
+    return [
         F.sum(F.col("Cancelled").cast("int")).alias("total_cancelled"),
         F.sum(F.col("Diverted").cast("int")).alias("total_diverted"),
         F.sum("AirTime").alias("total_air_time"),
@@ -28,7 +48,10 @@ def daily_summary(silver: DataFrame) -> DataFrame:
         F.sum("Distance").alias("total_distance"),
         F.count("Distance").alias("known_distance"),
         F.count(F.lit(1)).alias("num_flights"),
-    )
+    ]
+
+
+def _measures(sums: DataFrame) -> DataFrame:
     return sums.select(
         "date",
         "num_carriers",

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,21 +23,27 @@ from ..operators.cleaning import (add_ingest_metadata, clean_flights,
                                   drop_empty_planes, normalise_clocks,
                                   split_airports)
 from ..operators.daily import daily_summary
+from ..operators.heavy import frequent_values_bounded
 from ..operators.profile import (TableSet, frequent_values, group_counts,
                                  null_counts, require_reconciled, row_counts)
 from ..session import ensure_database, scratch_folder
+from ..sources.bucketed import join_bucketed, store_dimension, store_fact
 from ..sources.csv_files import PLAIN_CSV, list_csv, scan_csv, schema_of_sample, stream_csv
 from ..sources.landing import (LAND_KEYS, land, landed_months, read_flight_files,
                                read_landed, rows_per_file, stream_flight_files,
-                               stream_mixed_files, with_land_keys)
-from ..sources.tables import (comment_columns, describe_table, read_table,
+                               with_land_keys)
+from ..sources.manifest import SourceManifest
+from ..sources.tables import (comment_columns, delete_folder, describe_table, read_table,
                               register_table, write_table)
-from ..streaming.control import (finish, finish_step, progress_table, stop_all_streams,
-                                 stop_stream, stream_status, wait_ready)
-from ..streaming.hops import (start_bronze, start_landing, start_silver,
+from ..sources.versions import TableVersions
+from ..streaming.control import (ProgressLog, finish, stop_all_streams, stop_stream,
+                                 stream_status, wait_ready)
+from ..streaming.hops import (land_new_files, rescued_part, silver_part, start_bronze,
+                              start_landing, start_silver, start_silver_with_rescue,
                               stream_writer)
 from . import questions
-from .lakehouse import Lake, read_codes, refresh_flights
+from .lakehouse import Lake, build_gold, read_codes, refresh_flights
+from .profile_store import ProfileStore
 from .samples import (bronze_flights, raw_airports, raw_cancellations, raw_carriers,
                       raw_flights, raw_planes, table)
 
@@ -263,7 +270,7 @@ def dictionary_after_refresh(spark, folder):
         write_table(frame, f"{root}/{step}")
         register_table(spark, name, f"{root}/{step}")
         if step == "same":
-            comment_columns(spark, name, C.DICTIONARY["flight_gold"])
+            comment_columns(spark, name, C.DICTIONARY["daily_flights"])
         rows = read_table(spark, name).agg(F.count(F.lit(1)).alias("num_rows"))
         described.append(describe_table(spark, name).select(
             F.lit(step).alias("step"), "col_name", "comment").crossJoin(rows))
@@ -277,12 +284,12 @@ def table_dictionary(spark, folder):
     silver = silver_flights(spark, folder)
     frames = {
         "flight_silver": silver,
-        "flight_gold": daily_summary(silver),
-        "l_date_gold": calendar_for(silver),
-        "l_airport_silver": airports(spark, folder),
+        "daily_flights": daily_summary(silver),
+        "calendar_days": calendar_for(silver),
+        "airport_places": airports(spark, folder),
         "cancellation_silver": raw_cancellations(spark),
-        "l_unique_carrier_silver": raw_carriers(spark, folder),
-        "l_plane_silver": planes(spark, folder),
+        "carrier_names": raw_carriers(spark, folder),
+        "plane_register": planes(spark, folder),
     }
     root = scratch_folder(spark, "dictionary")
     database = ensure_database(spark)
@@ -368,35 +375,47 @@ def _write_lot(flights: DataFrame, root: str) -> None:
         rows.write.mode("append").options(**PLAIN_CSV).csv(root)
 
 
+def _land_all(spark, root, sources, files_per_batch=None, at_most=None):
+    manifest = SourceManifest(spark, f"{root}/manifest")
+    return land_new_files(spark, manifest, sources, f"{root}/landed", f"{root}/checkpoint",
+                          files_per_batch, at_most)
+
+
 def land_stream_mixed(spark, folder):
-    """One folder of both headers, filled in two lots, landed by a resumed stream."""
+    """One folder of both headers, filled in two lots; the second comes between the
+    listing and the landing of the first.  A last run finds the folder emptied."""
     root = scratch_folder(spark, "mixed")
     flights = raw_flights(spark, folder)
-    for lot in (F.col("Month") <= 6, F.col("Month") > 6):
-        _write_lot(flights.where(lot), f"{root}/source")
-        finish(start_landing([stream_mixed_files(spark, f"{root}/source", 3)],
-                             f"{root}/landed", f"{root}/checkpoint"))
+    _write_lot(flights.where("Month <= 6"), f"{root}/source")
+    SourceManifest(spark, f"{root}/manifest").pin([f"{root}/source"])
+    _write_lot(flights.where("Month > 6"), f"{root}/source")
+    _land_all(spark, root, [f"{root}/source"], 3)
+    _land_all(spark, root, [f"{root}/source"], 3)
+    _land_all(spark, root, [f"{root}/emptied"], 3)
     return read_landed(spark, f"{root}/landed")
 
 
 def land_bounded(spark, folder):
-    """A landing of at most two files, then one of the rest."""
+    """A landing of at most eight of twelve files in two folders, then one of the rest."""
     root = scratch_folder(spark, "bounded")
     flights = raw_flights(spark, folder).repartition(6)
-    _write_lot(flights, f"{root}/source")
-    counted = []
-    for bound in (2, None):
-        source = stream_mixed_files(spark, f"{root}/source", bound)
-        query = start_landing([source], f"{root}/landed", f"{root}/checkpoint",
-                              one_step=bound is not None)
-        (finish_step if bound else finish)(query)
-        rows = read_landed(spark, f"{root}/landed").count()
-        counted.append(rows)
-    total = F.count(F.lit(1))
-    return read_landed(spark, f"{root}/landed").agg(
-        total.alias("num_rows"),
-        (F.lit(counted[0]) > 0).alias("first_run_landed"),
-        (F.lit(counted[0]) < total).alias("first_run_left_some"))
+    sources = [f"{root}/classic", f"{root}/modern"]
+    for source, rows in zip(sources, (flights, flights.select(
+            *(F.col(c).alias(c) for c in reversed(C.FLIGHT_COLUMNS))))):
+        rows.write.options(**PLAIN_CSV).csv(source)
+    landed = [_land_all(spark, root, sources, at_most=bound) for bound in (8, None)]
+    ledger = SourceManifest(spark, f"{root}/manifest").files.rows()
+    early = F.col("lot") == 1
+    from_folder = F.element_at(F.split("source_file", "/"), -2)
+    counted = ledger.agg(
+        F.count_if(early).alias("first_run_files"), F.count_if(~early).alias("second_run_files"),
+        F.count_distinct(F.when(early, from_folder)).alias("first_run_folders"),
+        F.sum("num_rows").alias("source_rows"))
+    rows = read_landed(spark, f"{root}/landed").agg(F.count(F.lit(1)).alias("num_rows"))
+    return counted.withColumns({
+        "num_rows": rows.scalar(),
+        "as_reported": (F.col("first_run_files") == landed[0])
+        & (F.col("second_run_files") == landed[1])})
 
 
 def land_atomic(spark, folder):
@@ -404,8 +423,7 @@ def land_atomic(spark, folder):
     root = scratch_folder(spark, "atomic")
     flights = raw_flights(spark, folder)
     _write_lot(flights, f"{root}/source")
-    finish(start_landing([stream_mixed_files(spark, f"{root}/source")],
-                         f"{root}/landed", f"{root}/checkpoint"))
+    _land_all(spark, root, [f"{root}/source"])
     # As a task that died halfway leaves it.
     (with_land_keys(flights.where("Month = 1")).write.mode("append").partitionBy(*LAND_KEYS)
      .options(**PLAIN_CSV).csv(f"{root}/landed"))
@@ -413,11 +431,16 @@ def land_atomic(spark, folder):
 
 
 def land_ledger(spark, folder):
-    """The whole refresh with its ledger: rows by header family, then of each layer."""
+    """The whole refresh with its ledger: rows by header family, then of each layer.
+
+    A second refresh meets its sources archived, and a third one nothing at all.
+    """
     root = scratch_folder(spark, "ledger")
     lake = Lake(f"{root}/lake", f"ledger_{uuid.uuid4().hex[:8]}")
     write_source_files(spark, folder, f"{root}/source")
-    counts = refresh_flights(spark, lake, [f"{root}/source"], SOURCE_LABEL)
+    for _ in range(3):
+        counts = refresh_flights(spark, lake, [f"{root}/source"], SOURCE_LABEL,
+                                 archive=f"{root}/archive")
     family = F.regexp_extract("source_file", "/(classic|modern)/", 1)
     ledger = read_table(spark, lake.table("landing_ledger")).groupBy(
         family.alias("place")).agg(F.sum("num_rows").alias("num_rows"))
@@ -524,12 +547,28 @@ def stream_incremental(spark, folder):
 
 
 def stream_progress(spark, folder):
-    """Rows in and rows through each hop, from the progress reports."""
+    """Rows in and rows through each hop, from the progress reports.
+
+    Many small steps, while Spark keeps two reports at a time.
+    """
     root = scratch_folder(spark, "progress")
-    queries = _silver_stream(spark, folder, root)
+    land(raw_flights(spark, folder), f"{root}/landed")
+    retention = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(retention)
+    spark.conf.set(retention, "3")
+    try:
+        log = ProgressLog(spark)
+        finish(start_bronze(spark, f"{root}/landed", f"{root}/bronze", f"{root}/c/bronze",
+                            SOURCE_LABEL, 12, name=_stream_name("bronze")), log=log)
+        finish(start_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/c/silver",
+                            2, name=_stream_name("silver")), log=log)
+    finally:
+        spark.conf.set(retention, before)
+    log.store(spark, f"{root}/log")
     hop = F.split_part("query", F.lit("_"), F.lit(1)).alias("hop")
-    return progress_table(spark, queries).groupBy(hop).agg(
-        F.sum("rows_in").alias("rows_in"))
+    return spark.read.parquet(f"{root}/log").groupBy(hop).agg(
+        F.sum("rows_in").alias("rows_in"),
+        (F.count_if(F.col("rows_in") > 0) >= 6).alias("many_steps"))
 
 
 def stream_stop_all(spark, folder):
@@ -541,7 +580,8 @@ def stream_stop_all(spark, folder):
                .start(f"{root}/{n}") for n in ("one", "two")]
     for query in running:
         query.processAllAvailable()
-    stopped, again = stop_all_streams(spark), stop_all_streams(spark)
+    mine = {query.name for query in running}
+    stopped, again = stop_all_streams(spark, mine), stop_all_streams(spark, mine)
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{root}/one").agg(
         F.count(F.lit(1)).alias("num_rows"), F.lit(stopped).alias("stopped"),
         F.lit(again).alias("stopped_again"),
@@ -578,6 +618,147 @@ def stream_control(spark, folder):
         "rows_stored", rows.cast("bigint"))
 
 
+# -- increments, reuse, bounds ----------------------------------------------
+
+def gold_incremental(spark, folder):
+    """The summary built from a first lot of flights, then from a second one."""
+    root = scratch_folder(spark, "gold")
+    lake = Lake(root, f"gold_{uuid.uuid4().hex[:8]}")
+    ensure_database(spark, lake.database)
+    silver = silver_flights(spark, folder)
+    for lot in (F.col("FlightNum") % 3 > 0, F.col("FlightNum") % 3 == 0):
+        write_table(silver.where(lot), lake.folder("flight_silver"), [C.YEAR_PARTITION],
+                    mode="append")
+        build_gold(spark, lake)
+    gold = read_table(spark, lake.table("daily_flights"))
+    spark.sql(f"DROP DATABASE {lake.database} CASCADE")
+    return gold
+
+
+def _read_landed_files(spark, files):
+    return scan_csv(spark, [unquote(file) for file in files], C.LANDED).select(
+        *C.FLIGHT_COLUMNS)
+
+
+def profile_reuse(spark, folder):
+    """A kept profile of landed files as files come, are replaced and go.
+
+    Each step reads one file: the one that is new or another.
+    """
+    root = scratch_folder(spark, "reuse")
+    flights = raw_flights(spark, folder)
+    halves = {half: flights.where(F.col("Month") <= 6 if half == "early" else F.col("Month") > 6)
+              for half in ("early", "late")}
+
+    def put(half, rows):
+        folder = f"{root}/landed/{half}.csv"
+        rows.coalesce(1).write.mode("overwrite").options(**PLAIN_CSV).csv(folder)
+
+    store = ProfileStore(spark, f"{root}/profile", f"{root}/landed", _read_landed_files,
+                         ["Origin"], nested_csv=True)
+    reports = []
+    for step, change in (
+            ("arrival", lambda: put("early", halves["early"])),
+            ("second", lambda: put("late", halves["late"])),
+            ("replaced", lambda: put("early", halves["early"].where("Year < 1996"))),
+            ("removed", lambda: delete_folder(spark, f"{root}/landed/late.csv"))):
+        change()
+        read = len(store.refresh())
+        report = store.nulls("amount").select(
+            F.lit("nulls").alias("report"), F.col("column_name").alias("item"), "amount").unionByName(
+            store.frequent("Origin", 10, name="amount").select(
+                F.lit("frequent").alias("report"), F.col("Origin").alias("item"), "amount"))
+        path = scratch_folder(spark, "report")
+        write_table(report.select(F.lit(step).alias("step"), F.lit(read).alias("files_read"),
+                                  "*"), path)
+        reports.append(spark.read.parquet(path))
+    return reduce(DataFrame.unionByName, reports)
+
+
+def top_n_bounded(spark, folder):
+    """The most frequent values of a skewed column, a flat one and a short one."""
+    flights = silver_flights(spark, folder)
+    skewed = flights.select(F.when(F.col("FlightNum") % 3 == 0, F.col("Origin")).otherwise(
+        F.col("TailNum")).alias("value"))
+    reports = {"skewed": skewed, "flat": flights.select(F.col("TailNum").alias("value")),
+               "short": flights.select(F.col("UniqueCarrier").alias("value"))}
+    return reduce(DataFrame.unionByName, (
+        frequent_values_bounded(frame, "value", 10, "num_rows", capacity=256).select(
+            F.lit(name).alias("report"), "*") for name, frame in reports.items()))
+
+
+def star_join_bucketed(spark, folder):
+    """Flights and planes stored in buckets of the aircraft, joined without a shuffle."""
+    root = scratch_folder(spark, "buckets")
+    database, suffix = ensure_database(spark), uuid.uuid4().hex[:8]
+    fact, dimension = (f"{database}.{name}_{suffix}" for name in ("flown", "aircraft"))
+    flights = silver_flights(spark, folder).withColumn(
+        "TailNum", F.when(F.col("FlightNum") % 4 == 0, "N1").when(
+            F.col("FlightNum") % 4 == 1, F.lit(None)).otherwise(F.col("TailNum")))
+    hot = store_fact(flights, fact, f"{root}/flown", "TailNum", 8)
+    store_dimension(planes(spark, folder), hot, dimension, f"{root}/aircraft", "tailnum", 8)
+    joined = join_bucketed(spark, fact, dimension, "TailNum", "tailnum",
+                           {"manufacturer": "manufacturer", "year": "plane_year"})
+    result = joined.select("date", "FlightNum", "Origin", "TailNum", "manufacturer", "plane_year",
+                           "ArrDelay")
+    result.schema  # resolved before the entries go; the folders stay
+    for name in (fact, dimension):
+        spark.sql(f"DROP TABLE {name}")
+    return result
+
+
+def table_versions(spark, folder):
+    """Three versions of a table, one of the older ones held, then expired and released."""
+    root = scratch_folder(spark, "versions")
+    name = f"{ensure_database(spark)}.orders_{uuid.uuid4().hex[:8]}"
+    versions = TableVersions(spark, root)
+    orders = orders_by_day(spark, folder)
+    for status in ("o_orderstatus = 'F'", "o_orderstatus = 'O'", "true"):
+        versions.publish(name, orders.where(status))
+    counts = {v: versions.read(name, v).count() for v in (1, 2, 3)}
+    versions.hold(name, 2, 3600)
+    steps = [("held", versions.expire(name, 0), versions.stored(name))]
+    versions.hold(name, 3, 3600)
+    versions.roll_back(name, 2)
+    rolled = read_table(spark, name).count()
+    versions.roll_back(name, 3)
+    for version in (2, 3):
+        versions.hold(name, version, 0)
+    steps.append(("released", versions.expire(name, 0), versions.stored(name)))
+    current = read_table(spark, name).count()
+    spark.sql(f"DROP TABLE {name}")
+    rows = [(step, v, counts[v], v in gone, v in there, rolled, current)
+            for step, gone, there in steps for v in (1, 2, 3)]
+    return spark.createDataFrame(
+        rows, "step string, version int, num_rows bigint, expired boolean, stored boolean, "
+              "rolled_back_rows bigint, current_rows bigint")
+
+
+ODD_TAXI = ("case when cast(FlightNum as int) % 10 = 0 then 'NA' when cast(FlightNum as int) % 10 "
+            "= 1 then '14d' when cast(FlightNum as int) % 10 = 2 then 'n/a' else TaxiIn end")
+
+
+def cast_rescue(spark, folder):
+    """Bronze with odd texts streamed to silver and rescue in one pass: what was rescued,
+    by column, text and year, and beside it the rows of silver."""
+    root = scratch_folder(spark, "rescue")
+    odd = raw_flights(spark, folder).withColumn("TaxiIn", F.expr(ODD_TAXI))
+    land(odd, f"{root}/landed")
+    finish(start_bronze(spark, f"{root}/landed", f"{root}/bronze", f"{root}/c/bronze",
+                        SOURCE_LABEL, name=_stream_name("bronze")))
+    finish(start_silver_with_rescue(spark, f"{root}/bronze", f"{root}/silver", f"{root}/c/silver",
+                                    name=_stream_name("silver")))
+    rescued = rescued_part(spark, f"{root}/silver").groupBy(
+        C.YEAR_PARTITION, "column_name", "text").agg(
+        F.count(F.lit(1)).alias("num_rows"),
+        F.bool_and(F.col("source_file").contains("/bronze/")).alias("has_file"))
+    silver = silver_part(spark, f"{root}/silver").groupBy(C.YEAR_PARTITION).agg(
+        F.count(F.lit(1)).alias("num_rows"))
+    return rescued.unionByName(silver.select(
+        C.YEAR_PARTITION, F.lit("(all)").alias("column_name"),
+        F.lit(None).cast("string").alias("text"), "num_rows", F.lit(True).alias("has_file")))
+
+
 def queries() -> dict[str, Query]:
     """Query name -> callable, for every operator."""
     return {
@@ -629,6 +810,13 @@ def queries() -> dict[str, Query]:
             silver_flights(s, d), airports(s, d)),
         "weather_link": lambda s, d: questions.weather_link(silver_flights(s, d)),
         "star_join": star_join,
+        "weather_model": lambda s, d: questions.weather_model(silver_flights(s, d)),
+        "gold_incremental": gold_incremental,
+        "profile_reuse": profile_reuse,
+        "top_n_bounded": top_n_bounded,
+        "star_join_bucketed": star_join_bucketed,
+        "table_versions": table_versions,
+        "cast_rescue": cast_rescue,
         "top_n_compare_typed": top_n_compare_typed,
         "profile_after_arrival": profile_after_arrival,
         "type_guard": type_guard,

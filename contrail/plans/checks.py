@@ -217,9 +217,9 @@ _BRONZE_TEXT = _comma(
 
 def _dictionary() -> str:
     schemas = {
-        "flight_silver": C.SILVER, "flight_gold": C.GOLD, "l_date_gold": C.CALENDAR,
-        "l_airport_silver": C.AIRPORT, "cancellation_silver": C.CODE_LIST,
-        "l_unique_carrier_silver": C.CODE_LIST, "l_plane_silver": C.PLANE}
+        "flight_silver": C.SILVER, "daily_flights": C.GOLD, "calendar_days": C.CALENDAR,
+        "airport_places": C.AIRPORT, "cancellation_silver": C.CODE_LIST,
+        "carrier_names": C.CODE_LIST, "plane_register": C.PLANE}
     rows = ", ".join(
         "('{}', '{}', '{}', '{}')".format(
             table, f.name, f.dataType.simpleString(),
@@ -261,7 +261,7 @@ def _arrival() -> str:
 
 def _after_refresh() -> str:
     comments = [(name, text.replace("'", "''"))
-                for name, text in C.DICTIONARY["flight_gold"].items()]
+                for name, text in C.DICTIONARY["daily_flights"].items()]
     rows = ", ".join(f"('{step}', '{name}', '{text}')" for step in ("same", "replaced", "fewer")
                      for name, text in comments
                      if not (step == "fewer" and name == "num_flights"))
@@ -269,6 +269,84 @@ def _after_refresh() -> str:
             f"from (values {rows}) as v(step, col_name, comment)")
 
 
+def _weather_model() -> str:
+    """Normal equations of three terms by Cramer's rule on exact sums."""
+    sums = ", ".join(
+        f"sum(cast({a} as hugeint) * {b}) as {a}{b}" for a, b in (
+            ("o", "o"), ("o", "w"), ("o", "d"), ("o", "y"), ("w", "w"), ("w", "d"), ("w", "y"),
+            ("d", "d"), ("d", "y"), ("y", "y")))
+    matrix = [["oo", "ow", "od"], ["ow", "ww", "wd"], ["od", "wd", "dd"]]
+    right = ["oy", "wy", "dy"]
+
+    def det(m):
+        (a, b, c), (d, e, f), (g, h, i) = m
+        return f"({a}*({e}*{i}-{f}*{h}) - {b}*({d}*{i}-{f}*{g}) + {c}*({d}*{h}-{e}*{g}))"
+
+    solved = ", ".join(
+        f"{det([[right[r] if c == k else matrix[r][c] for c in range(3)] for r in range(3)])}"
+        f"::double / nullif({det(matrix)}, 0)::double as b{k}" for k in range(3))
+    held_error = ("(h.yy - 2 * (b0 * h.oy + b1 * h.wy + b2 * h.dy) + b0 * b0 * h.oo "
+                  "+ b1 * b1 * h.ww + b2 * b2 * h.dd "
+                  "+ 2 * (b0 * b1 * h.ow + b0 * b2 * h.od + b1 * b2 * h.wd))")
+    mean_error = "(h.yy - 2 * m * h.oy + m * m * h.oo)"
+    return f""", xy as (
+  select p_Year % 4 = 3 as held, 1 as o, WeatherDelay as w, Distance as d, ArrDelay as y
+  from silver where WeatherDelay is not null and Distance is not null and ArrDelay is not null
+    and p_Year is not null),
+s as (select held, {sums} from xy group by held),
+b as (select {solved}, oy::double / oo as m, oo from s where not held)
+select v.term, round(case v.place when 0 then b0 when 1 then b1 else b2 end, 6) as coefficient,
+  b.oo::bigint as num_rows, h.oo::bigint as held_rows,
+  round(sqrt({held_error} / h.oo), 4) as held_error,
+  round(sqrt({mean_error} / h.oo), 4) as mean_error
+from b, (select * from s where held) h,
+  (values ('constant', 0), ('weather_minutes', 1), ('distance', 2)) as v(term, place)"""
+
+
+def _reuse() -> str:
+    steps = {"arrival": (1, "Month <= 6"), "second": (1, "true"),
+             "replaced": (1, "Month > 6 or Year < 1996"),
+             "removed": (0, "Month <= 6 and Year < 1996")}
+    parts = []
+    for step, (read, kept) in steps.items():
+        rows = f"(select * from raw where {kept})"
+        parts.append(f"select '{step}' as step, {read} as files_read, 'nulls' as report, "
+                     f"column_name as item, amount from ({_nulls(rows, C.FLIGHT_COLUMNS, 'amount')})")
+        parts.append(f"select '{step}', {read}, 'frequent', Origin, amount from "
+                     f"({_frequent(rows, 'Origin', 10, 'desc', 'amount')})")
+    return " union all ".join(parts)
+
+
+def _bounded() -> str:
+    columns = {"skewed": "case when FlightNum % 3 = 0 then Origin else TailNum end",
+               "flat": "TailNum", "short": "UniqueCarrier"}
+    return " union all ".join(
+        f"select '{name}' as report, * from ("
+        + _frequent(f"(select {column} as value from silver)", "value", 10, "desc", "num_rows")
+        + ")" for name, column in columns.items())
+
+
+def _versions() -> str:
+    return """select step, version, case version when 1 then f when 2 then o else n end as num_rows,
+  expired, stored, o as rolled_back_rows, n as current_rows
+from (select count(*) as n, count(*) filter (where o_orderstatus = 'F') as f,
+        count(*) filter (where o_orderstatus = 'O') as o from orders),
+  (values ('held', 1, true, false), ('held', 2, false, true), ('held', 3, false, true),
+          ('released', 1, false, false), ('released', 2, true, false),
+          ('released', 3, false, true)) as v(step, version, expired, stored)"""
+
+
+def _rescue() -> str:
+    clocks = " union all ".join(
+        f"select Year as p_Year, '{c}' as column_name, cast({c} as varchar) as text from raw "
+        f"where {c} is not null and ({_clock(c)}) is null" for c in C.CLOCK_COLUMNS)
+    return f"""select p_Year, column_name, text, count(*) as num_rows, true as has_file from (
+  {clocks} union all
+  select Year, 'TaxiIn', case FlightNum % 10 when 0 then 'NA' when 1 then '14d' else 'n/a' end
+  from raw where FlightNum % 10 < 3) group by all
+union all select Year, '(all)', null, count(*), true from raw group by Year"""
+
+
 _FIDELITY = "select p_partkey, " + ", ".join(ODD_TEXTS_AS) + " from part"
 
 
@@ -380,8 +458,9 @@ def oracle_sql() -> dict[str, str]:
         "csv_fidelity": f"select *, 'plain' as way from ({_FIDELITY}) union all "
                         f"select *, 'landed' as way from ({_FIDELITY})",
         "land_stream_mixed": _over("raw", f"select {_LANDED_TEXT} from raw"),
-        "land_bounded": "select count(*) as num_rows, true as first_run_landed, "
-                        "true as first_run_left_some from lineitem",
+        "land_bounded": "select 8::bigint as first_run_files, 4::bigint as second_run_files, "
+                        "2::bigint as first_run_folders, (2 * count(*))::bigint as source_rows, "
+                        "2 * count(*) as num_rows, true as as_reported from lineitem",
         "land_atomic": _over(
             "raw", "select Year as land_year, Year * 100 + Month as land_month, "
                    "count(*) as num_rows from raw group by all"),
@@ -417,8 +496,21 @@ def oracle_sql() -> dict[str, str]:
         "stream_silver": _over("raw silver", "select * from silver"),
         "stream_incremental": "select event_id, cast(ts as date) as day, user_id, "
                               "event_type, value from events",
-        "stream_progress": "select hop, n as rows_in from (select count(*) as n from lineitem), "
+        "stream_progress": "select hop, n as rows_in, true as many_steps from "
+                           "(select count(*) as n from lineitem), "
                            "(values ('bronze'), ('silver')) as v(hop)",
+        "weather_model": _over("raw silver", _weather_model()),
+        "gold_incremental": _over("raw silver gold", "select * from gold"),
+        "profile_reuse": _over("raw", _reuse()),
+        "top_n_bounded": _over("raw silver", _bounded()),
+        "star_join_bucketed": _over(
+            "raw silver raw_plane plane",
+            "select date, FlightNum, Origin, s.TailNum, manufacturer, p.year as plane_year, "
+            "ArrDelay from (select * exclude (TailNum), case FlightNum % 4 when 0 then 'N1' "
+            "when 1 then null else TailNum end as TailNum from silver) s "
+            "left join plane p on s.TailNum = p.tailnum"),
+        "table_versions": _versions(),
+        "cast_rescue": _over("raw", _rescue()),
         "stream_control": "select step, outcome, 2 * n as rows_stored from "
                           "(select count(*) as n from events), (values ('both_ready', true), "
                           "('both_listed', true), ('stopped_by_name', true), "

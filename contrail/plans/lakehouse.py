@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,15 +13,16 @@ from ..operators.calendar import calendar_for
 from ..operators.cleaning import drop_empty_planes, split_airports
 from ..functions import to_whole
 from ..operators.daily import daily_summary
-from ..operators.profile import row_counts
 from ..session import DATABASE, ensure_database
 from ..sources.csv_files import scan_csv
-from ..sources.landing import (count_rows, headers_below, read_landed,
-                               stream_mixed_files)
-from ..sources.tables import (comment_columns, read_table, register_table,
+from ..sources.landing import count_rows
+from ..sources.manifest import FileCounts, SourceManifest, count_parquet
+from ..sources.tables import (comment_columns, folder_exists, read_table, register_table,
                               write_table)
-from ..streaming.control import finish, finish_step
-from ..streaming.hops import start_bronze, start_landing, start_silver
+from ..streaming.control import ProgressLog, finish
+from ..sources.versions import TableVersions
+from ..streaming.hops import land_new_files, start_bronze, start_silver
+from .gold import GoldState
 
 
 @dataclass(frozen=True)
@@ -57,91 +57,86 @@ def refresh_flights(spark: SparkSession, lake: Lake, sources: list[str],
     """Bring new source files through to silver, each hop taking what is new.
 
     Folders of ``sources`` may mix headers: each file is read by its own.  Run
-    again after more files have arrived: only those are read.
+    again after more files have arrived: only those are opened.  Each lot of files is
+    pinned before it is landed, so a file that arrives meanwhile waits for the next
+    run, and empty folders are a run of no files.
     ``files_per_batch`` bounds what each step of a hop takes on.  ``max_files``
-    bounds the run: at most so many new files of each source folder are landed,
-    the rest is left for later runs.  ``archive`` names a folder to which landed
-    source files are moved.
-
-    The rows of each new source file are added to the table ``landing_ledger``;
-    then the layers are counted and must agree.  Returns that count, one row:
-    source_rows, landed_rows, bronze_rows, silver_rows, rows_left.
-    """
-    record_source_files(spark, lake, sources)
-    streams = [stream_mixed_files(spark, folder, max_files or files_per_batch, archive)
-               for folder in sources]
-    landing = start_landing(streams, lake.landed, lake.checkpoint("landing"),
-                            one_step=max_files is not None)
-    if max_files is None:
-        finish(landing, timeout)
-    else:
-        finish_step(landing, timeout)
-    finish(start_bronze(spark, lake.landed, lake.folder("flight_bronze"),
-                        lake.checkpoint("bronze"), label, files_per_batch,
-                        fmt=lake.fmt), timeout)
-    finish(start_silver(spark, lake.folder("flight_bronze"),
-                        lake.folder("flight_silver"), lake.checkpoint("silver"),
-                        files_per_batch, fmt=lake.fmt), timeout)
-    ensure_database(spark, lake.database)
-    for name in ("flight_bronze", "flight_silver"):
-        register_table(spark, lake.table(name), lake.folder(name), lake.fmt)
-    return account(spark, lake, complete=max_files is None)
-
-
-def record_source_files(spark: SparkSession, lake: Lake, sources: list[str]) -> None:
-    """Add the source files that ``landing_ledger`` does not have, with their rows.
-
-    Only new files are read.  Their names go through the driver, as those of any
-    files to be read do.
+    bounds the run: at most so many new files of all folders together are landed, the
+    oldest first; the rest is left for later runs.  ``archive`` names a folder below
+    which landed source files are moved.
+
+    The table ``landing_ledger`` holds every file taken on, with its header and rows;
+    ``stream_progress`` every batch of every hop.  Then the layers are counted and must
+    agree.  Returns that count, one row: source_rows, landed_rows, bronze_rows,
+    silver_rows, files_landed, files_left.
     """
-    path = lake.folder("landing_ledger")
-    known = None
-    if spark.catalog.tableExists(lake.table("landing_ledger")):
-        known = read_table(spark, lake.table("landing_ledger")).select("source_file")
-    for folder in sources:
-        files = headers_below(spark, folder).found.select(F.col("path").alias("source_file"))
-        if known is not None:
-            files = files.join(known, "source_file", "left_anti")
-        names = [row[0] for row in files.collect()]
-        if names:
-            counts = count_rows(spark, names).withColumn("recorded", F.current_timestamp())
-            write_table(counts, path, mode="append", fmt=lake.fmt)
+    manifest, log = SourceManifest(spark, lake.folder("landing")), ProgressLog(spark)
+    landed = land_new_files(spark, manifest, sources, lake.landed, lake.checkpoint("landing"),
+                            files_per_batch, max_files, archive, timeout, log)
     ensure_database(spark, lake.database)
-    register_table(spark, lake.table("landing_ledger"), path, lake.fmt)
-
-
-def account(spark: SparkSession, lake: Lake, complete: bool = True) -> DataFrame:
+    if folder_exists(spark, lake.landed):
+        finish(start_bronze(spark, lake.landed, lake.folder("flight_bronze"),
+                            lake.checkpoint("bronze"), label, files_per_batch,
+                            fmt=lake.fmt), timeout, log)
+        finish(start_silver(spark, lake.folder("flight_bronze"),
+                            lake.folder("flight_silver"), lake.checkpoint("silver"),
+                            files_per_batch, fmt=lake.fmt), timeout, log)
+        for name in ("flight_bronze", "flight_silver"):
+            register_table(spark, lake.table(name), lake.folder(name), lake.fmt)
+        register_table(spark, lake.table("landing_ledger"), manifest.files.path)
+        log.store(spark, lake.folder("stream_progress"))
+    left = manifest.new_files(sources).count()
+    return account(spark, lake).withColumns(
+        {"files_landed": F.lit(landed).cast("bigint"), "files_left": F.lit(left).cast("bigint")})
+
+
+def account(spark: SparkSession, lake: Lake) -> DataFrame:
     """Rows at the source, landed, in bronze and in silver; fails when they differ.
 
-    Of an unfinished landing (``complete=False``) the source may hold more.
+    Each file of a layer is counted once, when it is new: landed files by a scan,
+    stored ones from their footers.
     """
-    tables = {
-        "landed_rows": row_counts({"t": read_landed(spark, lake.landed)}),
-        "bronze_rows": row_counts({"t": spark.read.format(lake.fmt).load(
-            lake.folder("flight_bronze"))}),
-        "silver_rows": row_counts({"t": spark.read.format(lake.fmt).load(
-            lake.folder("flight_silver"))})}
-    found = read_table(spark, lake.table("landing_ledger")).agg(
-        F.coalesce(F.sum("num_rows"), F.lit(0)).alias("source_rows"))
-    for name, counted in tables.items():
-        found = found.withColumn(name, counted.select("num_rows").scalar())
-    found = found.withColumn("rows_left", F.col("source_rows") - F.col("landed_rows"))
-    row = found.first()
-    stored = {row["landed_rows"], row["bronze_rows"], row["silver_rows"]}
-    if len(stored) > 1 or row["rows_left"] < 0 or (complete and row["rows_left"]):
-        raise ValueError(f"row counts differ: {row.asDict()}")
-    return spark.createDataFrame([row], found.schema)
-
-
-def build_gold(spark: SparkSession, lake: Lake) -> None:
-    """Create or replace the daily summary and the calendar from silver.
-
-    The summary is stored in date order; it has one row per day, so the sort is
-    over thousands of rows however many flights there are.
+    counts = FileCounts(spark, lake.folder("file_counts"))
+    found = {"source_rows": SourceManifest(spark, lake.folder("landing")).files.rows().agg(
+        F.coalesce(F.sum("num_rows"), F.lit(0))).first()[0]}
+    counts.update("landed", lake.landed, count_rows)
+    found["landed_rows"] = counts.rows_of("landed")
+    for layer in ("bronze", "silver"):
+        folder = lake.folder(f"flight_{layer}")
+        if lake.fmt == "parquet":
+            counts.update(layer, folder, count_parquet)
+            found[f"{layer}_rows"] = counts.rows_of(layer)
+        else:
+            found[f"{layer}_rows"] = spark.read.format(lake.fmt).load(folder).count()
+    if len(set(found.values())) > 1:
+        raise ValueError(f"row counts differ: {found}")
+    return spark.createDataFrame([tuple(found.values())],
+                                 ", ".join(f"{name} bigint" for name in found))
+
+
+def build_gold(spark: SparkSession, lake: Lake) -> int:
+    """Create or update the daily summary and the calendar; returns the files read.
+
+    Only silver files that no earlier build has read are read, and only their days are
+    summed up anew.  The summary is stored in date order; it has one row per day, so the
+    sort is over thousands of rows however many flights there are.
     """
-    silver = read_table(spark, lake.table("flight_silver"))
-    store(spark, lake, "flight_gold", daily_summary(silver).orderBy("date"), "overwrite")
-    store(spark, lake, "l_date_gold", calendar_for(silver), "overwrite")
+    name = lake.table("daily_flights")
+    if lake.fmt != "parquet":
+        summary = daily_summary(read_table(spark, lake.table("flight_silver")))
+        store(spark, lake, "daily_flights", summary.orderBy("date"), "overwrite")
+        store(spark, lake, "calendar_days", calendar_for(read_table(spark, name)), "overwrite")
+        return 0
+    state = GoldState(spark, lake.folder("daily_state"))
+    files = state.take_in(lake.folder("flight_silver"))
+    lots = state.fresh_lots()
+    if lots:
+        before = read_table(spark, name) if spark.catalog.tableExists(name) else None
+        store(spark, lake, "daily_flights", state.summary(before, lots).orderBy("date"),
+              "overwrite")
+        state.mark_applied(lots)
+        store(spark, lake, "calendar_days", calendar_for(read_table(spark, name)), "overwrite")
+    return files
 
 
 def load_lookups(spark: SparkSession, lake: Lake, airport: str, plane: str,
@@ -153,10 +148,10 @@ def load_lookups(spark: SparkSession, lake: Lake, airport: str, plane: str,
     """
     ensure_database(spark, lake.database)
     frames = {
-        "l_airport_silver": split_airports(read_codes(spark, airport)),
-        "l_plane_silver": drop_empty_planes(read_planes(spark, plane)),
+        "airport_places": split_airports(read_codes(spark, airport)),
+        "plane_register": drop_empty_planes(read_planes(spark, plane)),
         "cancellation_silver": read_codes(spark, cancellation),
-        "l_unique_carrier_silver": read_codes(spark, carrier),
+        "carrier_names": read_codes(spark, carrier),
     }
     for name, frame in frames.items():
         store(spark, lake, name, frame, mode)
@@ -182,21 +177,23 @@ def store(spark: SparkSession, lake: Lake, name: str, frame: DataFrame,
           mode: str) -> None:
     """Write one table and register it.
 
-    ``overwrite`` writes a folder of its own and then points the table at it, so
-    a reader never meets a half-replaced table.  The folder before stays for the
-    queries that still read it; removing old ones is left to the operator.
+    ``overwrite`` makes a new version: see ``versions_of``.
     """
     if mode == "overwrite":
-        path = f"{lake.folder(name)}-{uuid.uuid4().hex[:12]}"
-        write_table(frame, path, fmt=lake.fmt)
-    else:
-        path = lake.folder(name)
-        if mode == "errorifexists" and spark.catalog.tableExists(lake.table(name)):
-            raise ValueError(f"table {lake.table(name)} already exists")
-        write_table(frame, path, mode=mode, fmt=lake.fmt)
+        versions_of(spark, lake).publish(lake.table(name), frame)
+        return
+    path = lake.folder(name)
+    if mode == "errorifexists" and spark.catalog.tableExists(lake.table(name)):
+        raise ValueError(f"table {lake.table(name)} already exists")
+    write_table(frame, path, mode=mode, fmt=lake.fmt)
     register_table(spark, lake.table(name), path, lake.fmt)
 
 
+def versions_of(spark: SparkSession, lake: Lake) -> TableVersions:
+    """The versions of the tables that are replaced, to read, hold or expire them."""
+    return TableVersions(spark, f"{lake.root.rstrip('/')}/versioned", lake.fmt)
+
+
 def document(spark: SparkSession, lake: Lake) -> None:
     """Put the data dictionary on the registered tables."""
     for name, comments in C.DICTIONARY.items():

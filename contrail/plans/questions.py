@@ -8,6 +8,9 @@ fact row by row.  ``star_join`` is the one row-level join.
 
 from __future__ import annotations
 
+from fractions import Fraction
+from math import sqrt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -153,6 +156,82 @@ def weather_link(silver: DataFrame) -> DataFrame:
         _ratio("weather_late", "weather_flights", 4).alias("late_rate"))
 
 
+#: Years left out of the fit: every fourth.
+HELD_OUT_YEAR = f"{C.YEAR_PARTITION} % 4 = 3"
+#: What arrival delay is explained by, besides a constant.
+WEATHER_TERMS = {"weather_minutes": "WeatherDelay", "distance": "Distance"}
+
+
+def moments(frame: DataFrame, columns: dict[str, str], group: Column) -> DataFrame:
+    """Sums of all products of two of the columns and a constant, by group: one pass, a
+    row of fixed size for each group, combined before it is shuffled.
+
+    Rows that lack one of the columns are left out.  Sums are exact.
+    """
+    names = ["one", *columns]
+    value = {"one": F.lit(1).cast("bigint")} | {
+        name: F.col(column).cast("bigint") for name, column in columns.items()}
+    known = frame.dropna(subset=list(columns.values()))
+    return known.groupBy(group.alias("held_out")).agg(*(
+        F.sum((value[a] * value[b]).cast("decimal(38,0)")).alias(f"{a}_{b}")
+        for i, a in enumerate(names) for b in names[i:]))
+
+
+def weather_model(silver: DataFrame) -> DataFrame:
+    """Whether weather predicts arrival delay: least squares, judged on held-out years.
+
+    A row for each term with its coefficient (NULL where the terms depend on each
+    other), the rows fitted on and held out, and the root mean square error on the
+    held-out years beside that of the fitted years' mean alone.  Two rows of moments
+    come to the driver, whatever the input; they are solved exactly.
+    """
+    terms = ["one", *WEATHER_TERMS]
+    columns = WEATHER_TERMS | {"delay": "ArrDelay"}
+    found = {row.held_out: row for row in moments(silver, columns, F.expr(HELD_OUT_YEAR)).collect()}
+    names = ["one", *columns]
+
+    def moment(side: bool, a: str, b: str) -> int:
+        a, b = sorted((a, b), key=names.index)
+        return int(found[side][f"{a}_{b}"]) if side in found else 0
+
+    fitted = _solve([[moment(False, a, b) for b in terms] for a in terms],
+                    [moment(False, a, "delay") for a in terms])
+    rows, held = moment(False, "one", "one"), moment(True, "one", "one")
+
+    def error(of: dict[str, Fraction] | None) -> float | None:
+        if of is None or not held:
+            return None
+        squares = (moment(True, "delay", "delay")
+                   - 2 * sum(c * moment(True, a, "delay") for a, c in of.items())
+                   + sum(c * d * moment(True, a, b) for a, c in of.items()
+                         for b, d in of.items()))
+        return round(sqrt(squares / held), 4)
+
+    mean = {"one": Fraction(moment(False, "one", "delay"), rows)} if rows else None
+    model = dict(zip(terms, fitted)) if fitted else None
+    return silver.sparkSession.createDataFrame(
+        [("constant" if a == "one" else a, round(float(model[a]), 6) if model else None,
+          rows, held, error(model), error(mean)) for a in terms],
+        "term string, coefficient double, num_rows bigint, held_rows bigint, "
+        "held_error double, mean_error double")
+
+
+def _solve(matrix: list[list[int]], right: list[int]) -> list[Fraction] | None:
+    """The exact solution of a small linear system; None when there is no single one."""
+    rows = [[Fraction(v) for v in (*row, r)] for row, r in zip(matrix, right)]
+    size = len(rows)
+    for i in range(size):
+        pivot = next((k for k in range(i, size) if rows[k][i]), None)
+        if pivot is None:
+            return None
+        rows[i], rows[pivot] = rows[pivot], rows[i]
+        rows[i] = [v / rows[i][i] for v in rows[i]]
+        for k in range(size):
+            if k != i:
+                rows[k] = [v - rows[k][i] * w for v, w in zip(rows[k], rows[i])]
+    return [row[-1] for row in rows]
+
+
 def star_join(silver: DataFrame, calendar: DataFrame, airports: DataFrame,
               planes: DataFrame, carriers: DataFrame,
               cancellations: DataFrame) -> DataFrame:

@@ -31,6 +31,21 @@ def list_csv(spark: SparkSession, folder: str) -> DataFrame:
             .select("path", "length", F.col("modificationTime").alias("modified")))
 
 
+def list_files(spark: SparkSession, folder: str, nested_csv: bool = False) -> DataFrame:
+    """(source_file, size, modified) of the files of ``folder``, named as scans name them.
+
+    A folder that a stream writes lists what its commit log holds.  ``nested_csv``
+    takes every ``*.csv`` below instead.  Contents are not read.
+    """
+    reader = spark.read.format("binaryFile")
+    if nested_csv:
+        reader = reader.options(**_NESTED)
+    return reader.load(literal_path(folder)).select(
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_modification_time").alias("modified"))
+
+
 def scan_csv(spark: SparkSession, path: str | list[str],
              schema: T.StructType | None = None, nested: bool = False,
              check_header: bool = False, flat: bool = False) -> DataFrame:
@@ -65,7 +80,7 @@ def schema_of_sample(spark: SparkSession, file: str) -> T.StructType:
 def stream_csv(spark: SparkSession, path: str, schema: T.StructType,
                files_per_batch: int | None = None, nested: bool = False,
                check_header: bool = False, archive: str | None = None) -> DataFrame:
-    """Files of a folder as a stream; ``files_per_batch`` bounds each step.
+    """Files of a folder, or of a pattern, as a stream; ``files_per_batch`` bounds a step.
 
     Files count however old they are, so a backfill with its times kept is read.
     For that the stream remembers the name of every file it has read: a feed of

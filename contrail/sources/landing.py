@@ -7,6 +7,7 @@ with the 29 contract columns in order.
 from __future__ import annotations
 
 import csv
+import re
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -31,20 +32,22 @@ LAND_KEYS = ("land_year", "land_month")
 _PEEK_SPLIT = 64 << 30
 
 
-def file_headers(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, folder, header) of every ``*.csv`` below ``folder``.
+def file_headers(spark: SparkSession, place: str | Sequence[str]) -> DataFrame:
+    """(path, folder, header) of every ``*.csv`` below a folder, or of the files given.
 
     One task opens each file and stops after its first line: a session of its own
     arranges that a file is one split and shares it with no other, whatever the
     cluster's defaults say, without touching the caller's settings.  Should Spark
     pack several files in a task all the same, each still gives its own line.
     """
+    paths = ([literal_path(place)] if isinstance(place, str)
+             else [literal_path(unquote(file)) for file in place])
     peek = spark.newSession()
     for name, value in (("maxPartitionBytes", _PEEK_SPLIT), ("openCostInBytes", _PEEK_SPLIT),
                         ("maxPartitionNum", 2 ** 31 - 1)):
         peek.conf.set(f"spark.sql.files.{name}", str(value))
     lines = (peek.read.option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.csv").text(literal_path(folder))
+             .option("pathGlobFilter", "*.csv").text(paths)
              .select(F.col("_metadata.file_path").alias("path"),
                      F.col("_metadata.file_block_start").alias("start"),
                      F.col("value").alias("header")))
@@ -155,7 +158,7 @@ def read_flight_files(spark: SparkSession, folder: str,
         scan = scan_csv(spark, [literal_path(unquote(f)) for f in sorted(mixed)],
                         _position_schema(_widest(headers)), flat=True)
         rows = scan.select("*", F.col("_metadata.file_path").alias("source_file"))
-        frames.append(_by_file(rows, headers).select(
+        frames.append(_by_file(rows, headers.lines, headers.found).select(
             *C.FLIGHT_COLUMNS, *(["source_file"] if with_path else [])))
     return reduce(DataFrame.unionByName, frames)
 
@@ -173,19 +176,34 @@ def stream_flight_files(spark: SparkSession, folder: str, header: Sequence[str],
                                 archive=archive))
 
 
-def stream_mixed_files(spark: SparkSession, folder: str, files_per_batch: int | None = None,
-                       archive: str | None = None) -> DataFrame:
-    """Flight files below ``folder`` as a stream, each by its own header.
+def stream_pinned(spark: SparkSession, pinned: Sequence[tuple[str, str]],
+                  files_per_batch: int | None = None) -> DataFrame:
+    """Exactly the given flight files, (file, header) each, as a stream.
 
-    The headers of the files present are read before the stream starts.  Start it
-    anew when files have come: it takes up where it stopped.  A file that came
-    after its headers were read fails the stream; the next run reads it.
+    Files that arrive elsewhere in their folders are not looked at.  All must be on one
+    file system, so that a checkpoint always meets the same single source.
     """
-    headers = headers_below(spark, folder)
-    rows = stream_csv(spark, literal_path(folder), _position_schema(_widest(headers)),
-                      files_per_batch, nested=True, archive=archive)
+    headers = sorted({header for _, header in pinned})
+    width = max(len(split_header(line)) for line in headers)
+    found = spark.createDataFrame(list(pinned), "path string, header string")
+    rows = stream_csv(spark, any_of([unquote(file) for file, _ in pinned]),
+                      _position_schema(width), files_per_batch, nested=True)
     return _by_file(rows.select("*", F.col("_metadata.file_path").alias("source_file")),
-                    headers).select(*C.FLIGHT_COLUMNS)
+                    headers, found).select(*C.FLIGHT_COLUMNS)
+
+
+def any_of(paths: Sequence[str]) -> str:
+    """A pattern that the given absolute paths match and no others."""
+    roots, rest = set(), []
+    for path in paths:
+        root, inner = re.fullmatch(r"((?:[A-Za-z][\w+.-]*:)?(?://[^/]*)?/)(.*)", path,
+                                   re.DOTALL).groups()
+        roots.add(root)
+        # Alternatives lose one level of escapes when they are told apart.
+        rest.append(re.sub(r"([\\{},])", r"\\\1", literal_path(inner)))
+    if len(roots) > 1:
+        raise ValueError(f"files of one landing lie on several file systems: {sorted(roots)}")
+    return f"{roots.pop()}{{{','.join(rest)}}}"
 
 
 def _widest(headers: Headers) -> int:
@@ -198,12 +216,13 @@ def _contract_columns(header: Sequence[str]) -> list[Column]:
             for name, position in contract_positions(header).items()]
 
 
-def _by_file(rows: DataFrame, headers: Headers) -> DataFrame:
-    """Positional rows with ``source_file`` to contract columns, by their file's header."""
-    positions = [contract_positions(split_header(line)) for line in headers.lines]
+def _by_file(rows: DataFrame, lines: Sequence[str], found: DataFrame) -> DataFrame:
+    """Positional rows with ``source_file`` to contract columns, by their file's header
+    (``found`` has path and header, ``lines`` the distinct headers)."""
+    positions = [contract_positions(split_header(line)) for line in lines]
     kind = reduce(lambda made, item: made.when(F.col("header") == item[1], item[0]),
-                  enumerate(headers.lines), F.when(F.lit(False), -1))
-    kinds = headers.found.select(F.col("path").alias("source_file"), kind.alias("_kind"))
+                  enumerate(lines), F.when(F.lit(False), -1))
+    kinds = found.select(F.col("path").alias("source_file"), kind.alias("_kind"))
     unknown = F.raise_error(F.concat(F.lit("no header was read of "), F.col("source_file")))
     known = F.when(F.col("_kind").isNull(), unknown.cast("int")).otherwise(F.col("_kind"))
     joined = rows.join(kinds, "source_file", "left").withColumn("_kind", known)

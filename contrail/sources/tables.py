@@ -7,6 +7,7 @@ session's classpath.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,13 @@ _COMMENT_PROPERTY = "column_comment."
 
 def is_streamed(spark: SparkSession, path: str) -> bool:
     """Whether a stream writes the folder: readers then follow its commit log alone."""
+    return folder_exists(spark, f"{path}/_spark_metadata")
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``."""
     try:
-        spark.read.format("binaryFile").load(f"{literal_path(path)}/_spark_metadata")
+        spark.read.format("binaryFile").load(literal_path(path))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -29,6 +35,30 @@ def is_streamed(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path in it, as the driver's JVM sees them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def move_files(spark: SparkSession, files: Sequence[str], target: str) -> None:
+    """Move files (as ``_metadata.file_path`` names them) below ``target``, each to the
+    place that its own path names there.  A file that is gone already is left out."""
+    for file in files:
+        system, path = _file_system(spark, unquote(file))
+        _, moved = _file_system(spark, target.rstrip("/") + path.toUri().getPath())
+        if system.exists(path):
+            system.mkdirs(moved.getParent())
+            if not system.rename(path, moved):
+                raise OSError(f"could not move {file} to {target}")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it."""
+    system, path = _file_system(spark, path)
+    system.delete(path, True)
+
+
 def refuse_streamed(spark: SparkSession, path: str, mode: str) -> None:
     """Fail before rows are added where no reader would see them."""
     if mode != "errorifexists" and is_streamed(spark, path):

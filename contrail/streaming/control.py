@@ -7,7 +7,10 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-_PROGRESS = "query string, batch_id bigint, rows_in bigint, trigger_ms bigint"
+from ..sources.tables import folder_exists
+
+_PROGRESS = ("query string, run_id string, batch_id bigint, rows_in bigint, "
+             "trigger_ms bigint")
 
 
 def find_stream(spark: SparkSession, name: str) -> StreamingQuery | None:
@@ -32,30 +35,95 @@ def wait_ready(spark: SparkSession, name: str, progressions: int = 3,
         time.sleep(min(poll, left))
 
 
-def finish(query: StreamingQuery, timeout: float = 3600) -> StreamingQuery:
-    """Wait for a caught-up query to end; an overdue one is stopped and an error."""
-    if not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError(f"stream {query.name} still running after {timeout} s")
-    return query
+class ProgressLog:
+    """Every progress report of the queries it watches, by run and batch.
+
+    Spark keeps a bounded number of reports for each query
+    (``spark.sql.streaming.numRecentProgressUpdates``, less one) and drops the oldest.
+    The log copies them while the query runs: ``finish`` polls it as it waits.  Batch
+    numbers of a run follow on from each other, so a batch that was missed all the same
+    is known by the gap, and ``table`` fails rather than leave it out.
 
+    >>> log = ProgressLog(spark)  # before the query starts
+    >>> finish(query, log=log)
+    >>> log.table(spark)
+    """
 
-def finish_step(query: StreamingQuery, timeout: float = 3600,
-                poll: float = 0.2) -> StreamingQuery:
-    """Stop a running query once its first step is stored, or there is nothing to do."""
-    deadline = time.monotonic() + timeout
-    while query.isActive:
-        done = query.lastProgress
-        if done is not None and not query.status["isTriggerActive"]:
-            break
-        if time.monotonic() > deadline:
-            query.stop()
-            raise TimeoutError(f"stream {query.name} took no step in {timeout} s")
-        time.sleep(poll)
-    query.stop()
-    error = query.exception()
-    if error is not None:
-        raise error
+    def __init__(self, spark: SparkSession) -> None:
+        self._kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+        self._reports: dict[tuple[str, int], tuple] = {}
+        self._names: dict[str, str] = {}
+        self._first: dict[str, int | None] = {}  # None: earlier ones may have been dropped
+        self._seen: dict[str, tuple] = {}
+
+    def poll(self, query: StreamingQuery) -> None:
+        """Copy the reports that Spark holds now."""
+        run, last = str(query.runId), query.lastProgress
+        if last is None:
+            return
+        newest = (last["batchId"], last["timestamp"])
+        if self._seen.get(run) == newest:
+            return
+        reports = query.recentProgress
+        if not reports:
+            return
+        if run not in self._first:
+            first = min(int(p["batchId"]) for p in reports)
+            self._first[run] = first if first == 0 or len(reports) < self._kept - 1 else None
+        self._names[run] = query.name
+        for p in reports:
+            key = (run, int(p["batchId"]))
+            row = (query.name, run, key[1], int(p["numInputRows"]),
+                   int(p["durationMs"].get("triggerExecution", 0)))
+            # A trigger that found nothing reports under the number of the batch to come.
+            if key not in self._reports or row[3] >= self._reports[key][3]:
+                self._reports[key] = row
+        self._seen[run] = newest
+
+    def gaps(self) -> dict[str, list[int] | None]:
+        """Batches without a report, by query; None where the first ones may be lacking."""
+        found: dict[str, list[int] | None] = {}
+        for run, first in self._first.items():
+            have = {batch for r, batch in self._reports if r == run}
+            if first is None:
+                found[self._names[run]] = None
+            elif missing := sorted(set(range(first, max(have) + 1)) - have):
+                found[self._names[run]] = missing
+        return found
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(query, run_id, batch_id, rows_in, trigger_ms), a row for each batch."""
+        if found := self.gaps():
+            raise ValueError(f"reports were dropped before they were read: {found}; raise "
+                             "numRecentProgressUpdates or poll more often")
+        return spark.createDataFrame(sorted(self._reports.values()), _PROGRESS)
+
+    def store(self, spark: SparkSession, path: str) -> None:
+        """Add the reports to the table folder ``path``; those that it has stay as they are."""
+        rows = self.table(spark)
+        if folder_exists(spark, path):
+            rows = rows.join(spark.read.parquet(path), ["run_id", "batch_id"], "left_anti").select(
+                *rows.columns)
+        rows.coalesce(1).write.mode("append").parquet(path)
+
+
+def finish(query: StreamingQuery, timeout: float = 3600, log: ProgressLog | None = None,
+           poll: float = 0.02) -> StreamingQuery:
+    """Wait for a caught-up query to end; an overdue one is stopped and an error.
+
+    ``log`` is given every report that the query makes meanwhile.
+    """
+    if log is None:
+        ended = query.awaitTermination(timeout)
+    else:
+        deadline, ended = time.monotonic() + timeout, False
+        while not ended and time.monotonic() < deadline:
+            log.poll(query)
+            ended = query.awaitTermination(poll)
+        log.poll(query)
+    if not ended:
+        query.stop()
+        raise TimeoutError(f"stream {query.name} still running after {timeout} s")
     return query
 
 
@@ -64,9 +132,9 @@ def stop_stream(spark: SparkSession, name: str) -> bool:
     return _stop([q for q in spark.streams.active if q.name == name])
 
 
-def stop_all_streams(spark: SparkSession) -> bool:
-    """Stop every active query; whether there was any."""
-    return _stop(spark.streams.active)
+def stop_all_streams(spark: SparkSession, names: set[str] | None = None) -> bool:
+    """Stop every active query, or those of the given names; whether there was any."""
+    return _stop([q for q in spark.streams.active if names is None or q.name in names])
 
 
 def _stop(queries: list[StreamingQuery]) -> bool:
@@ -85,20 +153,9 @@ def stream_status(spark: SparkSession) -> DataFrame:
 
 
 def progress_table(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
-    """The batches of the given queries in this run, one row each.
-
-    Spark keeps a bounded number of reports per query
-    (``spark.sql.streaming.numRecentProgressUpdates``); a query that has filled
-    them is an error, as earlier batches may be missing.
-    """
-    kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+    """The batches of the given queries in this run, one row each, from the reports that
+    Spark still holds; an error where it may have dropped some (use ``ProgressLog``)."""
+    log = ProgressLog(spark)
     for query in queries:
-        if len(query.recentProgress) >= kept:
-            raise ValueError(f"stream {query.name} made {kept} or more reports, of which Spark "
-                             "keeps no more: raise numRecentProgressUpdates before it starts, "
-                             "or count the stored rows")
-    rows = [
-        (q.name, int(p["batchId"]), int(p["numInputRows"]),
-         int(p["durationMs"].get("triggerExecution", 0)))
-        for q in queries for p in q.recentProgress]
-    return spark.createDataFrame(rows, _PROGRESS)
+        log.poll(query)
+    return log.table(spark)

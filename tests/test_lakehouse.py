@@ -38,16 +38,16 @@ def test_all_rows_arrive(spark, folder, lake):
     tables = lake[0]
     silver = read_table(spark, tables.table("flight_silver"))
     assert require_reconciled(read_landed(spark, tables.landed), silver).count() == 1
-    gold = read_table(spark, tables.table("flight_gold"))
+    gold = read_table(spark, tables.table("daily_flights"))
     assert gold.agg(F.sum("num_flights")).first()[0] == raw_flights(spark, folder).count()
 
 
 def test_rerun_adds_nothing_and_gold_is_replaced(spark, lake):
     tables, sources, lookups = lake
-    before = read_table(spark, tables.table("flight_gold")).collect()
+    before = read_table(spark, tables.table("daily_flights")).collect()
     refresh_flights(spark, tables, sources, "feed", timeout=300)
     build_gold(spark, tables)
-    after = read_table(spark, tables.table("flight_gold")).collect()
+    after = read_table(spark, tables.table("daily_flights")).collect()
     assert sorted(map(str, before)) == sorted(map(str, after))
     with pytest.raises(Exception, match="(?i)exists"):
         load_lookups(spark, tables, **lookups)
@@ -78,13 +78,13 @@ def test_questions_on_stored_tables(spark, lake):
     silver = table("flight_silver")
     rows = silver.count()
     star = questions.star_join(
-        silver, table("l_date_gold"), table("l_airport_silver"), table("l_plane_silver"),
-        table("l_unique_carrier_silver"), table("cancellation_silver"))
+        silver, table("calendar_days"), table("airport_places"), table("plane_register"),
+        table("carrier_names"), table("cancellation_silver"))
     assert star.count() == rows
     assert star.where("carrier is null or origin_city is null").count() == 0
-    by_age = questions.plane_age(silver, table("l_plane_silver"))
+    by_age = questions.plane_age(silver, table("plane_register"))
     assert by_age.agg(F.sum("num_flights")).first()[0] == rows
-    times = questions.best_time(silver, table("l_date_gold")).groupBy("period").agg(
+    times = questions.best_time(silver, table("calendar_days")).groupBy("period").agg(
         F.sum("num_flights").alias("n"))
     assert {r["period"]: r["n"] for r in times.collect()} == {
         "hour": rows, "weekday": rows, "month": rows}

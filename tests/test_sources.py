@@ -249,12 +249,13 @@ def test_old_files_are_landed(spark, tmp_path):
     import os
     import time
 
-    from contrail.streaming.control import finish
-    from contrail.streaming.hops import start_landing
+    from contrail.sources.manifest import SourceManifest
+    from contrail.streaming.hops import land_new_files
 
     def run():
-        finish(start_landing([stream_mixed_files(spark, str(tmp_path / "in"))],
-                             str(tmp_path / "landed"), str(tmp_path / "checkpoint")))
+        land_new_files(spark, SourceManifest(spark, str(tmp_path / "manifest")),
+                       [str(tmp_path / "in")], str(tmp_path / "landed"),
+                       str(tmp_path / "checkpoint"))
         return read_landed(spark, str(tmp_path / "landed")).count()
 
     flight_file(tmp_path / "in" / "new.csv", C.FLIGHT_COLUMNS, {"Year": 1987, "Month": 10})
