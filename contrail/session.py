@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -62,7 +63,8 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        # ``local-cluster`` has executors with folders of their own.
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError(
                 "set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="contrail-")
