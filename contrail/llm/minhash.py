@@ -191,9 +191,10 @@ def _across(apart: DataFrame, members: DataFrame, reps: DataFrame,
 
     ``apart`` are the members outside the component of the bucket's leader; each
     is compared with all members, in tiles of at most about TILE by TILE.  Small
-    buckets share a group.  Gives (group, i, j, id, others): the survivors of each
-    member in a tile, as one list, so a crowded bucket is few rows; a pair is in
-    the list of the first band that both share, and only there.
+    buckets share a group.  Gives (group, i, j, id, others, asked): the survivors of
+    each member in a tile, as one list, so a crowded bucket is few rows; a pair is in
+    the list of the first band that both share, and only there.  One row of a tile
+    has in ``asked`` every member that stands in its lists, once.
     """
     left = apart.groupBy("band").agg(F.count(F.lit(1)).alias("n_left"),
                                      F.min("lead_comp").alias("lead_comp"))
@@ -252,11 +253,14 @@ def _across(apart: DataFrame, members: DataFrame, reps: DataFrame,
             **{name: pa.array([value.as_py()] * len(lists), kind) for name, value, kind in
                zip(("group", "i", "j"), key, (pa.int64(), pa.int32(), pa.int32()))},
             "id": pa.array(list(found), pa.int64()),
-            "others": pa.array(lists, pa.list_(pa.int64()))})
+            "others": pa.array(lists, pa.list_(pa.int64())),
+            "asked": pa.array([np.unique(np.concatenate([list(found), *lists])) if k == 0 else None
+                               for k in range(len(lists))], pa.list_(pa.int64()))})
 
     ship(apart.sparkSession)
     return rows.groupBy("group", "i", "j").applyInArrow(
-        compare, "group bigint, i int, j int, id bigint, others array<bigint>")
+        compare, "group bigint, i int, j int, id bigint, others array<bigint>, "
+                 "asked array<bigint>")
 
 
 def _confirmed_across(survivors: DataFrame, documents: DataFrame, shingle: int, percent: int,
@@ -266,15 +270,16 @@ def _confirmed_across(survivors: DataFrame, documents: DataFrame, shingle: int,
     A document's set goes to each tile that asks for it once, not once a pair.
     Tiles return a spanning forest of the links found.
     """
-    asked = survivors.select("group", "i", "j", F.explode(F.concat(
-        F.array("id"), "others")).alias("doc_id")).distinct()
+    asked = survivors.where("asked is not null").select(
+        "group", "i", "j", F.explode("asked").alias("doc_id"))
     sets = saved(shingle_sets(pick(documents, asked.select("doc_id")), shingle),
                  f"{label}-sets")
     nothing = F.lit(None)
     rows = (asked.join(sets, "doc_id").select(
         "group", "i", "j", F.col("doc_id").alias("id"), "shingles",
         nothing.cast("array<bigint>").alias("others"))
-        .unionByName(survivors.withColumn("shingles", nothing.cast("array<bigint>"))))
+        .unionByName(survivors.drop("asked").withColumn(
+            "shingles", nothing.cast("array<bigint>"))))
 
     def confirm(table: pa.Table) -> pa.Table:
         held: dict[int, np.ndarray] = {}
@@ -330,8 +335,8 @@ def _apart_from_leader(members: DataFrame) -> DataFrame:
     return members.join(leaders, "band").where("comp <> lead_comp")
 
 
-def _told_apart(documents: DataFrame) -> tuple[DataFrame, bool]:
-    """``documents`` with a number ``_row``, and whether any doc_id repeats.
+def _told_apart(documents: DataFrame, name: str = "_row") -> tuple[DataFrame, bool]:
+    """``documents`` with a number ``name``, and whether any doc_id repeats.
 
     It is the doc_id; rows that share one get numbers above all doc_ids, in order of
     doc_id and text.
@@ -341,13 +346,13 @@ def _told_apart(documents: DataFrame) -> tuple[DataFrame, bool]:
                      .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"),
                      "minhash-repeated")
     if repeated.isEmpty():
-        return documents.withColumn("_row", row), False
+        return documents.withColumn(name, row), False
     top = documents.agg(F.max(row)).first()[0]
-    own = saved(pick(documents, repeated).repartitionByRange("doc_id")
+    own = saved(pick(documents, repeated).repartitionByRange("doc_id", "text", F.monotonically_increasing_id())
                 .sortWithinPartitions("doc_id", "text", F.xxhash64(*documents.columns))
-                .withColumn("_row", F.lit(top + 1).cast("long") + F.monotonically_increasing_id()),
+                .withColumn(name, F.lit(top + 1).cast("long") + F.monotonically_increasing_id()),
                 "minhash-told-apart")
-    return pick(documents, repeated, keep=False).withColumn("_row", row).unionByName(own), True
+    return pick(documents, repeated, keep=False).withColumn(name, row).unionByName(own), True
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80,
@@ -434,15 +439,18 @@ def deduplicated(documents: DataFrame, shingle: int = 5, percent: int = 80) -> D
     Rows that repeat a doc_id stand each for its own text; of those in one group the
     one whose text is least stays.  Rows that link with nothing stay.
     """
-    told, repeats = _told_apart(documents)
-    found = saved(_grouped(told.select(F.col("_row").alias("doc_id"), "text"), shingle, percent),
+    row = "_row"
+    while row in documents.columns:
+        row += "_"
+    told, repeats = _told_apart(documents, row)
+    found = saved(_grouped(told.select(F.col(row).alias("doc_id"), "text"), shingle, percent),
                   "minhash-found")
     if not repeats:
         gone = found.where("doc_id <> component_id").select("doc_id")
         return pick(documents, saved(gone, "minhash-gone"), keep=False)
-    own = found.where("doc_id is not null").select(F.col("doc_id").alias("_row"), "component_id")
-    own = own.join(told.select("_row", "doc_id"), "_row")
-    kept = own.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row")).alias("kept"))
-    gone = saved(own.join(kept, "component_id").where("_row <> kept._row").select("_row"),
+    own = found.where("doc_id is not null").select(F.col("doc_id").alias(row), "component_id")
+    own = own.join(told.select(row, "doc_id"), row)
+    kept = own.groupBy("component_id").agg(F.min(F.struct("doc_id", row)).alias("kept"))
+    gone = saved(own.join(kept, "component_id").where(F.col(row) != F.col(f"kept.{row}")).select(row),
                  "minhash-gone")
-    return told.join(gone, "_row", "left_anti").select(*documents.columns)
+    return told.join(gone, row, "left_anti").select(*documents.columns)
