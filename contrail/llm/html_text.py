@@ -21,9 +21,14 @@ SAMPLE = 240
 SAMPLE_BYTES = 100_000
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<(script|style|noscript|template|textarea|svg|select|iframe|object)\b"
+    # What a browser reads as text up to the end tag, or to the end of the page; then
+    # what has to be closed to have a content: without an end tag only the tag goes.
+    r"<!--.*?(?:-->|$)|<(script|style|textarea|iframe)\b"
     r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|$)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>",
+    r"|<(?P<closed>svg|select|object|noscript|template)\b"
+    r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?<!/)>.*?</(?P=closed)\s*>"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<names>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
+    r"|<[!?][^>]*>",
     re.DOTALL | re.IGNORECASE)
 _NAMES = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))",
                     re.IGNORECASE)
@@ -36,6 +41,8 @@ BLOCK_TAGS = frozenset(
     "html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title "
     "tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
+# Of these only what is closed is left out; without an end tag they hold nothing.
+CLOSED_TAGS = frozenset("svg select object noscript template".split())
 SPACE_TAGS = frozenset(("br", "wbr", "img", "input", "button"))
 
 # Words in tags, classes, ids and roles that tell what an area is for.
@@ -101,11 +108,11 @@ def parse(page: str) -> list[Block]:
     for match in _TAG.finditer(page):
         add(page[at:match.start()])
         at = match.end()
-        name = match.group(3)
+        name = match.group("name")
         if name is None:
             continue
         name = name.lower()
-        if match.group(2):
+        if match.group("end"):
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if depth is not None:
                 for closed, _ in stack[depth:]:
@@ -127,9 +134,9 @@ def parse(page: str) -> list[Block]:
                 del stack[depth:]
             elif name in ("li", "dd", "dt", "tr", "td", "th") and stack and stack[-1][0] == name:
                 stack.pop()
-        if name in VOID_TAGS:
+        if name in VOID_TAGS or name in CLOSED_TAGS:
             continue
-        names = " ".join(a or b or c for a, b, c in _NAMES.findall(match.group(4) or ""))
+        names = " ".join(a or b or c for a, b, c in _NAMES.findall(match.group("names") or ""))
         stack.append((name, (name, *("." + t for t in _TOKEN.findall(names.lower())))))
         links += name == "a"
     add(page[at:])
