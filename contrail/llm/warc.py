@@ -27,24 +27,29 @@ def archive(pages: DataFrame) -> DataFrame:
     """(position, record): WARC records of ``pages`` at their places in the archive.
 
     page_id is the position, so a record that a replica lacks leaves a gap and
-    shifts nothing; rows without page_id are left out.
+    shifts nothing; rows without page_id share the position NULL.
     """
-    return pages.where("page_id is not null").select(
+    return pages.select(
         F.col("page_id").cast("long").alias("position"),
         warc_record(F.col("url"), F.col("html")).alias("record"))
 
 
 def leaves(records: DataFrame) -> DataFrame:
-    """(position, n_bytes, digest): a leaf for each record.
+    """(position, n_bytes, digest): a leaf for each position, of all its records.
 
-    Positions are kept once, whatever the number of equal rows: of records that
-    share a position the one with the smallest digest counts.
+    Records that share a position (those without one share NULL) count each: the digest
+    covers their number and the sums of the four parts of their hashes, which do not
+    depend on their order and add up before they are shuffled.
     """
-    hashed = records.select("position", F.octet_length("record").cast("long").alias("n_bytes"),
-                            F.sha2("record", 256).alias("digest"))
-    least = F.min(F.struct("digest", "n_bytes")).alias("leaf")
-    return hashed.groupBy("position").agg(least).select(
-        "position", "leaf.n_bytes", "leaf.digest")
+    digest = F.sha2("record", 256)
+    parts = [F.conv(F.substring(digest, 1 + 16 * k, 16), 16, 10).cast("decimal(20,0)")
+             for k in range(4)]
+    sums = [F.sum(f"part{k}").cast("string") for k in range(4)]
+    return (records.select("position", F.octet_length("record").cast("long").alias("n_bytes"),
+                           *(part.alias(f"part{k}") for k, part in enumerate(parts)))
+            .groupBy("position").agg(
+        F.sum("n_bytes").alias("n_bytes"),
+        F.sha2(F.concat_ws(" ", F.count(F.lit(1)).cast("string"), *sums), 256).alias("digest")))
 
 
 def _parents(nodes: DataFrame, fan_out: int) -> DataFrame:
@@ -95,6 +100,7 @@ def audit(one: DataFrame, other: DataFrame, height: int, fan_out: int = FAN_OUT)
     down to the records.  ``damage`` is ``missing`` or ``extra`` when only one
     replica holds the record, ``length`` or ``content`` when both do.  Both trees
     must have been built of ``height``; equal trees and two empty ones give no rows.
+    Records without a position have a branch of their own, and a NULL in the result.
     """
     def at(nodes: DataFrame, level: int, names: tuple[str, str]) -> DataFrame:
         return nodes.where(F.col("level") == level).select(
@@ -106,11 +112,14 @@ def audit(one: DataFrame, other: DataFrame, height: int, fan_out: int = FAN_OUT)
         if suspects is not None:
             # The children of the mismatching nodes; equal branches are not read on.
             inside = suspects.select(F.explode(F.expr(
-                f"sequence(index * {fan_out}, index * {fan_out} + {fan_out - 1})")).alias("index"))
+                f"coalesce(sequence(index * {fan_out}, index * {fan_out} + {fan_out - 1}), "
+                "array(cast(null as bigint)))")).alias("at"))
             inside = saved(inside, f"audit-{level}")
-            left = left.join(inside, "index", "left_semi")
-            right = right.join(inside, "index", "left_semi")
-        suspects = left.join(right, "index", "full_outer").where(
+            same = F.col("index").eqNullSafe(F.col("at"))
+            left, right = (side.join(inside, same, "left_semi") for side in (left, right))
+        suspects = left.join(
+            right.withColumnRenamed("index", "other"),
+            F.col("index").eqNullSafe(F.col("other")), "full_outer").withColumn("index", F.coalesce("index", "other")).drop("other").where(
             ~F.col("da").eqNullSafe(F.col("db")))
         if level:
             suspects = saved(suspects.select("index"), f"audit-suspects-{level}")
@@ -133,15 +142,16 @@ def located(damage: DataFrame, leaf_rows: DataFrame, file_records: int = FILE_RE
 
     damage = damage.withColumn("file", file())
     # Bytes of the audited replica only; places that it lacks have none.
-    places = leaf_rows.select("position", "n_bytes").withColumn("file", file()).join(
-        damage.select("file").distinct(), "file", "left_semi")
+    places = leaf_rows.select("position", "n_bytes").withColumn("file", file())
+    places = places.join(damage.select(F.col("file").alias("of")).distinct(),
+                         F.col("file").eqNullSafe(F.col("of")), "left_semi")
     places = places.unionByName(damage.where("damage = 'extra'").select(
         "position", F.lit(0).cast("long").alias("n_bytes"), "file"))
     before = (Window.partitionBy("file").orderBy("position")
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = places.select("position", F.coalesce(
+    offsets = places.select(F.col("position").alias("at"), F.coalesce(
         F.sum("n_bytes").over(before), F.lit(0)).alias("offset"))
-    return damage.join(offsets, "position").select(
+    return damage.join(offsets, F.col("position").eqNullSafe(F.col("at"))).select(
         "position", "file", "offset", "n_bytes", "other_bytes", "damage")
 
 
