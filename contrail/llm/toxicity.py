@@ -16,6 +16,8 @@ from .common import ALPHANUMERIC, Words, chunks, map_arrow, mixed
 BITS = 20
 #: Bound of the training sample, in documents of each label.
 SAMPLE_PER_LABEL = 6_000
+#: Characters of a text of the sample that are fitted on, at most.
+SAMPLE_CHARS = 100_000
 
 
 @dataclass(frozen=True)
@@ -85,9 +87,10 @@ def train(documents: DataFrame, labels: DataFrame, sample_per_label: int = SAMPL
     """Fit on a bounded sample of labelled rows, never of the held-out fifth.
 
     ``labels`` has doc_id and toxic; conflicting or repeated labels of a document
-    count as toxic if one is.  The sample holds at most ``sample_per_label``
-    documents of each label, chosen by a hash of doc_id, so its size (and what a
-    task or a broadcast holds of it) does not follow the input.  Scores are
+    count as toxic if one is.  The sample holds at most ``sample_per_label`` rows of
+    each label, chosen by a hash of doc_id (rows of one doc_id by a hash of their
+    features), each with its first ``SAMPLE_CHARS`` characters, so its size (and what
+    a task or a broadcast holds of it) does not follow the input.  Scores are
     calibrated to the sample's balance of labels.  Without labels the model is
     empty and every score is 0.5.
     """
@@ -101,20 +104,22 @@ def train(documents: DataFrame, labels: DataFrame, sample_per_label: int = SAMPL
         picked = part if picked is None else picked.union(part)
     # At most 2 * sample_per_label rows of two numbers.
     sample = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select(
-        "text", "toxic")
+        F.left("text", F.lit(SAMPLE_CHARS)).alias("text"), "toxic",
+        F.xxhash64("doc_id").alias("place"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
+            place = batch.column("place")
             for first, end, data, offsets in chunks(batch.column("text")):
                 feature, doc = word_features(data, offsets, bits)
                 pairs = np.unique((doc.astype(np.int64) << bits) | feature)
                 cuts = np.searchsorted(pairs >> bits, np.arange(end - first + 1))
                 low = (pairs & ((1 << bits) - 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(toxic[first:end], pa.int32()),
+                    [pa.array(toxic[first:end], pa.int32()), place[first:end],
                      pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(low))],
-                    ["toxic", "features"])
+                    ["toxic", "place", "features"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples = [(np.asarray(features, dtype=np.int64), label)
@@ -129,8 +134,13 @@ def train(documents: DataFrame, labels: DataFrame, sample_per_label: int = SAMPL
             [pa.array(np.append(features, -1), pa.int64()),
              pa.array(np.append(weights, bias), pa.float64())], ["feature", "weight"])
 
-    found = map_arrow(sample, extract, "toxic int, features array<int>")
-    rows = map_arrow(found.repartition(1), fit, "feature bigint, weight double").toArrow()
+    found = map_arrow(sample, extract, "toxic int, place bigint, features array<int>")
+    some = None
+    for label in (0, 1):
+        part = (found.where(F.col("toxic") == label).orderBy("place", F.xxhash64("features"))
+                .limit(sample_per_label).select("toxic", "features"))
+        some = part if some is None else some.union(part)
+    rows = map_arrow(some.repartition(1), fit, "feature bigint, weight double").toArrow()
     features = rows.column("feature").to_numpy()
     weights = rows.column("weight").to_numpy()
     order = np.argsort(features, kind="stable")
@@ -144,17 +154,19 @@ def held_out(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def score(documents: DataFrame, model: Model, bits: int = BITS) -> DataFrame:
-    """All columns of ``documents`` and ``toxicity`` (0 to 1); NULL text counts as empty.
+def score(documents: DataFrame, model: Model, bits: int = BITS, name: str = "toxicity"
+          ) -> DataFrame:
+    """All columns of ``documents`` and ``name`` (0 to 1); NULL text counts as empty.
 
-    Reads whole texts.  Each feature counts once a document.  The weights are
+    A column called ``name`` already is replaced.  Reads whole texts; repeated rows score
+    alike, and an empty table gives none.  Each feature counts once a document.  The weights are
     broadcast: at most ``2**bits`` of them, mostly far fewer through L1.
     """
     spark = documents.sparkSession
-    kept = documents.drop("toxicity")
-    names = [*kept.columns, "toxicity"]
+    kept = documents.drop(name)
+    names = [*kept.columns, name]
     text_at = kept.columns.index("text")
-    schema = T.StructType([*kept.schema.fields, T.StructField("toxicity", T.DoubleType())])
+    schema = T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())])
     shared = spark.sparkContext.broadcast(model)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,11 +185,15 @@ def score(documents: DataFrame, model: Model, bits: int = BITS) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores)], names)
 
-    text_at = documents.columns.index("text")
     return map_arrow(kept, apply, schema)
 
 
 def reject(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents that score below ``threshold``, with their own columns."""
-    return (score(documents, train(documents, labels))
-            .where(F.col("toxicity") < threshold).select(*documents.columns))
+    """The documents that score below ``threshold``, with their own columns whatever
+    their names.  Rows without text or doc_id are scored like others; repeated rows stay
+    or go together; without documents there are none."""
+    name = "toxicity"
+    while name in documents.columns:
+        name += "_"
+    return (score(documents, train(documents, labels), name=name)
+            .where(F.col(name) < threshold).select(*documents.columns))
