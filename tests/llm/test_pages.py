@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from contrail.llm import catalogue, decontaminate, html_text, langid, vectors, warc
@@ -124,6 +125,21 @@ def test_parse_blocks():
     assert [b.text for b in html_text.parse("a<p>b<table><tr><td>c<td>d</table>e")] == list("abcde")
 
 
+@pytest.mark.parametrize("page, expected", [
+    ('<p>one</p><svg width="1"/><p>two</p><p>three</p>', ["one", "two", "three"]),
+    ("<p>one</p><svg width=1><path d='M0'/><p>two</p>", ["one", "two"]),
+    ("<p>one</p><select><option>x<p>two</p>", ["one", "x", "two"]),
+    ("<p>one<svg><text>label</text></svg> more</p>", ["one more"]),
+    ("<p>one</p><object data=x><p>two</p><noscript><p>three</p>", ["one", "two", "three"]),
+    ("<p>one</p><select><option>x</option></select><p>two</p>", ["one", "two"]),
+    ("<p>one</p><script>if (a < b) { '</p>' }", ["one"]),
+    ("<p>one</p></svg></select><p>two</p>", ["one", "two"])])
+def test_what_is_not_closed_hides_nothing(page, expected):
+    blocks = html_text.parse(page)
+    assert [b.text for b in blocks] == expected
+    assert not any({"svg", "select", "object"} & set(b.path) for b in blocks)
+
+
 def test_gradients_are_right():
     rng = np.random.default_rng(0)
     model = html_text.Labeller()
@@ -262,8 +278,30 @@ def test_fixity(spark):
     assert found[599][1] == sum(size[i] for i in range(512, 599))
     assert compare(pages, pages) == {}
     assert compare(pages.limit(0), pages.limit(0)) == {}
-    assert len(compare(pages.limit(0), pages)) == 600
-    assert compare(pages.union(pages), pages) == {}
+    assert len(compare(pages.limit(0), pages)) == 601
+    assert compare(pages.union(pages), pages.union(pages)) == {}
+
+
+def test_fixity_of_records_that_share_a_position(spark):
+    schema = "page_id bigint, url string, html string"
+    whole = [(1, "a", "one"), (1, "b", "two"), (2, "c", "x"), (None, "d", "three"),
+             (None, "e", "four"), (None, "e", "four")]
+
+    def audit(rows):
+        leaves = [warc.leaves(warc.archive(spark.createDataFrame(r, schema)))
+                  for r in (whole, rows)]
+        height = warc.height_for(*leaves)
+        trees = [warc.tree(x, height, "test") for x in leaves]
+        found = warc.located(warc.audit(*trees, height), leaves[0]).collect()
+        return {r.position: r.damage for r in found}
+
+    assert audit(whole[::-1]) == {}
+    assert audit([whole[0], (1, "b", "twO"), *whole[2:]]) == {1: "content"}
+    assert audit([(1, "a", "onE"), *whole[1:]]) == {1: "content"}
+    assert audit(whole[1:]) == {1: "length"}  # a copy lost altogether
+    assert audit([*whole[:3], (None, "d", "thrEe"), *whole[4:]]) == {None: "content"}
+    assert audit(whole[:5]) == {None: "length"}
+    assert audit(whole[:3]) == {None: "missing"}
 
 
 def warc_bytes(uri, body):

@@ -110,6 +110,15 @@ def test_minhash_keeps_one_row(docs):
     assert sorted(r.doc_id for r in minhash.deduplicated(frame).collect()) == [1, 3, 4]
 
 
+def test_minhash_leaves_clashing_columns_alone(docs):
+    frame = docs([(1, "a b c d e f"), (2, "a b c d e f"), (2, "x y z"), (3, None)]).withColumns(
+        {"_row": F.lit("kept"), "_row_": F.lit(2)})
+    left = minhash.deduplicated(frame)
+    assert left.columns == frame.columns
+    assert sorted((r.doc_id, r._row, r._row_) for r in left.collect()) == [
+        (1, "kept", 2), (2, "kept", 2), (3, "kept", 2)]
+
+
 def test_minhash_tells_rows_of_one_id_apart(docs):
     rng = random.Random(12)
     x, y, z = (" ".join(text_of(rng, 80)) for _ in range(3))
@@ -171,6 +180,43 @@ def test_passages(docs):
     assert passages.repeated_passages(docs([])).count() == 0
 
 
+def test_passages_of_rows_that_share_an_id(docs):
+    rng = random.Random(12)
+    passage, tail, alone = text_of(rng, 60), text_of(rng, 60), text_of(rng, 200)
+    rows = [(1, text_of(rng, 20) + passage), (5, passage + tail), (5, ["short", "text"]),
+            (5, alone), (5, passage + tail), (7, text_of(rng, 9) + tail), (3, tail)]
+    rows = [(d, " ".join(w)) for d, w in rows]
+    found = passages.repeated_passages(docs(rows))
+    spans = {(r.doc_id, r.source_doc_id, r.start_word, r.end_word) for r in found.collect()}
+    # The seventh may be found in both of the others.
+    assert spans - {(7, 5, 9, 69)} == {(5, 1, 0, 60), (5, 3, 60, 120), (7, 3, 9, 69)}
+    assert {r.doc_id for r in found.where("text_hash is not null").collect()} == {5}
+    left = sorted((r.doc_id, r.text) for r in passages.without_passages(
+        docs(rows), found).collect())
+    # Both equal rows of id 5 are gone, the others of that id are whole.
+    own = " ".join(rows[5][1].split(" ")[:9]) + " "
+    assert left == sorted([rows[0], rows[2], rows[3], (7, own), rows[6]])
+
+
+def test_passages_leave_clashing_columns_alone(docs):
+    rng = random.Random(13)
+    passage = " ".join(text_of(rng, 60))
+    frame = docs([(1, passage), (2, "own words " + passage)]).withColumns(
+        {"cuts": F.lit(7), "row": F.lit("r"), "key": F.lit(1.5)})
+    cut = passages.without_passages(frame, passages.repeated_passages(frame))
+    assert cut.columns == frame.columns
+    assert sorted((r.doc_id, r.text.strip(), r.cuts, r.row) for r in cut.collect()) == [
+        (1, passage, 7, "r"), (2, "own words", 7, "r")]
+
+
+def test_long_documents_are_cut_into_stretches():
+    for size, least, longest in ((10, 3, 100), (100, 7, 20), (101, 7, 20), (20, 7, 20), (21, 7, 20)):
+        parts = passages.stretches(size, least, longest)
+        assert all(b - a <= longest for a, b in parts) and parts[-1][1] == size
+        for at in range(size - least + 1):
+            assert any(a <= at and at + least <= b for a, b in parts)
+
+
 def test_passages_behind_a_common_line(docs):
     rng = random.Random(3)
     line = text_of(rng, 12)
@@ -287,6 +333,27 @@ def test_toxicity_learns_a_word(docs, spark):
     assert all(scores[1000 + i] < 0.5 for i in range(len(ODD_TEXTS)))
 
 
+def test_toxicity_leaves_clashing_columns_alone(docs, spark):
+    rows = [(i, "vile words here" if i % 2 else "kind words here") for i in range(200)]
+    frame = docs(rows).select(F.lit(9.5).alias("toxicity"), "*")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id bigint, toxic int")
+    left = toxicity.reject(frame, labels)
+    assert left.columns == frame.columns
+    assert {(r.doc_id % 2, r.toxicity) for r in left.collect()} == {(0, 9.5)}
+    assert left.count() == 100
+    scored = toxicity.score(frame, toxicity.train(frame, labels))
+    assert {(r.doc_id % 2, r.toxicity >= 0.5) for r in scored.collect()} == {(0, False), (1, True)}
+
+
+def test_toxicity_sample_is_bounded_in_rows(docs, spark):
+    """One labelled id holds nearly all rows; the sample takes no more of them."""
+    rows = [(0, f"kind word{i}") for i in range(300)] + [(1, "vile words"), (2, "vile " * 9)]
+    labels = spark.createDataFrame([(0, 0), (1, 1), (2, 1)], "doc_id bigint, toxic int")
+    model = toxicity.train(docs(rows), labels, sample_per_label=20)
+    assert model is not None
+    assert toxicity.score(docs(rows), model).count() == len(rows)
+
+
 def test_toxicity_without_labels(docs, spark):
     labels = spark.createDataFrame([], "doc_id bigint, toxic int")
     frame = docs([(1, "a b"), (2, None)])
