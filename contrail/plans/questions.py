@@ -209,11 +209,14 @@ def weather_model(silver: DataFrame) -> DataFrame:
 
     mean = {"one": Fraction(moment(False, "one", "delay"), rows)} if rows else None
     model = dict(zip(terms, fitted)) if fitted else None
-    return silver.sparkSession.createDataFrame(
-        [("constant" if a == "one" else a, round(float(model[a]), 6) if model else None,
-          rows, held, error(model), error(mean)) for a in terms],
-        "term string, coefficient double, num_rows bigint, held_rows bigint, "
-        "held_error double, mean_error double")
+    report = [{"term": ("string", "constant" if a == "one" else a),
+               "coefficient": ("double", round(float(model[a]), 6) if model else None),
+               "num_rows": ("bigint", rows), "held_rows": ("bigint", held),
+               "held_error": ("double", error(model)), "mean_error": ("double", error(mean))}
+              for a in terms]
+    return silver.sparkSession.range(1).select(F.inline(F.array(*(
+        F.struct(*(F.lit(value).cast(kind).alias(name) for name, (kind, value) in row.items()))
+        for row in report))))
 
 
 def _solve(matrix: list[list[int]], right: list[int]) -> list[Fraction] | None:
