@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import zipfile
@@ -76,10 +77,26 @@ def ship(spark: SparkSession) -> None:
     context._contrail_shipped = True
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on after its task, and the C
+    library would keep what the task's arrays took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def map_arrow(frame: DataFrame, function: Callable, schema) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the workers."""
+    """``mapInArrow`` with this package at hand in the workers, which give back their
+    memory after each task."""
     ship(frame.sparkSession)
-    return frame.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return frame.mapInArrow(run, schema)
 
 
 def word_class(pattern: bytes) -> np.ndarray:
