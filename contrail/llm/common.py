@@ -19,6 +19,9 @@ from ..session import scratch_folder
 # Text handled by one numpy step: temporary arrays take about 60 times this.
 CHUNK_BYTES = 1 << 20
 
+#: Bytes of a batch that goes to a Python worker, about (64 MB unless set).
+BATCH_BYTES = 8 << 20
+
 # Odd multiplier of the polynomial hashes, arithmetic modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -89,8 +92,10 @@ def give_back() -> None:
 
 def map_arrow(frame: DataFrame, function: Callable, schema) -> DataFrame:
     """``mapInArrow`` with this package at hand in the workers, which give back their
-    memory after each task."""
+    memory after each task.  The session's batches are held to ``BATCH_BYTES``: each is
+    in memory several times over, in the JVM and in the worker."""
     ship(frame.sparkSession)
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from function(batches)
