@@ -3,7 +3,7 @@ exact weighted-shingle check.  DataFrame functions only."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import pick, saved
@@ -58,6 +58,44 @@ def _weights(items: DataFrame) -> DataFrame:
             .groupBy("gram").agg((1.0 / F.count(F.lit(1))).alias("weight")))
 
 
+def _rarest(items: DataFrame, weights: DataFrame, percent: int) -> DataFrame:
+    """(item, gram): the heaviest runs of each item, just over the share of its weight
+    that a window similar enough may lack; such a window holds one of them."""
+    held = (items.select("item", F.explode("grams").alias("gram")).distinct()
+            .join(weights, "gram"))
+    earlier = (Window.partitionBy("item").orderBy(F.desc("weight"), "gram")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    lacking = (1 - percent / 100) * F.sum("weight").over(Window.partitionBy("item"))
+    return (held.withColumn("before", F.coalesce(F.sum("weight").over(earlier), F.lit(0.0)))
+            .withColumn("lacking", lacking).where(F.col("before") <= F.col("lacking") + 1e-6)
+            .select("item", "gram"))
+
+
+def spots(plain: DataFrame, items: DataFrame, weights: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, start_word, n_words, size, item): windows to compare with an item.
+
+    They line up with a run that document and item share, in documents that hold one
+    of the item's ``_rarest`` runs.  So a run that many items share leads to none of
+    them by itself, and rows grow with what documents and items truly have in common.
+    """
+    known = _bounded(saved(items.select("size", F.explode("grams").alias("gram")).distinct(),
+                           "benchmark-runs"))
+    hits = None
+    for size in sorted(row[0] for row in items.select("size").distinct().collect()):
+        part = (plain.select("doc_id", F.posexplode(_grams(F.col("plain"), size))
+                             .alias("at", "gram"))
+                .join(known.where(F.col("size") == size).select("gram"), "gram", "left_semi"))
+        hits = part if hits is None else hits.union(part)
+    hits = saved(hits, "benchmark-hits")
+    rare = _bounded(saved(_rarest(items, weights, percent), "benchmark-rarest"))
+    pairs = hits.join(rare, "gram").select("doc_id", "item").distinct()
+    offsets = items.select("item", "n_words", "size", F.posexplode("grams")
+                           .alias("offset", "gram")).distinct()
+    return (hits.join(pairs.join(offsets, "item"), ["doc_id", "gram"])
+            .select("doc_id", F.greatest(F.col("at") - F.col("offset"), F.lit(0))
+                    .alias("start_word"), "n_words", "size", "item").distinct())
+
+
 def fingerprints(shingled: DataFrame, keys: list[str], hash_of: str, weight: str) -> DataFrame:
     """``keys``, ``mass`` and the SimHash ``print`` of each group of weighted hashes."""
     def votes(bit: int) -> Column:
@@ -104,12 +142,14 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, shingle: int = SHIN
     whatever ids they stand, and match alike; different texts under one item_id are
     items of their own, of which the row tells the one most alike.
 
-    1. A window similar to an item holds one of its runs, so only windows that
-       line up with such a run are made: the text is cut into runs once, and
-       those of the benchmark are looked up (broadcast while within a bound).
+    1. The text is cut into runs once, and those of the benchmark are looked up
+       (broadcast while within a bound).  A window similar to an item holds one of
+       its rarest runs, so a document without them meets the item no further; in
+       the others, windows that line up with a shared run are made for that item.
     2. Windows of equal content are one row.  Each gets a weighted SimHash.
     3. Fingerprints within ``RADIUS`` bits share a block up to one bit, so the
-       join on blocks, with each item's one-bit neighbours, misses none of them.
+       join on the item meant and on blocks, with each item's one-bit neighbours,
+       misses none of them.
     4. The survivors' similarity is computed exactly.
     """
     items = _items(benchmark.where("item_id is not null"), shingle)
@@ -117,28 +157,18 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, shingle: int = SHIN
     documents = documents.where("doc_id is not null").select("doc_id", "text")
     sizes = sorted(row[0] for row in items.select("size").distinct().collect())
     plain = documents.select("doc_id", _plain(F.col("text")).alias("plain"))
-    starts = _bounded(saved(items.select(
-        "n_words", "size", F.posexplode("grams").alias("offset", "gram"))
-        .select("gram", "size", "n_words", "offset").distinct(), "benchmark-offsets"))
-    spots = None
-    for size in sizes:
-        runs = plain.select("doc_id", F.posexplode(_grams(F.col("plain"), size))
-                            .alias("at", "gram"))
-        hits = runs.join(starts.where(F.col("size") == size), "gram").select(
-            "doc_id", F.greatest(F.col("at") - F.col("offset"), F.lit(0)).alias("start_word"),
-            "n_words", "size")
-        spots = hits if spots is None else spots.union(hits)
-    if spots is None:
+    if not sizes:
         return documents.sparkSession.createDataFrame(
             [], "doc_id bigint, item_id bigint, start_word int, n_words int, similarity double")
-    spots = saved(spots.distinct(), "benchmark-spots")
+    meant = saved(spots(plain, items, weights, percent), "benchmark-spots")
+    places = meant.drop("item").distinct()
 
     # The windows' runs, of the documents concerned alone.
-    held = pick(plain, spots.select("doc_id"))
+    held = pick(plain, meant.select("doc_id"))
     windows = None
     for size in sizes:
         part = (held.select("doc_id", _grams(F.col("plain"), size).alias("grams"))
-                .join(spots.where(F.col("size") == size), "doc_id")
+                .join(places.where(F.col("size") == size), "doc_id")
                 .select("doc_id", "start_word", "n_words", F.array_distinct(F.expr(
                     "slice(grams, start_word + 1, n_words - size + 1)")).alias("grams"))
                 .where(F.size("grams") > 0))
@@ -147,6 +177,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, shingle: int = SHIN
                     "benchmark-windows")
     contents = windows.groupBy("content").agg(F.first("grams").alias("grams"))
     contents = saved(contents, "benchmark-contents")
+    candidates = (windows.select("doc_id", "start_word", "n_words", "content")
+                  .join(meant, ["doc_id", "start_word", "n_words"])
+                  .select("content", "item").distinct())
 
     known = _bounded(weights)
 
@@ -163,7 +196,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, shingle: int = SHIN
         "item", F.col("print").alias("item_print"), F.col("mass").alias("item_mass"),
         F.explode(_blocks(flips=True)).alias("key")), "benchmark-keys"))
     near = (prints.select("content", "print", "mass", F.explode(_blocks(flips=False)).alias("key"))
-            .join(keys, "key")
+            .join(candidates, "content").join(keys, ["item", "key"])
             .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
             .select("content", "mass", "item", "item_mass").distinct())
 
@@ -177,9 +210,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, shingle: int = SHIN
     alike = (near.join(contents, "content").join(weighed, "item")
              .withColumn("common", common).withColumn("similarity", similarity)
              .where(F.col("similarity") >= percent / 100 - 1e-9)
-             .join(items.select("item", "item_id").distinct(), "item")
-            .select("content", "item_id", "similarity"))
-    return (windows.join(alike, "content").groupBy("doc_id", "item_id").agg(
+              .join(items.select("item", "item_id", "n_words").distinct(), "item")
+             .select("content", "n_words", "item_id", "similarity"))
+    return (windows.join(alike, ["content", "n_words"]).groupBy("doc_id", "item_id").agg(
         F.min(F.struct((-F.col("similarity")).alias("s"), "start_word", "n_words")).alias("best"))
         .select("doc_id", "item_id", "best.start_word", "best.n_words",
                 (-F.col("best.s")).alias("similarity")))

@@ -90,6 +90,32 @@ def test_decontamination_with_repeated_rows(docs, spark):
     assert found == {(1, 0): 1, (2, 0): 1, (3, 1): round(45 / 55, 9), (3, 2): round(45 / 55, 9)}
 
 
+def test_decontamination_of_a_common_run(docs, spark):
+    """A line that all items share leads to none of them, and hides no item."""
+    rng = random.Random(11)
+
+    def text(n):
+        return [f"t{rng.randrange(10 ** 6)}" for _ in range(n)]
+
+    line = text(40)
+    named = [(i, line + text(20)) for i in range(60)]
+    rows = [(d, text(20) + line + text(20)) for d in range(40)]
+    rows += [(100 + i, text(5) + w[:50] + ["new"] + w[51:]) for i, w in named[:8]]
+    rows += [(200, line), (201, named[3][1] + named[4][1])]
+    rows = [(d, " ".join(w)) for d, w in rows]
+    named = [(i, " ".join(w)) for i, w in named]
+    benchmark = spark.createDataFrame(named, "item_id bigint, text string")
+    items = decontaminate._items(benchmark, 5)
+    plain = docs(rows).select("doc_id", F.col("text").alias("plain"))
+    meant = decontaminate.spots(plain, items, decontaminate._weights(items), 80)
+    pairs = {(r.doc_id, r.item) for r in meant.select("doc_id", "item").collect()}
+    assert len(pairs) == 10 and {d for d, _ in pairs} == {*range(100, 108), 201}
+    found = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in
+             decontaminate.contaminated(docs(rows), benchmark).collect()}
+    assert found == brute_contaminated(rows, named)
+    assert {(201, 3), (201, 4)} <= set(found)
+
+
 def test_decontamination_query(spark, folder, corpus):
     items = [(r.item_id, r.text) for r in
              spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
