@@ -8,18 +8,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import LOWER, chunks, map_arrow, mixed, saved
 
 #: Labelled documents of each language that the text model is fitted on, at most,
-#: and the longest of them in bytes.
+#: and the characters of each that it is fitted on (pages are read whole).
 SAMPLE_PER_LANGUAGE = 1_500
-SAMPLE_BYTES = 100_000
-#: Languages told apart, at most.
-LANGUAGES = 256
+SAMPLE_CHARS = 100_000
 SLOTS_BITS = 13
 #: Neighbouring byte triples overlap, so each counts as a third of an observation.
 TEMPER = 1 / 3
@@ -50,29 +48,39 @@ def triples(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (mixed(code[same]) >> np.uint64(64 - SLOTS_BITS)).astype(np.int64), text[2:][same]
 
 
+def _sample(known: DataFrame) -> DataFrame:
+    """(lang, text) of at most SAMPLE_PER_LANGUAGE different rows of each language.
+
+    One scan counts each language's rows about, a second keeps by hash some twice as
+    many as are wanted, so what is ranked does not grow with the table.
+    """
+    known = known.select("lang", "text", F.xxhash64("doc_id", "text").alias("row"))
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("row").alias("rows"))
+    chance = F.pmod(F.xxhash64(F.lit(3), "row"), F.lit(1 << 30)) / float(1 << 30)
+    some = known.join(sizes, "lang").where(
+        chance * F.col("rows") <= 2.0 * SAMPLE_PER_LANGUAGE).select("lang", "row").distinct()
+    ranked = some.withColumn("rank", F.row_number().over(
+        Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(3), "row"), "row")))
+    chosen = saved(ranked.where(F.col("rank") <= SAMPLE_PER_LANGUAGE).select("lang", "row"),
+                   "language-sample")
+    return (known.join(chosen, ["lang", "row"], "left_semi")
+            .select("lang", "row", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+            .dropDuplicates(["lang", "row"]).select("lang", "text"))
+
+
 def train(documents: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages, and the log-likelihood of each hashed byte triple in each of them.
 
+    Every language of a document with text is told apart, however many there are.
     Counts a bounded sample of labelled documents by grouped aggregation; the
-    driver gets at most 2**SLOTS_BITS counts a language.
+    driver gets at most 2**SLOTS_BITS counts a language (64 KB).
     """
     known = documents.where(F.col("lang").isNotNull() & (F.octet_length("text") > 0))
-    top = (known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-           .orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
-    languages = sorted(row["lang"] for row in top)
+    languages = sorted(row["lang"] for row in known.select("lang").distinct().collect())
     counts = np.full((len(languages), 1 << SLOTS_BITS), 0.5)
     if not languages:
         return languages, counts
-    some = None
-    for language in languages:
-        part = (known.where((F.col("lang") == language)
-                            & (F.octet_length("text") <= SAMPLE_BYTES))
-                .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PER_LANGUAGE)
-                .select("doc_id"))
-        some = part if some is None else some.union(part)
-    # At most SAMPLE_PER_LANGUAGE * LANGUAGES identifiers.
-    sample = known.join(F.broadcast(some.distinct()), "doc_id", "left_semi").where(
-        F.octet_length("text") <= SAMPLE_BYTES).select("lang", "text")
+    sample = _sample(known)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {language: i for i, language in enumerate(languages)}
@@ -149,38 +157,65 @@ def address_code(url: Column) -> Column:
     return F.when(part != "", part).otherwise(suffix)
 
 
-def _normal(frame: DataFrame, log: str, name: str) -> DataFrame:
-    """``frame`` with ``name``: probabilities of an array of logarithms."""
-    frame = frame.withColumn("_top", F.array_max(log))
-    frame = frame.withColumn("_raised", F.transform(log, lambda x: F.exp(x - F.col("_top"))))
-    total = F.aggregate("_raised", F.lit(0.0), lambda s, x: s + x)
-    return frame.withColumn("_total", total).withColumn(
-        name, F.transform("_raised", lambda x: x / F.col("_total"))
-    ).drop("_top", "_raised", "_total")
+def _normal(frame: DataFrame, logs: list[str], name: str) -> DataFrame:
+    """``frame`` with ``name``: probabilities of the sum of arrays of logarithms.
+
+    In numpy, as nested array functions would be evaluated anew for each element.
+    """
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = sum(_rows(batch.column(log)) for log in logs)
+            raised = np.exp(total - total.max(axis=1, keepdims=True, initial=-np.inf))
+            shares = raised / raised.sum(axis=1, keepdims=True)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(list(shares), pa.list_(pa.float64()))],
+                [*batch.schema.names, name])
+
+    return map_arrow(frame, apply, T.StructType(
+        [*frame.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))]))
+
+
+def _rows(arrays: pa.Array) -> np.ndarray:
+    """Arrays of one length as the rows of a matrix."""
+    return arrays.flatten().to_numpy(zero_copy_only=False).reshape(len(arrays), -1) \
+        if len(arrays) else np.zeros((0, 1))
+
+
+def _soft(frame: DataFrame, by: list[str], column: str) -> DataFrame:
+    """(by, k, s): the sum of each place of an array of probabilities, zeros left out."""
+    return (frame.select(*by, F.posexplode(column).alias("k", "p")).where("p > 0")
+            .groupBy(*by, "k").agg(F.sum("p").alias("s")))
 
 
-def _sums(column: str, size: int) -> list[Column]:
-    return [F.sum(F.col(column)[k]).alias(f"s{k}") for k in range(size)]
+def _arrays(soft: DataFrame, by: list[str], size: int, name: str) -> DataFrame:
+    """``by``, ``name`` and ``mass``: the sums of each group as an array of ``size`` places,
+    and their total."""
+    zeros = soft.select(*by).distinct().select(
+        *by, F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("k"), F.lit(0.0).alias("s"))
+    dense = soft.select(*by, "k", "s").union(zeros).groupBy(*by, "k").agg(F.sum("s").alias("s"))
+    return dense.groupBy(*by).agg(
+        F.sum("s").alias("mass"), F.array_sort(F.collect_list(F.struct("k", "s"))).alias("e")
+    ).select(*by, F.transform("e", lambda x: x["s"]).alias(name), "mass")
 
 
-def _plus(a: str, b: str) -> Column:
+def _plus(a: str, b: str | Column) -> Column:
     return F.zip_with(a, b, lambda x, y: x + y)
 
 
-def _reliability(frame: DataFrame, by: str, languages: list[str]) -> Column:
-    """log P(code | language) as a map looked up by ``by``, from all rows' soft counts.
+def _reliability(frame: DataFrame, by: str, name: str, languages: list[str]) -> DataFrame:
+    """``frame`` with ``name``, log P(code | language), from all rows' soft counts.
 
     There are at most two codes more than languages.
     """
-    rows = frame.groupBy(by).agg(*_sums("p", len(languages))).collect()
     codes = [*languages, "other", "none"]
+    place = {code: i for i, code in enumerate(codes)}
     counts = np.full((len(codes), len(languages)), SMOOTHING)
-    for row in rows:
-        counts[codes.index(row[by])] += [row[f"s{k}"] or 0.0 for k in range(len(languages))]
+    for row in _soft(frame, [by], "p").collect():
+        counts[place[row[by]], row["k"]] += row["s"]
     logs = np.log(counts / counts.sum(axis=0, keepdims=True))
-    table = F.create_map(*(x for code, values in zip(codes, logs) for x in (
-        F.lit(code), F.array(*(F.lit(float(v)) for v in values)))))
-    return F.element_at(table, F.col(by))
+    table = frame.sparkSession.createDataFrame(
+        list(zip(codes, logs.tolist())), f"{by} string, {name} array<double>")
+    return frame.join(table, by)
 
 
 def identify(pages: DataFrame, documents: DataFrame) -> DataFrame:
@@ -192,7 +227,8 @@ def identify(pages: DataFrame, documents: DataFrame) -> DataFrame:
     pages' soft counts, smoothed towards its domain's, and that towards the whole;
     hosts are aggregated with map-side sums, so a host with a third of all pages
     is a few rows, and joined back with the plain equality that adaptive
-    execution may split.
+    execution may split.  The tables of codes grow with the square of the number of
+    languages: 32 MB for 2,000.
 
     A NULL or empty page has no text evidence and is decided by the rest, NULL
     addresses share the empty host; rows that repeat a page_id stand each for
@@ -212,28 +248,22 @@ def identify(pages: DataFrame, documents: DataFrame) -> DataFrame:
         _among(address_code(F.col("url")), languages).alias("address"),
         _among(declared(F.col("html")), languages).alias("declared"), "html")
     rows = rows.withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1))
-    rows = saved(_normal(text_evidence(rows, model), "text_log", "p"), "language-evidence")
-    for_declared = _reliability(rows, "declared", languages)
-    for_address = _reliability(rows, "address", languages)
-    rows = (rows.withColumn("d", for_declared).withColumn("a", for_address)
-            .withColumn("own", _plus("text_log", "d")).withColumn("own", _plus("own", "a")))
-    rows = _normal(rows, "own", "q")
-
-    hosts = saved(rows.groupBy("host", "domain").agg(*_sums("q", size)), "language-hosts")
-    names = [f"s{k}" for k in range(size)]
-    whole = hosts.agg(*(F.sum(n).alias(n) for n in names)).first()
-    total = sum(whole[n] or 0.0 for n in names) + size * SMOOTHING
-    base = [((whole[n] or 0.0) + SMOOTHING) / total for n in names]
-    domains = hosts.groupBy("domain").agg(*(F.sum(n).alias(n) for n in names))
-    mass = sum((F.col(n) for n in names), F.lit(0.0))
-    domains = domains.select("domain", F.array(*(
-        (F.col(n) + DOMAIN_WEIGHT * F.lit(float(b))) / (mass + DOMAIN_WEIGHT)
-        for n, b in zip(names, base))).alias("of_domain"))
-    priors = hosts.join(domains, "domain").select("host", F.array(*(
-        F.log((F.col(n) + HOST_WEIGHT * F.col("of_domain")[k]) / (mass + HOST_WEIGHT))
-        for k, n in enumerate(names))).alias("prior"))
-    fused = rows.join(priors, "host").withColumn("fused", _plus("own", "prior"))
-    fused = _normal(fused, "fused", "r")
+    rows = saved(_normal(text_evidence(rows, model), ["text_log"], "p"), "language-evidence")
+    rows = _reliability(_reliability(rows, "declared", "d", languages), "address", "a", languages)
+    own = _normal(rows.select("host", "domain", "text_log", "d", "a"), ["text_log", "d", "a"], "q")
+    soft = saved(_soft(own, ["host", "domain"], "q"), "language-hosts")
+    base = np.full(size, SMOOTHING)
+    for row in soft.groupBy("k").agg(F.sum("s").alias("s")).collect():
+        base[row["k"]] += row["s"]
+    whole = F.array(*(F.lit(float(b)) for b in DOMAIN_WEIGHT * base / base.sum()))
+    domains = _arrays(soft.groupBy("domain", "k").agg(F.sum("s").alias("s")), ["domain"], size, "n")
+    domains = domains.select("domain", F.transform(
+        _plus("n", whole), lambda x: x / (F.col("mass") + DOMAIN_WEIGHT)).alias("of_domain"))
+    hosts = _arrays(soft, ["host", "domain"], size, "n").join(domains, "domain")
+    priors = hosts.select("host", F.transform(
+        F.zip_with("n", "of_domain", lambda n, d: n + HOST_WEIGHT * d),
+        lambda x: F.log(x / (F.col("mass") + HOST_WEIGHT))).alias("prior"))
+    fused = _normal(rows.join(priors, "host"), ["text_log", "d", "a", "prior"], "r")
 
     def best(column: str) -> Column:
         at = F.array_position(column, F.array_max(column)).cast("int")
