@@ -48,16 +48,21 @@ def triples(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (mixed(code[same]) >> np.uint64(64 - SLOTS_BITS)).astype(np.int64), text[2:][same]
 
 
-def _sample(known: DataFrame) -> DataFrame:
+def _sizes(known: DataFrame) -> DataFrame:
+    """(lang, rows): about how many different rows each language has."""
+    return saved(known.groupBy("lang").agg(
+        F.approx_count_distinct(F.xxhash64("doc_id", "text")).alias("rows")), "language-sizes")
+
+
+def _sample(known: DataFrame, sizes: DataFrame) -> DataFrame:
     """(lang, text) of at most SAMPLE_PER_LANGUAGE different rows of each language.
 
-    One scan counts each language's rows about, a second keeps by hash some twice as
-    many as are wanted, so what is ranked does not grow with the table.
+    One scan keeps by hash some twice as many as are wanted, so what is ranked does
+    not grow with the table; ``sizes`` has a row a language.
     """
     known = known.select("lang", "text", F.xxhash64("doc_id", "text").alias("row"))
-    sizes = known.groupBy("lang").agg(F.approx_count_distinct("row").alias("rows"))
     chance = F.pmod(F.xxhash64(F.lit(3), "row"), F.lit(1 << 30)) / float(1 << 30)
-    some = known.join(sizes, "lang").where(
+    some = known.join(F.broadcast(sizes), "lang").where(
         chance * F.col("rows") <= 2.0 * SAMPLE_PER_LANGUAGE).select("lang", "row").distinct()
     ranked = some.withColumn("rank", F.row_number().over(
         Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(3), "row"), "row")))
@@ -76,11 +81,12 @@ def train(documents: DataFrame) -> tuple[list[str], np.ndarray]:
     driver gets at most 2**SLOTS_BITS counts a language (64 KB).
     """
     known = documents.where(F.col("lang").isNotNull() & (F.octet_length("text") > 0))
-    languages = sorted(row["lang"] for row in known.select("lang").distinct().collect())
+    sizes = _sizes(known)
+    languages = sorted(row["lang"] for row in sizes.select("lang").collect())
     counts = np.full((len(languages), 1 << SLOTS_BITS), 0.5)
     if not languages:
         return languages, counts
-    sample = _sample(known)
+    sample = _sample(known, sizes)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {language: i for i, language in enumerate(languages)}

@@ -377,7 +377,8 @@ def test_many_languages(spark, docs):
     rows += [rows[9]] * 5000 + [(900, text(names[9], 80), names[9])]
     rows += [(901, "x", None), (902, None, "zz"), (903, "", "zy")]
     labelled = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
-    assert langid._sample(labelled.where("lang = 'aj'")).count() == 2
+    copies = labelled.where("lang = 'aj'")
+    assert langid._sample(copies, langid._sizes(copies)).count() == 2
     languages, _ = langid.train(labelled)
     assert languages == sorted(names) and len(names) > 256
     pages = spark.createDataFrame(
