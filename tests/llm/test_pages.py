@@ -263,6 +263,69 @@ def test_vectors_query_recall(spark, folder):
     assert sum(found.values()) >= 0.9 * sum(n for n, _ in want.values())
 
 
+def made_vectors(pairs, crowd, wide, seed=5):
+    """Pairs of cosine 0.951, a crowd of near copies, and one whose cosines lie about
+    the threshold."""
+    rng = np.random.default_rng(seed)
+
+    def units(n):
+        points = rng.normal(size=(n, 64))
+        return points / np.linalg.norm(points, axis=1)[:, None]
+
+    base, aside = units(pairs), units(pairs)
+    aside -= (aside * base).sum(1)[:, None] * base
+    aside /= np.linalg.norm(aside, axis=1)[:, None]
+    points = np.vstack([base, 0.951 * base + np.sqrt(1 - 0.951 ** 2) * aside,
+                        units(1) + 0.02 * rng.normal(size=(crowd, 64)),
+                        units(1) + 0.03 * rng.normal(size=(wide, 64))])
+    return points / np.linalg.norm(points, axis=1)[:, None]
+
+
+@pytest.mark.parametrize("lists", [None, 400])
+def test_vectors_recall_on_pairs_and_crowds(spark, lists):
+    pairs = 1_500
+    points = made_vectors(pairs, crowd=600, wide=400)
+    near = points @ points.T >= 0.95
+    np.fill_diagonal(near, False)
+    frame = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)],
+                                  "vec_id bigint, embedding array<double>")
+    rows = {r.vec_id: r for r in vectors.near_duplicates(frame, lists=lists).collect()}
+    found = np.array([rows[i].n_links for i in range(len(points))])
+    assert (found <= near.sum(1)).all()
+    for part in (slice(0, 2 * pairs), slice(2 * pairs, None)):
+        assert near[part].sum() >= 3_000 and found[part].sum() >= 0.98 * near[part].sum()
+    # Of planted pairs, both ends tell of the link or neither does.
+    assert (found[:pairs] == found[pairs:2 * pairs]).all()
+    linked = [i for i in range(pairs) if found[i]]
+    assert all(rows[pairs + i].component_id == rows[i].component_id == i for i in linked)
+
+
+def test_a_link_found_from_one_end_counts_for_both(spark):
+    points = made_vectors(400, crowd=0, wide=0)
+    frame = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)],
+                                  "vec_id bigint, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in
+             vectors.near_duplicates(frame, lists=60, probes=2).collect()}
+    ends = [(found[i], found[400 + i]) for i in range(400)]
+    assert all(a == b for a, b in ends) and 0 < sum(a for a, _ in ends) < 400
+
+
+def test_centroids_stand_apart():
+    points = made_vectors(50, crowd=200, wide=0)
+    index = vectors.fit(points, lists=60, apart=0.45)
+    gaps = np.linalg.norm(index.centroids[:, None] - index.centroids[None], axis=2)
+    np.fill_diagonal(gaps, 1)
+    assert gaps.min() >= 0.45 and len(index.centroids) < 60
+
+
+def test_tile_components():
+    rng = np.random.default_rng(1)
+    left, right = rng.integers(0, 300, (2, 200))
+    node, top = vectors._components(left, right)
+    want = groups(zip(left.tolist(), right.tolist()), {*left.tolist(), *right.tolist()})
+    assert dict(zip(node.tolist(), top.tolist())) == {n: t for n, t in want.items() if n != t}
+
+
 def test_coding_error_bounds_the_distance():
     rng = np.random.default_rng(3)
     points = rng.normal(size=(300, 10))
