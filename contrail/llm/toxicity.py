@@ -191,9 +191,13 @@ def score(documents: DataFrame, model: Model, bits: int = BITS, name: str = "tox
 def reject(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents that score below ``threshold``, with their own columns whatever
     their names.  Rows without text or doc_id are scored like others; repeated rows stay
-    or go together; without documents there are none."""
+    or go together; without documents there are none.  Where there is no label to learn
+    from, all documents stay."""
+    model = train(documents, labels)
+    if not len(model.features) and not model.bias:
+        return documents
     name = "toxicity"
     while name in documents.columns:
         name += "_"
-    return (score(documents, train(documents, labels), name=name)
+    return (score(documents, model, name=name)
             .where(F.col(name) < threshold).select(*documents.columns))
