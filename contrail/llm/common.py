@@ -63,6 +63,27 @@ def pick(frame: DataFrame, ids: DataFrame, keep: bool = True) -> DataFrame:
     return frame.join(ids, "doc_id", "left_semi" if keep else "left_anti")
 
 
+def told_apart(documents: DataFrame, name: str = "_row") -> tuple[DataFrame, bool]:
+    """``documents`` with a number ``name``, and whether any doc_id repeats.
+
+    It is the doc_id; rows that share one get numbers above all doc_ids, in order of
+    doc_id and text.
+    """
+    row = F.col("doc_id").cast("long")
+    repeated = saved(documents.where("doc_id is not null").groupBy("doc_id")
+                     .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"),
+                     "repeated-ids")
+    if repeated.isEmpty():
+        return documents.withColumn(name, row), False
+    top = documents.agg(F.max(row)).first()[0]
+    own = saved(pick(documents, repeated)
+                .repartitionByRange("doc_id", "text", F.monotonically_increasing_id())
+                .sortWithinPartitions("doc_id", "text", F.xxhash64(*documents.columns))
+                .withColumn(name, F.lit(top + 1).cast("long") + F.monotonically_increasing_id()),
+                "told-apart")
+    return pick(documents, repeated, keep=False).withColumn(name, row).unionByName(own), True
+
+
 def ship(spark: SparkSession) -> None:
     """Hand this package to the Python workers, once per application.
 

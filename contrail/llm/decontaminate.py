@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import pick, saved
+from .common import pick, saved, told_apart
 
 SHINGLE = 5
 PERCENT = 80
@@ -219,5 +219,22 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, shingle: int = SHIN
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item."""
-    return pick(documents, contaminated(documents, benchmark), keep=False)
+    """The documents that hold no benchmark item.
+
+    Rows without doc_id and NULL or empty texts stay.  Of rows that share a doc_id each
+    is judged by its own text: where one holds an item, they are looked at row by row.
+    Other columns stay as they are, whatever their names.
+    """
+    found = saved(contaminated(documents, benchmark).select("doc_id").distinct(),
+                  "benchmark-found")
+    kept = pick(documents, found, keep=False)
+    row = "_row"
+    while row in documents.columns:
+        row += "_"
+    told, repeats = told_apart(pick(documents, found), row)
+    if not repeats:
+        return kept
+    gone = contaminated(told.select(F.col(row).alias("doc_id"), "text"), benchmark).select(
+        F.col("doc_id").alias(row)).distinct()
+    return kept.unionByName(told.join(saved(gone, "benchmark-gone"), row, "left_anti")
+                            .select(*documents.columns))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (NON_SPACE, Words, chunks, components, forest, map_arrow, mixed, pick,
-                     saved, ship)
+                     saved, ship, told_apart)
 
 HASHES = 100
 #: Chance that a link at the threshold shares no band, at most.
@@ -335,26 +335,6 @@ def _apart_from_leader(members: DataFrame) -> DataFrame:
     return members.join(leaders, "band").where("comp <> lead_comp")
 
 
-def _told_apart(documents: DataFrame, name: str = "_row") -> tuple[DataFrame, bool]:
-    """``documents`` with a number ``name``, and whether any doc_id repeats.
-
-    It is the doc_id; rows that share one get numbers above all doc_ids, in order of
-    doc_id and text.
-    """
-    row = F.col("doc_id").cast("long")
-    repeated = saved(documents.where("doc_id is not null").groupBy("doc_id")
-                     .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"),
-                     "minhash-repeated")
-    if repeated.isEmpty():
-        return documents.withColumn(name, row), False
-    top = documents.agg(F.max(row)).first()[0]
-    own = saved(pick(documents, repeated).repartitionByRange("doc_id", "text", F.monotonically_increasing_id())
-                .sortWithinPartitions("doc_id", "text", F.xxhash64(*documents.columns))
-                .withColumn(name, F.lit(top + 1).cast("long") + F.monotonically_increasing_id()),
-                "minhash-told-apart")
-    return pick(documents, repeated, keep=False).withColumn(name, row).unionByName(own), True
-
-
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80,
                     hashes: int = HASHES) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``documents``.
@@ -373,7 +353,7 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80,
     large group of near copies does not emit all its pairs and yet no link
     between components is lost.
     """
-    told, repeats = _told_apart(documents.select("doc_id", "text"))
+    told, repeats = told_apart(documents.select("doc_id", "text"))
     found = _grouped(told.select(F.col("_row").alias("doc_id"), "text"), shingle, percent, hashes)
     if not repeats:
         return found
@@ -442,7 +422,7 @@ def deduplicated(documents: DataFrame, shingle: int = 5, percent: int = 80) -> D
     row = "_row"
     while row in documents.columns:
         row += "_"
-    told, repeats = _told_apart(documents, row)
+    told, repeats = told_apart(documents, row)
     found = saved(_grouped(told.select(F.col(row).alias("doc_id"), "text"), shingle, percent),
                   "minhash-found")
     if not repeats:

@@ -133,6 +133,24 @@ def test_decontamination_stays_native(spark, folder, docs):
     assert not re.search("Python|Pandas|Arrow", text)
 
 
+def test_rows_of_one_id_are_judged_each(spark):
+    rng = random.Random(8)
+
+    def text(n):
+        return " ".join(f"q{rng.randrange(5000)}" for _ in range(n))
+
+    item = text(25)
+    bad = f"{text(20)} {item} {text(20)}"
+    rows = [(1, bad, "a"), (1, text(50), "b"), (1, bad, "c"), (1, None, "d"), (2, bad, "e"),
+            (3, text(30), "f"), (3, text(30), "g"), (None, text(9), "h"), (60, text(30), "i")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _row string")
+    items = spark.createDataFrame([(0, item)], "item_id bigint, text string")
+    found = decontaminate.decontaminated(docs, items)
+    assert found.columns == docs.columns
+    assert sorted(r["_row"] for r in found.collect()) == list("bdfghi")
+
+
+
 # HTML
 
 PAGE = """<!DOCTYPE html><html lang="en"><head><title>No &amp; no</title><style>p{}</style>
