@@ -92,6 +92,8 @@ def frequent_values_bounded(frame: DataFrame, column: str, n: int = 10, name: st
     left_open = held.where(F.col("lower") + error >= bar).select("value")
     if error >= bar or left_open.limit(OPEN_VALUES + 1).count() > OPEN_VALUES:
         return frequent_values(frame, column, n, True, name)
-    same = F.col(column).eqNullSafe(F.col("value"))
-    counted = frame.select(column).join(F.broadcast(left_open), same, "left_semi")
+    # Names of their own: the column may be called as a summary's are.
+    seen, wanted = frame.select(F.col(column).alias("seen")), left_open.toDF("wanted")
+    same = F.col("seen").eqNullSafe(F.col("wanted"))
+    counted = seen.join(F.broadcast(wanted), same, "left_semi").toDF(column)
     return frequent_values(counted, column, n, True, name)

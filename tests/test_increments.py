@@ -353,6 +353,18 @@ def test_bounded_top_n_is_exact(spark, capacity, monkeypatch):
                         .collect())) == list(map(str, real(frame, "v", n).collect()))
 
 
+@pytest.mark.parametrize("column", ["value", "lower", "error", "seen", "wanted"])
+def test_bounded_top_n_of_a_column_named_as_its_own(spark, column, monkeypatch):
+    rows = []
+    real = heavy.frequent_values
+    monkeypatch.setattr(heavy, "frequent_values", lambda *a: rows.append(a[0].count()) or real(*a))
+    frame = spark.range(0, 40_000, 1, 4).select(F.when(
+        F.col("id") % 3 > 0, F.col("id") % 5).otherwise(F.col("id")).alias(column))
+    found = heavy.frequent_values_bounded(frame, column, 5, capacity=16).collect()
+    assert found == real(frame, column, 5).collect()
+    assert rows and rows[0] < 40_000  # by the second scan, not by counting everything
+
+
 def test_bounded_top_n_shuffles_no_more_than_its_summaries(spark):
     frame = spark.range(0, 60_000, 1, 4).select(F.when(
         F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("v"))
