@@ -398,7 +398,7 @@ def land_stream_mixed(spark, folder):
 def land_bounded(spark, folder):
     """A landing of at most eight of twelve files in two folders, then one of the rest."""
     root = scratch_folder(spark, "bounded")
-    flights = raw_flights(spark, folder).repartition(6)
+    flights = raw_flights(spark, folder, parts=6)
     sources = [f"{root}/classic", f"{root}/modern"]
     for source, rows in zip(sources, (flights, flights.select(
             *(F.col(c).alias(c) for c in reversed(C.FLIGHT_COLUMNS))))):

@@ -109,9 +109,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def raw_flights(spark: SparkSession, folder: str) -> DataFrame:
-    """The 29 flight columns with their documented types."""
-    lines = table(spark, folder, "lineitem").selectExpr(
+FLIGHT_SOURCE = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                 "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def raw_flights(spark: SparkSession, folder: str, parts: int | None = None) -> DataFrame:
+    """The 29 flight columns with their documented types; in ``parts`` even partitions
+    if that is given, for which the few columns they are made of are shuffled."""
+    rows = table(spark, folder, "lineitem").select(*FLIGHT_SOURCE)
+    lines = (rows.repartition(parts) if parts else rows).selectExpr(
         "*", *as_select(FLIGHT_PARTS, "string"))
     return lines.selectExpr(*as_select(FLIGHT_EXPRESSIONS, "string"))
 

@@ -1,6 +1,7 @@
 """What runs again works on what is new: manifests, counts, summary, profiles, versions."""
 
 import os
+import re
 import time
 from types import SimpleNamespace
 
@@ -16,14 +17,17 @@ from contrail.plans import questions
 from contrail.plans.gold import GoldState
 from contrail.plans.lakehouse import Lake, account, refresh_flights
 from contrail.plans.profile_store import ProfileStore
+from contrail.plans.samples import FLIGHT_SOURCE, raw_flights
 from contrail.sources import manifest as M
 from contrail.sources.bucketed import SALT, join_bucketed, store_dimension, store_fact
-from contrail.sources.landing import any_of, count_rows, read_landed
+from contrail.sources.csv_files import scan_csv
+from contrail.sources.landing import (_by_file, _position_schema, any_of, count_rows,
+                                      file_headers, read_landed)
 from contrail.sources.versions import TableVersions
 from contrail.streaming.control import ProgressLog, finish, progress_table
 from contrail.streaming.hops import land_new_files, stream_writer
 from tests.test_plans import explain
-from tests.test_sources import flight_file, modern_header
+from tests.test_sources import flight_file, modern_header, same_rows
 
 
 @pytest.fixture
@@ -161,6 +165,26 @@ def test_bound_holds_over_all_folders_and_oldest_come_first(spark, tmp_path):
     assert len(list((tmp_path / "done").rglob("0.csv"))) == 1
 
 
+def test_files_are_matched_to_rows_without_moving_them(spark, tmp_path):
+    flight_file(tmp_path / "a.csv", C.FLIGHT_COLUMNS, {"Year": 1987})
+    (header,) = {row.header for row in file_headers(spark, str(tmp_path)).collect()}
+    found = spark.createDataFrame([(f"file://{tmp_path}/a.csv", header)],
+                                  "path string, header string")
+    rows = scan_csv(spark, str(tmp_path), _position_schema(29)).select(
+        "*", F.col("_metadata.file_path").alias("source_file"))
+    plan = explain(_by_file(rows, [header], found), "simple")
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_even_partitions_move_source_columns_only(spark, folder):
+    flights = raw_flights(spark, folder, parts=6)
+    assert flights.rdd.getNumPartitions() == 6
+    moved = re.search(r"Exchange RoundRobinPartitioning.*?Output \[(\d+)\]|"
+                      r"Exchange\s*\nInput \[(\d+)\]", explain(flights, "formatted"), re.DOTALL)
+    assert int(moved[1] or moved[2]) == len(FLIGHT_SOURCE)
+    assert same_rows(flights, raw_flights(spark, folder))
+
+
 def test_odd_names_are_landed(spark, tmp_path):
     _, land = _landing(spark, tmp_path)
     names = ["a,b.csv", "c{d}.csv", "[e]*.csv", "f g.csv", "h\\i.csv", "100%25.csv"]
