@@ -14,6 +14,8 @@ from ..operators.heavy import frequent_values_bounded
 from .manifest import Registry
 
 SALT = "bucket_salt"
+#: Tasks that share the writing of a bucket, by the hash of its keys.
+TASKS_A_BUCKET = 8
 
 
 def hot_keys(fact: DataFrame, key: str, buckets: int) -> DataFrame:
@@ -54,7 +56,8 @@ def store_dimension(dimension: DataFrame, hot: DataFrame, name: str, path: str,
 
 
 def _store(frame: DataFrame, name: str, path: str, key: str, buckets: int) -> None:
-    (frame.repartition(buckets, key, SALT).write.bucketBy(buckets, key, SALT)
+    # A multiple of the buckets: the rows of a task belong to one bucket.
+    (frame.repartition(buckets * TASKS_A_BUCKET, key, SALT).write.bucketBy(buckets, key, SALT)
      .sortBy(key, SALT).option("path", path).saveAsTable(name))
 
 

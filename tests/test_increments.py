@@ -404,6 +404,18 @@ def test_bounded_top_n_shuffles_no_more_than_its_summaries(spark):
 
 # -- buckets ----------------------------------------------------------------
 
+def test_a_bucket_is_written_by_several_tasks(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS default.bucket_parts")
+    rows = spark.range(5000).select((F.col("id") % 700).alias("k"), "id")
+    try:
+        store_fact(rows, "default.bucket_parts", str(tmp_path / "f"), "k", 4)
+        files = [re.search(r"_(\d+)\.c000", f.name)[1] for f in (tmp_path / "f").glob("part-*")]
+        assert len(files) == 4 * 8 and len(set(files)) == 4  # each file in one bucket
+        assert _bag(spark.table("default.bucket_parts").select("k", "id")) == _bag(rows)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS default.bucket_parts")
+
+
 def test_bucketed_join_moves_no_row(spark, tmp_path):
     flights = spark.range(4000).select(
         F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 5 == 0, F.lit(None))
