@@ -146,7 +146,8 @@ def reconcile_landing(spark, folder):
     land(raw_flights(spark, folder), root)
     landed = read_landed(spark, root)
     silver = clean_flights(add_ingest_metadata(landed, SOURCE_LABEL, "Year"))
-    write_table(silver, f"{root}-silver", [C.YEAR_PARTITION])
+    # A landed file holds one month.
+    write_table(silver, f"{root}-silver", [C.YEAR_PARTITION], regroup=False)
     return require_reconciled(landed, spark.read.parquet(f"{root}-silver"))
 
 

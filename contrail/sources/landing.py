@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from .. import contracts as C
 from ..functions import to_whole
-from ..session import scratch_folder
+from ..session import scratch_folder, writers_open
 from .csv_files import PLAIN_CSV, list_csv, literal_path, scan_csv, stream_csv
 from .tables import refuse_streamed
 
@@ -218,14 +218,17 @@ def _contract_columns(header: Sequence[str]) -> list[Column]:
 
 def _by_file(rows: DataFrame, lines: Sequence[str], found: DataFrame) -> DataFrame:
     """Positional rows with ``source_file`` to contract columns, by their file's header
-    (``found`` has path and header, ``lines`` the distinct headers)."""
+    (``found`` has path and header, ``lines`` the distinct headers).
+
+    The files go to the rows: a shuffle would bring all rows of a file to one task.
+    """
     positions = [contract_positions(split_header(line)) for line in lines]
     kind = reduce(lambda made, item: made.when(F.col("header") == item[1], item[0]),
                   enumerate(lines), F.when(F.lit(False), -1))
     kinds = found.select(F.col("path").alias("source_file"), kind.alias("_kind"))
     unknown = F.raise_error(F.concat(F.lit("no header was read of "), F.col("source_file")))
     known = F.when(F.col("_kind").isNull(), unknown.cast("int")).otherwise(F.col("_kind"))
-    joined = rows.join(kinds, "source_file", "left").withColumn("_kind", known)
+    joined = rows.join(F.broadcast(kinds), "source_file", "left").withColumn("_kind", known)
 
     def column(name: str) -> Column:
         at: dict[int, list[int]] = {}
@@ -266,8 +269,30 @@ def land(flights: DataFrame, target: str, mode: str = "errorifexists",
     refuse_streamed(flights.sparkSession, target, mode)
     keyed = with_land_keys(flights.select(*C.FLIGHT_COLUMNS))
     if regroup:
-        keyed = keyed.hint("rebalance", *(F.col(key) for key in LAND_KEYS))
-    keyed.write.mode(mode).partitionBy(*LAND_KEYS).options(**PLAIN_CSV).csv(target)
+        keyed = _regrouped(keyed)
+    with writers_open(flights.sparkSession):
+        keyed.write.mode(mode).partitionBy(*LAND_KEYS).options(**PLAIN_CSV).csv(target)
+
+
+def _regrouped(keyed: DataFrame) -> DataFrame:
+    """Contract rows with their folder keys, a month's rows gathered in few tasks.
+
+    They are moved as the lines of text they become, which take the least space.  A line
+    does not tell empty texts from NULL: a bit for each column does.
+    """
+    kinds = dict(keyed.dtypes)
+    bits = {name: 1 << at for at, name in enumerate(C.FLIGHT_COLUMNS) if kinds[name] == "string"}
+    empty = reduce(Column.__add__, (F.when(F.col(name) == "", bit).otherwise(0)
+                                    for name, bit in bits.items()), F.lit(0))
+    moved = keyed.select(F.to_csv(F.struct(*C.FLIGHT_COLUMNS), PLAIN_CSV).alias("line"),
+                         empty.alias("empty"), *LAND_KEYS).hint(
+        "rebalance", *(F.col(key) for key in LAND_KEYS))
+    schema = ", ".join(f"`{name}` string" for name in C.FLIGHT_COLUMNS)
+    read = moved.select(F.from_csv("line", schema, PLAIN_CSV).alias("row"), "empty", *LAND_KEYS)
+    return read.select(*(
+        (F.when(F.col("empty").bitwiseAND(bits[name]) != 0, "").otherwise(F.col(f"row.{name}"))
+         if name in bits else F.col(f"row.{name}")).alias(name) for name in C.FLIGHT_COLUMNS),
+        *LAND_KEYS)
 
 
 def read_landed(spark: SparkSession, target: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from .. import contracts as C
 from ..operators.cleaning import add_ingest_metadata, clean_flights, clean_with_rescue
+from ..session import writers_open
 from ..sources.csv_files import PLAIN_CSV
 from ..sources.landing import LAND_KEYS, stream_landed, stream_pinned, with_land_keys
 from ..sources.manifest import SourceManifest
@@ -51,9 +52,10 @@ def start_landing(sources: list[DataFrame], target: str, checkpoint: str,
                   until_caught_up: bool = True) -> StreamingQuery:
     """Land streams of contract rows as monthly CSV folders."""
     rows = with_land_keys(reduce(DataFrame.unionByName, sources))
-    return (stream_writer(rows, checkpoint, LANDING_QUERY, LAND_KEYS, fmt="csv",
-                          until_caught_up=until_caught_up)
-            .options(**PLAIN_CSV).start(target))
+    with writers_open(rows.sparkSession):
+        return (stream_writer(rows, checkpoint, LANDING_QUERY, LAND_KEYS, fmt="csv",
+                              until_caught_up=until_caught_up)
+                .options(**PLAIN_CSV).start(target))
 
 
 def land_new_files(spark: SparkSession, manifest: SourceManifest, sources: list[str],
@@ -95,8 +97,9 @@ def start_bronze(spark: SparkSession, landed: str, bronze: str, checkpoint: str,
     """Landed files to the bronze table, with metadata, partitioned by year."""
     rows = add_ingest_metadata(
         stream_landed(spark, landed, files_per_batch), source, "Year")
-    return stream_writer(rows, checkpoint, name, C.YEAR_PARTITION, fmt=fmt,
-                         until_caught_up=until_caught_up).start(bronze)
+    with writers_open(spark):
+        return stream_writer(rows, checkpoint, name, C.YEAR_PARTITION, fmt=fmt,
+                             until_caught_up=until_caught_up).start(bronze)
 
 
 def start_silver(spark: SparkSession, bronze: str, silver: str, checkpoint: str,
@@ -104,8 +107,9 @@ def start_silver(spark: SparkSession, bronze: str, silver: str, checkpoint: str,
                  name: str = SILVER_QUERY, fmt: str = "parquet") -> StreamingQuery:
     """Bronze table to the silver table, cleaned, partitioned by year."""
     rows = clean_flights(stream_table(spark, bronze, C.BRONZE, fmt, files_per_batch))
-    return stream_writer(rows, checkpoint, name, C.YEAR_PARTITION, fmt=fmt,
-                         until_caught_up=until_caught_up).start(silver)
+    with writers_open(spark):
+        return stream_writer(rows, checkpoint, name, C.YEAR_PARTITION, fmt=fmt,
+                             until_caught_up=until_caught_up).start(silver)
 
 
 def start_silver_with_rescue(spark: SparkSession, bronze: str, target: str, checkpoint: str,
@@ -117,8 +121,9 @@ def start_silver_with_rescue(spark: SparkSession, bronze: str, target: str, chec
     and ``rescued_part``, which each touch their own folders alone.
     """
     rows = clean_with_rescue(stream_table(spark, bronze, C.BRONZE, "parquet", files_per_batch))
-    return stream_writer(rows, checkpoint, name, ("kind", C.YEAR_PARTITION),
-                         until_caught_up=until_caught_up).start(target)
+    with writers_open(spark):
+        return stream_writer(rows, checkpoint, name, ("kind", C.YEAR_PARTITION),
+                             until_caught_up=until_caught_up).start(target)
 
 
 def silver_part(spark: SparkSession, target: str) -> DataFrame:

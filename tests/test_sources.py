@@ -5,7 +5,7 @@ from contrail import contracts as C
 from contrail.plans.catalogue import modern_header, write_source_files
 from contrail.plans.samples import raw_flights
 from contrail.session import (ensure_database, scratch_folder, settings_table,
-                              use_database)
+                              use_database, writers_open)
 from contrail.sources.csv_files import list_csv, scan_csv, schema_of_sample
 from contrail.sources.landing import (contract_positions, file_headers, harmonise,
                                       headers_below, land, landed_months,
@@ -132,6 +132,24 @@ def test_landing_round_trip(spark, folder):
         land(flights, f"{root}-landed")
 
 
+def test_regrouped_files_hold_what_the_rows_held(spark, tmp_path):
+    odd = [None, "", " ", "  a ", '"', '""', 'say "x"', "back\\slash\\", '\\"', "a,b", "a\nb", "a\r\nb",
+           "\r", "\t", "#x", "null", "NaN", "ü", "\U0001f600", "\u0000", "'", ',"', '",', "x" * 70_000]
+    names = C.FLIGHT_COLUMNS
+    rows = spark.createDataFrame(
+        [(("1999", "1") + tuple(odd[(n + at) % len(odd)] for at in range(len(names) - 2)))
+         for n in range(len(odd))], ", ".join(f"`{name}` string" for name in names))
+    typed = rows.withColumns({"Year": F.lit(2001), "Month": F.lit(2.0), "Distance": F.lit(1e-7),
+                              "Diverted": F.lit(True), "TaxiIn": F.lit(float("nan"))})
+    for n, frame in enumerate((rows, typed)):
+        for regroup in (True, False):
+            land(frame, str(tmp_path / f"{n}{regroup}"), regroup=regroup)
+        moved, kept = (sorted(sum((file.read_bytes().split(b"\n")[1:] for file in
+                                   (tmp_path / f"{n}{regroup}").rglob("*.csv")), []))
+                       for regroup in (True, False))
+        assert [line for line in moved if line] == [line for line in kept if line]
+
+
 def test_year_file_gives_twelve_month_folders(spark, tmp_path):
     flight_file(tmp_path / "in" / "1988.csv", C.FLIGHT_COLUMNS,
                 *({"Year": 1988, "Month": m} for m in range(1, 13)))
@@ -152,6 +170,25 @@ def database(spark):
     spark.catalog.setCurrentDatabase(before)
 
 
+def test_partitioned_writes_do_not_sort(spark):
+    setting, sorts = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(setting)
+    with pytest.raises(KeyError), writers_open(spark):
+        sorts.append(spark.conf.get(setting))
+        raise KeyError
+    assert sorts == ["100"] and spark.conf.get(setting) == before
+
+
+@pytest.mark.parametrize("most", [1, 100])
+def test_more_partitions_than_open_writers_lose_no_row(spark, tmp_path, monkeypatch, most):
+    rows = spark.range(5000, numPartitions=1).select("id", (F.col("id") % 150).alias("part"))
+    monkeypatch.setattr("contrail.sources.tables.writers_open",
+                        lambda session: writers_open(session, most))
+    write_table(rows, str(tmp_path / "t"), ["part"], regroup=False)
+    assert same_rows(spark.read.parquet(str(tmp_path / "t")).select(
+        "id", F.col("part").cast("bigint")), rows)
+
+
 def test_write_modes(spark, tmp_path):
     path = str(tmp_path / "t")
     write_table(spark.range(5), path)
