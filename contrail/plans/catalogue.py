@@ -106,8 +106,8 @@ def safe_casts(spark, folder):
         "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag")}
     text["odd"] = F.expr(ODD_NUMBER.replace("STR", "string"))
     return table(spark, folder, "lineitem").select(
-        *(to_whole(column).alias(f"{name}_whole") for name, column in text.items()),
-        *(to_flag(column).alias(f"{name}_flag") for name, column in text.items()))
+        *(to_whole(column, odd=True).alias(f"{name}_whole") for name, column in text.items()),
+        *(to_flag(column, odd=True).alias(f"{name}_flag") for name, column in text.items()))
 
 
 def lookup_passthrough(spark, folder):

@@ -71,6 +71,26 @@ def test_casts_do_not_depend_on_ansi(spark, ansi):
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
+ODD_NUMBERS = ["14.0", "14.9", "-3.7", "+5", "5.", ".5", ".", "-", "+.", "1e3", "1E-2", "e3",
+               "14.9999999", "99999999999", "9" * 40, "NaN", "inf", "14d", "0x1", " 7 ", "\t1\n",
+               "7\x7f", "1 2", "\u0663", "\u00a01", "1\u2028", "NA", "", " ", None]
+ODD_WORDS = ["0", "1", "0.00", "true", " TRUE ", "\x7fy\x00", "No", "t", "f", "n", "yes", "yess",
+             "F\n", "tr ue", "maybe", "\u00a0true", *ODD_NUMBERS]
+
+
+@pytest.mark.parametrize("build, values", [(to_whole, ODD_NUMBERS), (to_flag, ODD_WORDS)])
+def test_odd_texts_cast_alike_with_and_without_pattern(spark, build, values):
+    assert one(spark, values, "string", lambda c: build(c, odd=True)) == one(
+        spark, values, "string", build)
+
+
+def test_odd_texts_do_not_reach_the_cast(spark):
+    plan = spark.createDataFrame([("NA",)], "v string").select(
+        to_whole(F.col("v"), odd=True), to_flag(F.col("v"), odd=True))
+    text = plan._jdf.queryExecution().analyzed().toString()
+    assert "RLIKE(v#" in text and "cast(v#" not in text
+
+
 def test_day(spark):
     rows = [(1987, 1, 5), (1987, 2, 30), (1987, None, 5), (2000, 2, 29), (None, 1, 1),
             (1987, 13, 1), (1987, 12, 31)]
