@@ -71,11 +71,11 @@ def _typed(name: str, kinds: dict[str, str]) -> Column:
 RESCUE = ("column_name", "text")
 
 
-def lost_texts(bronze: DataFrame) -> Column:
+def lost_texts(bronze: DataFrame, typed: dict[str, Column] | None = None) -> Column:
     """What silver's types could not hold, as an array of (column_name, text).
 
     A value that is there in bronze and NULL in silver; of a date that its parts do not
-    make, the parts.
+    make, the parts.  ``typed`` has silver's columns where they are computed already.
     """
     kinds = dict(bronze.dtypes)
     texts = {name: F.col(name).cast("string")
@@ -83,8 +83,9 @@ def lost_texts(bronze: DataFrame) -> Column:
     parts = [F.col(part).cast("string") for part in C.DATE_PARTS]
     texts["date"] = F.when(F.coalesce(*parts).isNotNull(), F.concat_ws(
         "-", *(F.coalesce(part, F.lit("?")) for part in parts)))
+    held = typed or {name: _typed(name, kinds) for name in texts}
     return F.array_compact(F.array(*(
-        F.when(text.isNotNull() & _typed(name, kinds).isNull(), F.struct(
+        F.when(text.isNotNull() & held[name].isNull(), F.struct(
             F.lit(name).alias(RESCUE[0]), text.alias(RESCUE[1])))
         for name, text in texts.items())))
 
@@ -95,18 +96,25 @@ def clean_with_rescue(bronze: DataFrame) -> DataFrame:
 
     Both have silver's columns, ``kind``, column_name, text and source_file; each kind
     fills its own, and both the year.  A projection, so it streams.
+
+    Silver's columns come first, in a projection of their own: as a part of what is
+    exploded they would be computed again, for each row and each row made of it.
     """
     silver = [name for name in C.SILVER.names if name != C.YEAR_PARTITION]
     kinds = dict(bronze.dtypes)
     nothing = F.array(F.struct(*(F.lit(None).cast("string").alias(name) for name in RESCUE)))
-    rows = bronze.select(
-        F.struct(*(_typed(name, kinds).alias(name) for name in C.SILVER.names)).alias("silver"),
-        F.explode(F.concat(nothing, lost_texts(bronze))).alias("lost"),
+    typed = {name: F.col(f"silver_{name}") for name in C.SILVER.names}
+    cleaned = bronze.select(
+        "*", *(_typed(name, kinds).alias(f"silver_{name}") for name in C.SILVER.names),
         F.col("_metadata.file_path").alias("source_file"))
+    found = cleaned.select(*typed.values(), "source_file", F.concat(
+        nothing, lost_texts(bronze, typed)).alias("losses"))
+    # None is empty; of ``explode`` Spark would make a filter that computes all once more.
+    rows = found.select(*typed.values(), "source_file", F.explode_outer("losses").alias("lost"))
     clean = F.col("lost.column_name").isNull()
     return rows.select(
-        F.col(f"silver.{C.YEAR_PARTITION}"),
-        *(F.when(clean, F.col(f"silver.{name}")).alias(name) for name in silver),
+        typed[C.YEAR_PARTITION].alias(C.YEAR_PARTITION),
+        *(F.when(clean, typed[name]).alias(name) for name in silver),
         *(F.col(f"lost.{name}") for name in RESCUE),
         F.when(~clean, F.col("source_file")).alias("source_file"),
         F.when(clean, "clean").otherwise("rescue").alias("kind"))

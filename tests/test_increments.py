@@ -493,6 +493,21 @@ def test_rescue_keeps_what_types_cannot_hold(spark, tmp_path):
     assert lost.where("source_file is null or date is not null").count() == 0
 
 
+def test_rescue_casts_each_row_once(spark, tmp_path):
+    columns = ", ".join(f"`{c}` string" for c in (C.YEAR_PARTITION, *C.FLIGHT_COLUMNS[1:]))
+    spark.createDataFrame([], columns).write.parquet(str(tmp_path / "b"))
+    found = clean_with_rescue(spark.read.schema(columns).parquet(str(tmp_path / "b")))
+    fields = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(fields)
+    spark.conf.set(fields, "1000")
+    try:
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(fields, before)
+    assert plan.count("cast(TaxiIn#") == 1
+    assert "Filter" not in plan
+
+
 # -- weather ----------------------------------------------------------------
 
 def test_weather_model_finds_a_line_and_knows_when_there_is_none(silver_of):
