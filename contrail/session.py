@@ -67,13 +67,29 @@ def writers_open(spark: SparkSession, most: int = OPEN_WRITERS) -> Iterator[None
     Otherwise each task sorts all its rows by their partition first, in memory and, where
     that is short, on disk.  A task that meets more than ``most`` partitions sorts the rest.
     """
-    setting = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(most))
+    with setting_held(spark, "spark.sql.maxConcurrentOutputFileWriters", str(most)):
+        yield
+
+
+@contextmanager
+def row_groups_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Parquet writes and streams started inside make row groups of ``size`` bytes."""
+    with setting_held(spark, "parquet.block.size", str(size)):
+        yield
+
+
+@contextmanager
+def setting_held(spark: SparkSession, setting: str, value: str) -> Iterator[None]:
+    """``setting`` has ``value`` inside and is as it was afterwards."""
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, value)
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from .. import contracts as C
 from ..operators.cleaning import add_ingest_metadata, clean_flights, clean_with_rescue
-from ..session import writers_open
+from ..session import row_groups_of, writers_open
 from ..sources.csv_files import PLAIN_CSV
 from ..sources.landing import LAND_KEYS, stream_landed, stream_pinned, with_land_keys
 from ..sources.manifest import SourceManifest
@@ -28,6 +28,10 @@ BRONZE_QUERY = "flights_landed_to_bronze"
 SILVER_QUERY = "flights_bronze_to_silver"
 LANDING_QUERY = "flights_source_to_landed"
 
+# Bytes of a row group in bronze.  A step to silver may take few files: several tasks
+# share a file only by its row groups.
+BRONZE_ROW_GROUP = 8 << 20
+
 
 def stream_writer(frame: DataFrame, checkpoint: str, name: str,
                   partition_by: str | tuple[str, ...] | None = None,
@@ -97,7 +101,7 @@ def start_bronze(spark: SparkSession, landed: str, bronze: str, checkpoint: str,
     """Landed files to the bronze table, with metadata, partitioned by year."""
     rows = add_ingest_metadata(
         stream_landed(spark, landed, files_per_batch), source, "Year")
-    with writers_open(spark):
+    with writers_open(spark), row_groups_of(spark, BRONZE_ROW_GROUP):
         return stream_writer(rows, checkpoint, name, C.YEAR_PARTITION, fmt=fmt,
                              until_caught_up=until_caught_up).start(bronze)
 

@@ -1,6 +1,7 @@
 import uuid
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from contrail.session import scratch_folder
 from contrail.sources.csv_files import stream_csv
 from contrail.sources.landing import land, read_landed, stream_flight_files
 from contrail.sources.tables import read_table, register_table
+from contrail.streaming import hops
 from contrail.streaming.control import (find_stream, finish, progress_table,
                                         stop_all_streams, stop_stream, stream_status,
                                         wait_ready)
@@ -32,6 +34,22 @@ def run_hops(spark, root, **options):
     return bronze, silver
 
 
+def test_bronze_files_can_be_shared_by_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(hops, "BRONZE_ROW_GROUP", 1 << 20)
+    texts = {c: F.concat(F.lit(c), F.sha2(F.concat(F.lit(c), F.col("id").cast("string")), 512))
+             for c in ("TailNum", "Origin", "Dest")}
+    rows = spark.range(60000).coalesce(1).select(*(
+        (texts[c] if c in texts else F.lit("1990" if c == "Year" else "1")).alias(c)
+        for c in C.FLIGHT_COLUMNS))
+    root = str(tmp_path)
+    land(rows, f"{root}/landed", regroup=False)
+    finish(start_bronze(spark, f"{root}/landed", f"{root}/bronze", f"{root}/c", "feed",
+                        name=name("bronze")), 120)
+    files = [pq.ParquetFile(f) for f in Path(root, "bronze").rglob("*.parquet")]
+    assert sum(f.metadata.num_rows for f in files) == 60000
+    assert max(f.metadata.num_row_groups for f in files) > 1
+
+
 def rows_in(*queries):
     return [sum(p["numInputRows"] for p in q.recentProgress) for q in queries]
 
