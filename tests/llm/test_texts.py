@@ -299,6 +299,16 @@ def test_suffixes(docs, monkeypatch):
     assert suffix_rows(docs([])) == {}
 
 
+def test_a_round_sorts_the_keys_it_sends():
+    keys = np.unique(np.random.default_rng(0).integers(0, 2 ** 64, 5000, dtype=np.uint64))
+    rounds = suffixes._bucket_of(keys, 64, 256) % np.uint64(suffixes.ROUNDS)
+    for turn in range(suffixes.ROUNDS):
+        mine = keys[rounds == turn]
+        assert 0 < len(mine) < len(keys)
+        assert suffixes._by_bucket(7, mine, 64, 256, suffixes.ROUNDS, turn).equals(
+            suffixes._by_bucket(7, keys, 64, 256, suffixes.ROUNDS, turn))
+
+
 def test_suffixes_query(spark, folder, corpus):
     found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
              for r in catalogue.op9_suffixes(spark, folder).collect()}
