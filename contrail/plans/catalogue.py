@@ -642,9 +642,10 @@ def _read_landed_files(spark, files):
 
 
 def profile_reuse(spark, folder):
-    """A kept profile of landed files as files come, are replaced and go.
+    """A kept profile of landed halves as they come, are replaced and go.
 
-    Each step reads one file: the one that is new or another.
+    Each step reads one half, the one that is new or another; a half is a CSV folder, to
+    which each task writes a file.
     """
     root = scratch_folder(spark, "reuse")
     flights = raw_flights(spark, folder)
@@ -653,7 +654,7 @@ def profile_reuse(spark, folder):
 
     def put(half, rows):
         folder = f"{root}/landed/{half}.csv"
-        rows.coalesce(1).write.mode("overwrite").options(**PLAIN_CSV).csv(folder)
+        rows.write.mode("overwrite").options(**PLAIN_CSV).csv(folder)
 
     store = ProfileStore(spark, f"{root}/profile", f"{root}/landed", _read_landed_files,
                          ["Origin"], nested_csv=True)
@@ -664,7 +665,7 @@ def profile_reuse(spark, folder):
             ("replaced", lambda: put("early", halves["early"].where("Year < 1996"))),
             ("removed", lambda: delete_folder(spark, f"{root}/landed/late.csv"))):
         change()
-        read = len(store.refresh())
+        read = len({file.rsplit("/", 1)[0] for file in store.refresh()})
         report = store.nulls("amount").select(
             F.lit("nulls").alias("report"), F.col("column_name").alias("item"), "amount").unionByName(
             store.frequent("Origin", 10, name="amount").select(

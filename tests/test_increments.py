@@ -13,7 +13,7 @@ from contrail.operators import heavy
 from contrail.operators.cleaning import clean_with_rescue
 from contrail.operators.daily import daily_state, daily_summary, summary_of_state
 from contrail.operators.profile import frequent_values, null_counts
-from contrail.plans import questions
+from contrail.plans import catalogue, questions
 from contrail.plans.gold import GoldState
 from contrail.plans.lakehouse import Lake, account, refresh_flights
 from contrail.plans.profile_store import ProfileStore
@@ -357,6 +357,25 @@ def test_profiles_follow_arrivals_replacements_and_removals(spark, tmp_path):
         store.frequent("a")
 
 
+def test_halves_are_written_by_all_tasks(spark, tmp_path, monkeypatch):
+    read, real = [], ProfileStore.refresh
+    monkeypatch.setattr(ProfileStore, "refresh",
+                        lambda store: read.append(real(store)) or read[-1])
+    lines = spark.range(0, 40, 1, 4).selectExpr(
+        "id as l_orderkey", "id as l_partkey", "id % 5 as l_suppkey",
+        "cast(id % 7 as int) as l_linenumber", "cast(id as double) as l_quantity",
+        "'R' as l_returnflag", "'F' as l_linestatus",
+        "make_timestamp(1995 + id div 2 % 2, 1 + id % 2 * 10, 1, 0, 0, 0) as l_shipdate")
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    report = catalogue.profile_reuse(spark, str(tmp_path))
+    assert [len(files) for files in read] == [4, 4, 4, 0]
+    found = {(r.step, r.files_read): r.amount for r in
+             report.where("report = 'frequent'").groupBy("step", "files_read").agg(
+                 F.sum("amount").alias("amount")).collect()}
+    assert found == {("arrival", 1): 20, ("second", 1): 40, ("replaced", 1): 30,
+                     ("removed", 0): 10}
+
+
 # -- frequent values --------------------------------------------------------
 
 @pytest.mark.parametrize("capacity", [16, 100_000])
