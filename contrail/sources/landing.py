@@ -35,10 +35,10 @@ _PEEK_SPLIT = 64 << 30
 def file_headers(spark: SparkSession, place: str | Sequence[str]) -> DataFrame:
     """(path, folder, header) of every ``*.csv`` below a folder, or of the files given.
 
-    One task opens each file and stops after its first line: a session of its own
+    One task opens each file and hands on its first line alone: a session of its own
     arranges that a file is one split and shares it with no other, whatever the
-    cluster's defaults say, without touching the caller's settings.  Should Spark
-    pack several files in a task all the same, each still gives its own line.
+    cluster's defaults say, without touching the caller's settings.  Where they may not
+    be changed Spark may pack several files in a task, and each still gives its own line.
     """
     paths = ([literal_path(place)] if isinstance(place, str)
              else [literal_path(unquote(file)) for file in place])
@@ -62,11 +62,16 @@ def file_headers(spark: SparkSession, place: str | Sequence[str]) -> DataFrame:
                 if path not in seen:
                     seen.add(path)
                     yield batch.slice(at, 1)
-            if seen and alone:
-                return
 
-    return (lines.mapInArrow(first_rows, lines.schema).where(F.col("start") == 0)
-            .select("path", F.regexp_replace("path", "/[^/]*$", "").alias("folder"), "header"))
+    if alone:
+        # The low 33 bits number a task's rows.  Python would be sent every line: Spark
+        # writes on to a function that has returned.
+        number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        first = lines.withColumn("number", number).where("number = 0")
+    else:
+        first = lines.mapInArrow(first_rows, lines.schema)
+    return first.where(F.col("start") == 0).select(
+        "path", F.regexp_replace("path", "/[^/]*$", "").alias("folder"), "header")
 
 
 def split_header(line: str) -> tuple[str, ...]:

@@ -282,6 +282,18 @@ def test_one_task_opens_a_file(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_headers_are_read_without_python(spark, tmp_path):
+    """Python would be sent all lines of a file for the sake of its first."""
+    for i in range(3):
+        flight_file(tmp_path / f"{i}.csv", C.FLIGHT_COLUMNS if i else modern_header(),
+                    *({"Year": 1987, "Month": 10, "FlightNum": n} for n in range(500)))
+    found = file_headers(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "PythonMapInArrow" not in plan
+    assert sorted(split_header(row.header) for row in found.collect()) == sorted(
+        [modern_header(), C.FLIGHT_COLUMNS, C.FLIGHT_COLUMNS])
+
+
 def test_old_files_are_landed(spark, tmp_path):
     import os
     import time
