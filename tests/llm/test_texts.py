@@ -1,13 +1,14 @@
 """BPE, MinHash, passages, suffixes and toxicity against plain versions."""
 
 import hashlib
+import itertools
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from contrail.llm import bpe, catalogue, minhash, passages, suffixes, toxicity
+from contrail.llm import bpe, catalogue, common, minhash, passages, suffixes, toxicity
 from tests.llm.helpers import ODD_TEXTS, near_duplicate_groups, repeated_bytes, words
 
 
@@ -241,6 +242,23 @@ def test_passages_in_crowded_groups(docs):
     assert found == {(101 + 2 * k, 100 + 2 * k) for k in range(60)}
 
 
+def test_passages_leave_only_spans_on_disk(docs, tmp_path, monkeypatch):
+    """Between steps, tables that nothing reads any more go from the shared folder."""
+    number = itertools.count()
+    monkeypatch.setattr(common, "scratch_folder",
+                        lambda spark, label: f"{tmp_path}/{label}-{next(number)}")
+    rng = np.random.default_rng(8)
+    line = " ".join(f"c{i}" for i in range(30))
+    texts = [" ".join(f"x{v}" for v in rng.integers(0, 10**9, 60)) for _ in range(4)]
+    rows = [(i, f"{line} {texts[i % 4]} {line} u{i}") for i in range(40)]
+    found = passages.repeated_passages(docs(rows))
+    left = [path.name for path in tmp_path.glob("passages-*")]
+    read = tuple(f"passages-{name}-" for name in (
+        "members", "pairs", "open", "crowd", "lines", "more-pairs", "rest", "left"))
+    assert left and not [name for name in left if name.startswith(read)]
+    assert {r.doc_id for r in found.collect()} == set(range(4, 40))
+
+
 def test_passages_once_edited(docs):
     """A similarity of 41 / 51: none of 400 pairs may be missed."""
     rng = random.Random(7)
