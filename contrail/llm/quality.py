@@ -27,6 +27,8 @@ SAMPLE_PER_LABEL = 2_000
 NEIGHBOURS, SHARPNESS = 25, 4
 #: Documents whose cosines with the sample are computed at a time.
 BLOCK = 256
+#: Text of one product of features and weights: rounding follows its rows.
+PRODUCT_BYTES = 1 << 20
 #: Weight of a feature of a word's form against one of the word itself.
 FORM_WEIGHT = 3.0
 
@@ -152,7 +154,7 @@ def train(documents: DataFrame, labels: DataFrame, sample_per_label: int = SAMPL
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, data, offsets in chunks(batch.column("text")):
+            for first, end, data, offsets in chunks(batch.column("text"), PRODUCT_BYTES):
                 doc, feature, count = features_of(data, offsets)
                 cuts = pa.array(np.searchsorted(doc, np.arange(end - first + 1)), pa.int32())
                 yield pa.RecordBatch.from_arrays(
@@ -255,7 +257,7 @@ def score(documents: DataFrame, model: Model, name: str = "quality_score") -> Da
         model = shared.value
         for batch in batches:
             scores = np.empty(batch.num_rows)
-            for first, end, data, offsets in chunks(batch.column(text_at)):
+            for first, end, data, offsets in chunks(batch.column(text_at), PRODUCT_BYTES):
                 found = features_of(data, offsets)
                 vectors = folded(*found, end - first, model.weights, model.fold)
                 scores[first:end] = vote(vectors, model)

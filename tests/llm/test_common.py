@@ -77,3 +77,9 @@ def test_pick(docs, monkeypatch):
         monkeypatch.setattr(common, "BROADCAST_IDS", bound)
         assert sorted(r.text for r in pick(frame, ids).collect()) == ["b", "c"]
         assert sorted(r.text for r in pick(frame, ids, keep=False).collect()) == ["a", "d"]
+
+
+def test_chunks_are_small():
+    """Temporary arrays take about 60 times a chunk, in each worker."""
+    sizes = [len(data) for _, _, data, _ in chunks(pa.array(["x" * 1000] * 2000))]
+    assert max(sizes) <= 1 << 18 and sum(sizes) == 2_000_000
