@@ -242,6 +242,37 @@ def test_passages_in_crowded_groups(docs):
     assert found == {(101 + 2 * k, 100 + 2 * k) for k in range(60)}
 
 
+def test_different_shingles_equal_brute_force():
+    rng = np.random.default_rng(4)
+    for values in (3, 40, 5_000):
+        tokens = rng.integers(0, values, 2_000).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        first = rng.integers(0, 1_900, 3_000)
+        last = np.minimum(first + rng.integers(0, 100, 3_000), 1_999)
+        found = passages.different(passages.repeats(tokens), first, last, 37)
+        assert found.tolist() == [len(set(tokens[a:b + 1].tolist())) >= 37
+                                  for a, b in zip(first, last)]
+
+
+def test_passages_compare_no_windows_of_few_shingles(docs, monkeypatch):
+    """Windows of a short line over and over, too few shingles to share, stay behind."""
+    rng = random.Random(6)
+    line = text_of(rng, 22)
+    rows = [(d, text_of(rng, 45) + line + text_of(rng, 45)) for d in range(40)]
+    rows += [(50 + d, text_of(rng, 2) + line * 20 + text_of(rng, 2)) for d in range(4)]
+    for k in range(20):
+        passage = text_of(rng, 15) + line + text_of(rng, 15)
+        rows += [(100 + 2 * k, text_of(rng, 10) + passage), (101 + 2 * k, passage + ["end"])]
+    sent, real = [], passages._slices
+    monkeypatch.setattr(passages, "_slices", lambda members, *rest: sent.extend(
+        (r.key, r.doc_id) for r in members.select("key", "doc_id").collect())
+        or real(members, *rest))
+    rows = [(d, " ".join(w)) for d, w in rows]
+    found = {(r.doc_id, r.source_doc_id) for r in passages.repeated_passages(docs(rows)).collect()}
+    assert {(101 + 2 * k, 100 + 2 * k) for k in range(20)} <= found
+    # A line repeated 20 times has a window for each time, or nearly.
+    assert sent and max(map(sent.count, (x for x in sent if 50 <= x[1] < 54)), default=0) < 10
+
+
 def test_passages_leave_only_spans_on_disk(docs, tmp_path, monkeypatch):
     """Between steps, tables that nothing reads any more go from the shared folder."""
     number = itertools.count()
