@@ -12,6 +12,7 @@ from collections.abc import Callable
 from functools import reduce
 from urllib.parse import unquote
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,8 +45,8 @@ from ..streaming.hops import (land_new_files, rescued_part, silver_part, start_b
 from . import questions
 from .lakehouse import Lake, build_gold, read_codes, refresh_flights
 from .profile_store import ProfileStore
-from .samples import (bronze_flights, raw_airports, raw_cancellations, raw_carriers,
-                      raw_flights, raw_planes, table)
+from .samples import (bronze_flights, flight_source, made_flights, raw_airports,
+                      raw_cancellations, raw_carriers, raw_flights, raw_planes, table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -399,11 +400,14 @@ def land_stream_mixed(spark, folder):
 def land_bounded(spark, folder):
     """A landing of at most eight of twelve files in two folders, then one of the rest."""
     root = scratch_folder(spark, "bounded")
-    flights = raw_flights(spark, folder, parts=6)
+    # Both folders are written from one shuffle, kept as compressed columns meanwhile.
+    made_of = flight_source(spark, folder, parts=6).persist(StorageLevel.DISK_ONLY)
+    flights = made_flights(made_of)
     sources = [f"{root}/classic", f"{root}/modern"]
     for source, rows in zip(sources, (flights, flights.select(
             *(F.col(c).alias(c) for c in reversed(C.FLIGHT_COLUMNS))))):
         rows.write.options(**PLAIN_CSV).csv(source)
+    made_of.unpersist()
     landed = [_land_all(spark, root, sources, at_most=bound) for bound in (8, None)]
     ledger = SourceManifest(spark, f"{root}/manifest").files.rows()
     early = F.col("lot") == 1

@@ -113,13 +113,23 @@ FLIGHT_SOURCE = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quan
                  "l_returnflag", "l_linestatus", "l_shipdate")
 
 
+def flight_source(spark: SparkSession, folder: str, parts: int | None = None) -> DataFrame:
+    """What the flight columns are made of; in ``parts`` even partitions, by a shuffle,
+    if that is given."""
+    rows = table(spark, folder, "lineitem").select(*FLIGHT_SOURCE)
+    return rows.repartition(parts) if parts else rows
+
+
+def made_flights(source: DataFrame) -> DataFrame:
+    """The 29 flight columns with their documented types, of ``flight_source``."""
+    lines = source.selectExpr("*", *as_select(FLIGHT_PARTS, "string"))
+    return lines.selectExpr(*as_select(FLIGHT_EXPRESSIONS, "string"))
+
+
 def raw_flights(spark: SparkSession, folder: str, parts: int | None = None) -> DataFrame:
     """The 29 flight columns with their documented types; in ``parts`` even partitions
     if that is given, for which the few columns they are made of are shuffled."""
-    rows = table(spark, folder, "lineitem").select(*FLIGHT_SOURCE)
-    lines = (rows.repartition(parts) if parts else rows).selectExpr(
-        "*", *as_select(FLIGHT_PARTS, "string"))
-    return lines.selectExpr(*as_select(FLIGHT_EXPRESSIONS, "string"))
+    return made_flights(flight_source(spark, folder, parts))
 
 
 def bronze_flights(spark: SparkSession, folder: str) -> DataFrame:

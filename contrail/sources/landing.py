@@ -1,7 +1,7 @@
 """Bringing flight files of differing headers into one landed layout.
 
 Landed layout: ``<target>/land_year=1987/land_month=198710/*.csv``, every file
-with the 29 contract columns in order.
+with the 29 contract columns in order (``*.csv.gz`` where a stream landed it).
 """
 
 from __future__ import annotations

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from .. import contracts as C
 from ..operators.cleaning import add_ingest_metadata, clean_flights, clean_with_rescue
 from ..session import row_groups_of, writers_open
-from ..sources.csv_files import PLAIN_CSV
+from ..sources.csv_files import PACKED, PLAIN_CSV
 from ..sources.landing import LAND_KEYS, stream_landed, stream_pinned, with_land_keys
 from ..sources.manifest import SourceManifest
 from ..sources.tables import move_files, stream_table
@@ -54,12 +54,16 @@ def stream_writer(frame: DataFrame, checkpoint: str, name: str,
 
 def start_landing(sources: list[DataFrame], target: str, checkpoint: str,
                   until_caught_up: bool = True) -> StreamingQuery:
-    """Land streams of contract rows as monthly CSV folders."""
+    """Land streams of contract rows as monthly CSV folders, compressed.
+
+    Readers tell by the names (``*.csv.gz``).  Such a file cannot be split, but holds
+    what one task of a step read for one month, so it is never larger than a split.
+    """
     rows = with_land_keys(reduce(DataFrame.unionByName, sources))
     with writers_open(rows.sparkSession):
         return (stream_writer(rows, checkpoint, LANDING_QUERY, LAND_KEYS, fmt="csv",
                               until_caught_up=until_caught_up)
-                .options(**PLAIN_CSV).start(target))
+                .options(**PLAIN_CSV, **PACKED).start(target))
 
 
 def land_new_files(spark: SparkSession, manifest: SourceManifest, sources: list[str],

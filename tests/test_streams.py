@@ -11,7 +11,8 @@ from contrail.plans.catalogue import modern_header
 from contrail.plans.samples import raw_flights
 from contrail.session import scratch_folder
 from contrail.sources.csv_files import stream_csv
-from contrail.sources.landing import land, read_landed, stream_flight_files
+from contrail.sources.landing import (land, read_flight_files, read_landed,
+                                     stream_flight_files, stream_landed)
 from contrail.sources.tables import read_table, register_table
 from contrail.streaming import hops
 from contrail.streaming.control import (find_stream, finish, progress_table,
@@ -19,7 +20,7 @@ from contrail.streaming.control import (find_stream, finish, progress_table,
                                         wait_ready)
 from contrail.streaming.hops import (start_bronze, start_landing, start_silver,
                                      stream_writer)
-from tests.test_sources import flight_file, same_rows
+from tests.test_sources import flight_file, flight_line, same_rows, text
 
 
 def name(label):
@@ -106,6 +107,25 @@ def test_steps_are_bounded(spark, tmp_path):
     assert read_landed(spark, str(tmp_path / "landed")).count() == 5
 
 
+def test_landed_files_are_compressed_and_whole(spark, tmp_path):
+    lines = [flight_line(C.FLIGHT_COLUMNS, Year=1987, Month=10, FlightNum=i, TailNum=f"N{i}")
+             for i in range(2_000)]
+    text(tmp_path / "in" / "a.csv", "\n".join([",".join(C.FLIGHT_COLUMNS), *lines]) + "\n")
+    odd = {"Year": 1988, "Month": 1, "TailNum": " N1 ", "Origin": "a\\b", "Dest": ""}
+    flight_file(tmp_path / "in" / "b.csv", C.FLIGHT_COLUMNS, odd)
+    source = stream_flight_files(spark, str(tmp_path / "in"), C.FLIGHT_COLUMNS)
+    finish(start_landing([source], str(tmp_path / "landed"), str(tmp_path / "c")), 120)
+    files = list((tmp_path / "landed").rglob("part-*"))
+    assert files and all(f.name.endswith(".csv.gz") for f in files)
+    assert 3 * sum(f.stat().st_size for f in files) < (tmp_path / "in" / "a.csv").stat().st_size
+    asked = read_flight_files(spark, str(tmp_path / "in"))
+    assert same_rows(read_landed(spark, str(tmp_path / "landed")), asked)
+    steps = stream_landed(spark, str(tmp_path / "landed"))
+    finish(stream_writer(steps, str(tmp_path / "c2"), "onward").start(str(tmp_path / "onward")), 120)
+    assert same_rows(spark.read.schema(C.LANDED).parquet(str(tmp_path / "onward"))
+                     .select(*C.FLIGHT_COLUMNS), asked)
+
+
 def test_wrong_header_fails_the_stream(spark, tmp_path):
     flight_file(tmp_path / "in" / "a.csv", modern_header(), {"Year": 2020, "Month": 1})
     source = stream_flight_files(
