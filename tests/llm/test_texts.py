@@ -253,6 +253,52 @@ def test_different_shingles_equal_brute_force():
                                   for a, b in zip(first, last)]
 
 
+def _naively_compared(doc, centre, left, right, shingles, fresh, later, earlier, least, percent):
+    """Every pair of windows, the earlier documents first."""
+    out, need = [], passages._needed(least, percent)
+    for b in later:
+        open_ = fresh[b].copy()
+        for a in sorted(earlier, key=lambda a: (doc[a], a)):
+            reach = min(left[a], left[b]) + min(right[a], right[b]) + 1
+            shared = np.isin(shingles[b], shingles[a])
+            if (doc[a] >= doc[b] or reach < least or not shared[open_].any()
+                    or len(np.intersect1d(shingles[b], shingles[a])) < need):
+                continue
+            hint = np.array([[left[a], left[b]]])
+            for s, e, a_from, a_to in passages.matching(shingles[a], shingles[b], hint, least,
+                                                        percent, shared):
+                first_a, first_b = centre[a] - left[a], centre[b] - left[b]
+                out.append((doc[b], first_b + s, first_b + e, doc[a], first_a + a_from,
+                            first_a + a_to))
+                open_[s:e] = False
+    return out
+
+
+def test_equal_windows_are_compared_once(monkeypatch):
+    """Windows of the same shingles share what is found, as if each pair were compared."""
+    rng, calls, real = np.random.default_rng(8), [], passages.matching
+    middle = rng.integers(0, 1 << 32, 30).astype(np.uint32)
+    kinds = []  # (left, shingles): around one middle, some alike at one end or both
+    ends = [[rng.integers(0, 1 << 32, n).astype(np.uint32) for n in (4, 8, 20, 90)]
+            for _ in range(2)]
+    for i, j in itertools.product(range(4), repeat=2):
+        kinds.append((len(ends[0][i]) + 15, np.concatenate([ends[0][i], middle, ends[1][j]])))
+    rows = []
+    for n in range(300):
+        left, shingles = kinds[n % len(kinds)]
+        fresh = rng.random(len(shingles)) < rng.choice([0.02, 0.5, 1.0])
+        rows.append((1 + n // 2, left + n % 7, left, len(shingles) - left - 1, shingles, fresh))
+    doc, centre, left, right, shingles, fresh = zip(*rows)
+    numbers = tuple(map(np.array, (doc, centre, left, right)))
+    later, earlier = (np.flatnonzero(rng.random(len(rows)) < share) for share in (0.6, 0.9))
+    rest = (*numbers, shingles, fresh, later, earlier, 46, 80)
+    monkeypatch.setattr(passages, "matching", lambda *given: calls.append(0) or real(*given))
+    found = passages.compared(*rest)
+    assert len(calls) <= len(kinds) ** 2
+    assert found and sorted(found) == sorted(_naively_compared(*rest))
+    assert passages.compared(*rest[:6], later[:0], earlier, 46, 80) == []
+
+
 def test_passages_compare_no_windows_of_few_shingles(docs, monkeypatch):
     """Windows of a short line over and over, too few shingles to share, stay behind."""
     rng = random.Random(6)
